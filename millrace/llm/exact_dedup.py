@@ -30,6 +30,7 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # there are many small stores: no space set aside in each
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     "spark.sql.streaming.metricsEnabled": "false",
 }
