@@ -6,7 +6,6 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,13 +61,21 @@ def with_row_key(docs: DataFrame) -> DataFrame:
     so that a row has the same key each time it is read, repeated rows have different keys, and
     no column of the caller's is trusted to be unique.
     """
+    if set(ROW_KEY) <= set(docs.columns):
+        return docs
     keys = {ROW_FILE: F.xxhash64(F.col("_metadata.file_path")), ROW_INDEX: F.col("_metadata.row_index")}
-    if "_metadata" not in docs.columns:
-        try:
-            return docs.withColumns(keys)
-        except AnalysisException:
-            pass
-    return saved(docs, "rows").withColumns(keys)
+    if not is_plain_scan(docs):
+        docs = saved(docs, "rows")
+    return docs.withColumns(keys)
+
+
+def is_plain_scan(df: DataFrame) -> bool:
+    """Whether df is one Parquet scan with at most projections and filters above it, and no column that hides its metadata."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.children().size() == 1 and node.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.children().head()
+    is_scan = node.children().isEmpty() and "parquet" in node.toString().lower() and "_metadata" in node.metadataOutput().mkString(",")
+    return is_scan and "_metadata" not in df.columns
 
 
 def join_small(left: DataFrame, right: DataFrame, on: Sequence[str] | str, how: str, right_rows: int, row_bytes: int) -> DataFrame:

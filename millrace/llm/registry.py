@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from millrace.llm import exact_dedup, url_filter
+from millrace.llm import decontaminate, exact_dedup, token_counts, token_shards, url_filter
 
 QUERIES = {
+    "op1_token_counts": token_counts.op1_token_counts,
     "op4_url_filter": url_filter.op4_url_filter,
+    "op5_token_shards": token_shards.op5_token_shards,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
+    "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
 }
 
 ORACLES = {
     "op4_url_filter": url_filter.ORACLE,
     "op7_exact_dedup": exact_dedup.ORACLE,
+    "op9_benchmark_decontamination": decontaminate.ORACLE,
 }
