@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontaminate, exact_dedup, token_counts, token_shards, url_filter
+from millrace.llm import decontaminate, exact_dedup, near_dup, piece_fst, token_counts, token_shards, url_filter
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
+    "op2_sentencepiece": piece_fst.op2_sentencepiece,
     "op4_url_filter": url_filter.op4_url_filter,
     "op5_token_shards": token_shards.op5_token_shards,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
+    "op10_near_dedup": near_dup.op10_near_dedup,
 }
 
 ORACLES = {
