@@ -31,6 +31,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -281,9 +282,7 @@ def encode(docs: DataFrame, text_col: str = "text", out_col: str = "piece_ids",
     compiled = _compiled(docs.sparkSession, model)
 
     @F.pandas_udf("array<int>")
-    def to_ids(batches: Iterator) -> Iterator:
-        import pandas as pd
-
+    def to_ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         c = codec(model, compiled)
         for texts in batches:
             yield pd.Series([np.frombuffer(c.encode(x or ""), c.dtype).astype(np.int32) for x in texts])
@@ -296,9 +295,7 @@ def decode(rows: DataFrame, ids_col: str = "piece_ids", out_col: str = "decoded"
     compiled = _compiled(rows.sparkSession, model)
 
     @F.pandas_udf("string")
-    def to_text(batches: Iterator) -> Iterator:
-        import pandas as pd
-
+    def to_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         c = codec(model, compiled)
         for ids in batches:
             yield pd.Series([None if x is None else c.decode(np.asarray(x).astype(c.dtype).tobytes()) for x in ids], dtype=object)
