@@ -41,7 +41,7 @@ from millrace.llm.common import documents
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-MAX_KEPT, MAX_PIECE = 1_000_000, 64
+MAX_KEPT, MAX_PIECE = 600_000, 64
 
 
 def _fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -72,7 +72,7 @@ def _fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
 
 @dataclass
 class Transducer:
-    """ids: piece to id; rank: order of merges, by piece; halves: the two pieces last merged into one, by piece."""
+    """ids: piece to id; rank: order of merges, by piece; halves: the two pieces last merged into one, by piece; arcs: the lexicon as prefixes, true where a piece ends."""
 
     ids: dict[str, int]
     rank: dict[str, int]
@@ -81,7 +81,7 @@ class Transducer:
     unknown: int
     halves: dict[str, tuple[str, str]] = field(default_factory=dict)
     surface: list[bytes] = field(default_factory=list)
-    longest: int = 1
+    arcs: dict[str, bool] = field(default_factory=dict)
     cut_at_line_ends: bool = False
 
     def merged(self, text: str) -> list[tuple[str, tuple[str, str] | None]]:
@@ -134,7 +134,10 @@ def compile_model(path: str) -> Transducer:
             t.rank[p] = -1
         elif p.strip(SPACE) and len(m := t.merged(p)) == 1:  # a piece that merging doesn't reach is on no path
             t.rank[p], t.halves[p] = k, m[0][1]
-    t.longest = max(map(len, t.rank))
+    for p in t.rank:
+        for k in range(1, len(p)):
+            t.arcs.setdefault(p[:k], False)
+        t.arcs[p] = True
     t.cut_at_line_ends = not any("\n" in p for p in normal)
     for p, _, kind in pieces:
         t.surface.append(bytes([int(p[3:5], 16)]) if kind == 6 else p.replace(SPACE, " ").encode() if kind == 1 else " ⁇ ".encode() if kind == 2 else b"")
@@ -202,17 +205,20 @@ class Codec:
 
     def _path(self, text: str) -> bytes:
         """The shortest path of a text in which spaces, if any, are one at its start."""
-        rank, longest, n = self.t.rank, self.t.longest, len(text)
+        arcs, n = self.t.arcs, len(text)
         last: list[str | None] = [None] * (n + 1)
-        for end in range(1, n + 1):
-            for start in range(max(0, end - longest), end):
+        for start in range(n):
+            before = last[start]
+            for end in range(start + 1, n + 1):
                 p = text[start:end]
-                if p in rank and (start == 0 or last[start] is not None and self.adjacent(last[start], p)):
-                    last[end] = p
+                is_piece = arcs.get(p)
+                if is_piece is None:
                     break
-            else:  # a character that is no piece: all paths cross it by its bytes
-                last[end] = text[end - 1]
-                rank.setdefault(last[end], -1)
+                if is_piece and (before is None or self.adjacent(before, p)):
+                    last[end] = p
+            if last[start + 1] is None:  # a character that is no piece: all paths cross it by its bytes
+                last[start + 1] = text[start]
+                self.t.rank.setdefault(text[start], -1)
         pieces, end = [], n
         while end:
             pieces.append(last[end])

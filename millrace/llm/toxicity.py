@@ -23,6 +23,7 @@ from __future__ import annotations
 import heapq
 import math
 import re
+import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -41,7 +42,7 @@ TOP = 3
 MIN_POSITIVE = 2  # other toxic documents that a feature must occur in
 MIN_WEIGHT = 1.0
 N_CLASSES = 28
-MAX_KEPT = 400_000
+MAX_KEPT = 300_000
 
 #: What a character may stand for besides itself.
 LOOKS_LIKE = {
@@ -55,6 +56,7 @@ _WORDS = re.compile(r"[^\W\d_]+")
 _LETTER = re.compile(r"[^\W\d_]")
 _RUN = re.compile(r"([^\W\d_])\1\1")
 _SPACED = re.compile(r"(?<!\S)[^\s,;:](?: [^\s,;:]){2,}(?=[.,;:!?]?(?:\s|$))")
+_TAIL = re.compile(r"[^\w]{3,}$")
 _ENDS = ".,;:?\"'()[]{}|<>…«»“”"
 
 
@@ -144,7 +146,9 @@ class Restorer:
 
     def words(self, token: str) -> list[str]:
         low = token.lower()
-        core = low.strip(_ENDS).rstrip("!")
+        if low.isalpha() and not _RUN.search(low):
+            return [low]
+        core = _TAIL.sub("", low).strip(_ENDS).rstrip("!")
         if core.isalpha():
             return [core, restored(core, self.costs)] if _RUN.search(core) else [core]
         found = _WORDS.findall(low)
@@ -158,11 +162,12 @@ class Restorer:
 
 
 def features(word: str) -> list[int]:
-    """Buckets of a word and of its beginnings."""
-    out = [zlib.crc32(word.encode()) % N_BUCKETS]
+    """Buckets of a word and of its beginnings (in bytes)."""
+    raw = word.encode()
+    out = [zlib.crc32(raw) % N_BUCKETS]
     for k in PREFIXES:
-        if len(word) > k:
-            out.append(zlib.crc32(b"^" + word[:k].encode()) % N_BUCKETS)
+        if len(raw) > k:
+            out.append(zlib.crc32(raw[:k], 1) % N_BUCKETS)
     return out
 
 
@@ -240,6 +245,17 @@ class Evidence:
         return sum(heapq.nlargest(TOP, strong))
 
 
+_kept: dict[str, Evidence] = {}
+
+
+def kept_evidence(name: str, make) -> Evidence:
+    """The evidence of one model in this Python worker, which goes on using what it remembers in the tasks to come."""
+    if name not in _kept:
+        _kept.clear()
+        _kept[name] = make()
+    return _kept[name]
+
+
 def fit_curve(seen: dict[tuple[float, int], int]) -> tuple[float, float]:
     """Slope and offset of a logistic curve, from counts by (evidence, class); Newton steps, slightly held back."""
     if not seen:
@@ -303,12 +319,12 @@ def held_out(doc_id):
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "score") -> DataFrame:
     """docs and a score; a column of that name that was there before is replaced."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, name = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         m = shared.value
-        evidence = Evidence(m.costs, m.counts, m.n_positive, m.n_negative)
+        evidence = kept_evidence(name, lambda: Evidence(m.costs, m.counts, m.n_positive, m.n_negative))
         for texts in batches:
             yield pd.Series([m.score(evidence(x)) for x in texts], dtype="float64")
 
