@@ -1,6 +1,280 @@
-"""All queries of the library outside its llm subpackage, with the SQL that gives the same rows."""
+"""All queries of the library outside its llm subpackage, with the SQL that gives the same rows.
+
+Runs are carried by events (user_id: eval, event_type: configuration, value: metric); trigger outcomes
+too (user_id: query, its parity: should_trigger, value > 50: triggered); items by documents.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from millrace.functions import text as T
+from millrace.operators import corpus as C
+from millrace.operators import evalstats as E
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def runs(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "events").select(F.col("user_id").alias("eval_id"), F.col("event_type").alias("configuration"), "value", "event_id", "ts")
+
+
+def outcomes(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events")
+    return e.select(F.col("user_id").alias("query"), (F.col("user_id") % 2 == 0).alias("should_trigger"), (F.col("value") > 50).alias("triggered"))
+
+
+RESULTS = """r AS (SELECT user_id AS query, user_id % 2 = 0 AS should_trigger, count(*) FILTER (value > 50) AS triggers, count(*) AS runs, count(*) FILTER (value IS NULL) AS errors FROM events GROUP BY 1, 2),
+t AS (SELECT query, should_trigger, triggers, runs, errors, round(triggers / runs, 4) AS trigger_rate, CASE WHEN should_trigger THEN triggers / runs >= 0.5 ELSE triggers / runs < 0.5 END AS pass FROM r)"""
+SPLIT = """s AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY should_trigger ORDER BY md5('42:' || query), query) <= greatest(1, floor(count(*) OVER (PARTITION BY should_trigger) * 0.4)) THEN 'test' ELSE 'train' END AS split FROM (SELECT DISTINCT user_id AS query, user_id % 2 = 0 AS should_trigger FROM events))"""
+ITERATIONS = """h AS (SELECT CAST(extract(day FROM ts) AS INTEGER) AS iteration, count(*) FILTER (value > 50) AS train_passed, CASE WHEN extract(day FROM ts) % 7 <> 0 THEN count(*) FILTER (value > 80) END AS test_passed FROM events GROUP BY extract(day FROM ts))"""
+
+
+@query("SELECT event_type AS configuration, round(avg(value), 4) AS value_mean, round(coalesce(stddev_samp(value), 0), 4) AS value_stddev, round(min(value), 4) AS value_min, round(max(value), 4) AS value_max, count(*) AS runs FROM events GROUP BY 1")
+def run_summary_stats(spark, d):
+    return E.summary(runs(spark, d), ["value"])
+
+
+@query("""WITH m AS (SELECT event_type, round(avg(value), 4) AS mean, row_number() OVER (ORDER BY min(user_id), event_type) AS k FROM events GROUP BY 1)
+SELECT round(max(mean) FILTER (k = 1) - coalesce(max(mean) FILTER (k = 2), 0), 4) AS delta FROM m""")
+def config_delta(spark, d):
+    return E.delta(runs(spark, d), "value", "eval_id")
+
+
+@query(f"WITH {RESULTS} SELECT * FROM t")
+def trigger_rate(spark, d):
+    return E.trigger_results(outcomes(spark, d))
+
+
+@query(f"WITH {RESULTS} SELECT count(*) AS total, count(*) FILTER (pass) AS passed, count(*) FILTER (NOT pass) AS failed FROM t")
+def trigger_summary(spark, d):
+    return E.counts(E.trigger_results(outcomes(spark, d)))
+
+
+@query(f"""WITH {RESULTS}, c AS (SELECT coalesce(sum(triggers) FILTER (should_trigger), 0)::BIGINT AS tp, coalesce(sum(runs - triggers) FILTER (should_trigger), 0)::BIGINT AS fn, coalesce(sum(triggers) FILTER (NOT should_trigger), 0)::BIGINT AS fp, coalesce(sum(runs - triggers) FILTER (NOT should_trigger), 0)::BIGINT AS tn FROM t)
+SELECT *, round(CASE WHEN tp + fp = 0 THEN 1 ELSE tp / (tp + fp) END, 4) AS precision, round(CASE WHEN tp + fn = 0 THEN 1 ELSE tp / (tp + fn) END, 4) AS recall, round(CASE WHEN tp + fn + fp + tn = 0 THEN 0 ELSE (tp + tn) / (tp + fn + fp + tn) END, 4) AS accuracy FROM c""")
+def confusion_matrix(spark, d):
+    return E.confusion(E.trigger_results(outcomes(spark, d)))
+
+
+@query(f"WITH {RESULTS} SELECT sum(CASE WHEN should_trigger THEN triggers ELSE runs - triggers END)::BIGINT AS correct, sum(runs)::BIGINT AS total FROM t")
+def correct_runs(spark, d):
+    return E.correct_runs(E.trigger_results(outcomes(spark, d)))
+
+
+@query(f"WITH {RESULTS} SELECT query, should_trigger, triggers, runs, CASE WHEN should_trigger THEN 'false negative' ELSE 'false positive' END AS kind FROM t WHERE NOT pass")
+def failed_triggers(spark, d):
+    bad = E.trigger_results(outcomes(spark, d)).filter(~F.col("pass"))
+    return bad.select("query", "should_trigger", "triggers", "runs", F.when(F.col("should_trigger"), "false negative").otherwise("false positive").alias("kind"))
+
+
+def history(spark, d):
+    x = table(spark, d, "events").groupBy(F.dayofmonth("ts").alias("iteration"))
+    x = x.agg(F.count_if(F.col("value") > 50).alias("train_passed"), F.count_if(F.col("value") > 80).alias("t"))
+    return x.select("iteration", "train_passed", F.when(F.col("iteration") % 7 != 0, F.col("t")).alias("test_passed"))
+
+
+@query(f"WITH {ITERATIONS} SELECT iteration, coalesce(test_passed, train_passed, 0) AS passed FROM h ORDER BY passed DESC, iteration LIMIT 1")
+def best_iteration(spark, d):
+    return E.best_iteration(history(spark, d))
+
+
+@query(f"WITH {ITERATIONS} SELECT iteration, train_passed FROM h")
+def blinded_history(spark, d):
+    return E.blinded(history(spark, d))
+
+
+@query(f"WITH {ITERATIONS} SELECT iteration, sum(train_passed) OVER (ORDER BY iteration)::BIGINT AS seen, count(*) OVER (ORDER BY iteration) AS n FROM h")
+def cumulative_history(spark, d):
+    w = W.orderBy("iteration").rowsBetween(W.unboundedPreceding, W.currentRow)  # one row an iteration
+    return history(spark, d).select("iteration", F.sum("train_passed").over(w).alias("seen"), F.count(F.lit(1)).over(w).alias("n"))
+
+
+def split(spark, d):
+    return E.stratified_split(outcomes(spark, d).select("query", "should_trigger").distinct(), "query", "should_trigger", 0.4)
+
+
+@query(f"WITH {SPLIT} SELECT * FROM s")
+def stratified_split(spark, d):
+    return split(spark, d)
+
+
+@query(f"WITH {RESULTS}, {SPLIT} SELECT * FROM t WHERE query IN (SELECT query FROM s WHERE split = 'train')")
+def train_semi(spark, d):
+    return E.trigger_results(outcomes(spark, d)).join(split(spark, d).filter("split = 'train'").select("query"), "query", "left_semi")
+
+
+@query(f"WITH {RESULTS}, {SPLIT} SELECT * FROM t WHERE query NOT IN (SELECT query FROM s WHERE split = 'train')")
+def test_anti(spark, d):
+    return E.trigger_results(outcomes(spark, d)).join(split(spark, d).filter("split = 'train'").select("query"), "query", "left_anti")
+
+
+@query("""WITH c AS (SELECT CAST(extract(day FROM ts) AS INTEGER) AS iteration, event_type, count(*) FILTER (value > 50) AS triggers, count(*) AS runs FROM events GROUP BY 1, 2)
+SELECT iteration, """ + ", ".join(f"coalesce(max(CASE WHEN triggers * 2 >= runs THEN 'ok ' ELSE 'no ' END || triggers || '/' || runs) FILTER (event_type = '{t}'), 'no 0/0') AS {t}" for t in ("click", "view", "purchase")) + " FROM c GROUP BY 1")
+def iteration_matrix(spark, d):
+    x = table(spark, d, "events").groupBy(F.dayofmonth("ts").alias("iteration"), F.col("event_type").alias("query")).agg(F.count_if(F.col("value") > 50).alias("triggers"), F.count(F.lit(1)).alias("runs"))
+    return E.matrix(x.withColumn("pass", F.col("triggers") * 2 >= F.col("runs")), ["click", "view", "purchase"])
+
+
+@query("""WITH g AS (SELECT source AS eval_id, lang AS text, avg(toxic) FILTER (doc_id % 2 = 0) AS a, avg(toxic) FILTER (doc_id % 2 = 1) AS b FROM documents JOIN labels USING (doc_id) GROUP BY 1, 2)
+SELECT eval_id, text, CASE WHEN a = 1 AND b = 1 THEN 'always pass' WHEN a = 0 AND b = 0 THEN 'always fail' WHEN a = 1 AND b = 0 THEN 'skill only' WHEN a = 0 AND b = 1 THEN 'baseline only' ELSE 'variable' END AS class FROM g""")
+def assertion_classes(spark, d):
+    x = table(spark, d, "documents").select("doc_id", "source", "lang").join(table(spark, d, "labels"), "doc_id")
+    return E.assertion_classes(x.select(F.col("source").alias("eval_id"), F.col("lang").alias("text"), (F.col("doc_id") % 2 == 0).alias("with_skill"), (F.col("toxic") == 1).alias("passed")))
+
+
+@query("SELECT user_id AS eval_id, event_type AS configuration, round(avg(value), 1) AS value_mean, round(coalesce(stddev_samp(value), 0), 1) AS value_stddev, round(min(value), 1) AS value_min, round(max(value), 1) AS value_max FROM events GROUP BY 1, 2")
+def eval_variance(spark, d):
+    return runs(spark, d).groupBy("eval_id", "configuration").agg(*E.stats("value", places=1))
+
+
+@query("""WITH m AS (SELECT event_type, avg(value) AS m, stddev_samp(value) AS s FROM events GROUP BY 1)
+SELECT event_id, event_type AS configuration, round((value - m) / s, 4) AS z FROM events JOIN m USING (event_type) WHERE abs((value - m) / s) > 2""")
+def run_outliers(spark, d):
+    return E.outliers(runs(spark, d), "value").select("event_id", "configuration", "z")
+
+
+@query("""WITH x AS (SELECT event_type AS config, round(avg(value) / 25, 1) AS c1, round(stddev_samp(value) / 25, 1) AS c2, round(median(value) / 25, 1) AS s1 FROM events GROUP BY 1), y AS (SELECT config, round((c1 + c2) / 2, 1) AS content_score, round(s1, 1) AS structure_score FROM x)
+SELECT *, round(content_score + structure_score, 1) AS overall_score FROM y""")
+def rubric_scores(spark, d):
+    x = table(spark, d, "events").groupBy(F.col("event_type").alias("config")).agg(*[F.round(a / 25, 1).alias(n) for n, a in (("c1", F.avg("value")), ("c2", F.stddev_samp("value")), ("s1", F.median("value")))])
+    x = x.select("config", F.create_map(F.lit("a"), F.col("c1"), F.lit("b"), F.col("c2")).alias("content"), F.create_map(F.lit("a"), F.col("s1")).alias("structure"))
+    return E.rubric(x).drop("content", "structure")
+
+
+@query("""SELECT user_id AS run_id, coalesce(feedback, '') AS feedback, runs FROM (SELECT user_id, count(*) AS runs FROM events WHERE event_type = 'click' GROUP BY 1) a FULL JOIN (SELECT doc_id AS user_id, lang AS feedback FROM documents WHERE doc_id < 300) b USING (user_id)""")
+def feedback_full_outer(spark, d):
+    a = table(spark, d, "events").filter("event_type = 'click'").groupBy(F.col("user_id").alias("run_id")).agg(F.count(F.lit(1)).alias("runs"))
+    b = table(spark, d, "documents").filter("doc_id < 300").select(F.col("doc_id").alias("run_id"), F.col("lang").alias("feedback"))
+    return a.join(b, "run_id", "full").select("run_id", F.coalesce("feedback", F.lit("")).alias("feedback"), "runs")
+
+
+@query("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def unreviewed_items(spark, d):
+    return C.unreviewed(table(spark, d, "documents"), table(spark, d, "labels"), "doc_id", "doc_id").select("doc_id", "source")
+
+
+@query("SELECT d.doc_id, d.source, length(d.text) AS n, coalesce(l.k, 0) AS n_fields, l.toxic FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS k, max(toxic) AS toxic FROM labels GROUP BY 1) l USING (doc_id)")
+def item_view(spark, d):
+    children = table(spark, d, "labels").groupBy("doc_id").agg(F.count(F.lit(1)).alias("k"), F.max("toxic").alias("toxic"))
+    return table(spark, d, "documents").join(children, "doc_id", "left").select("doc_id", "source", F.char_length("text").alias("n"), F.coalesce("k", F.lit(0)).alias("n_fields"), "toxic")
+
+
+@query("SELECT event_type AS source, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY 1, 2")
+def posting_frequency(spark, d):
+    return table(spark, d, "events").groupBy(F.col("event_type").alias("source"), F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT 'documents' AS name, count(*) AS n FROM documents UNION ALL SELECT 'labels', count(*) FROM labels")
+def table_counts(spark, d):
+    one = lambda t: table(spark, d, t).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("name"), "n")
+    return one("documents").unionByName(one("labels"))
+
+
+@query("SELECT c_custkey, CASE WHEN lower(c_name) IS NULL THEN 'missing name' WHEN NOT regexp_matches(lower(replace(c_name, '#', '-')), '^[a-z0-9-]+$') THEN 'name not hyphen-case' WHEN contains(c_name, '--') THEN 'misplaced hyphen' WHEN length(c_name) > 64 THEN 'name too long' END AS problem FROM customer")
+def metadata_validation(spark, d):
+    return table(spark, d, "customer").select("c_custkey", E.metadata_problem(F.lower(F.replace("c_name", F.lit("#"), F.lit("-"))), F.col("c_mktsegment")).alias("problem"))
+
+
+SPACES = r"[\s\x{00A0}]+"
+CLEAN = "trim(regexp_replace(regexp_replace({c}, '[\\x{{200B}}-\\x{{200D}}\\x{{FEFF}}\\x{{0000}}-\\x{{0008}}\\x{{000B}}\\x{{000C}}\\x{{000E}}-\\x{{001F}}]', '', 'g'), '[\\s\\x{{00A0}}]+', ' ', 'g'))"
+NORM = "lower(" + CLEAN + ")"
+
+
+@query(f"SELECT doc_id, md5({CLEAN.format(c='text')}) AS cleaned_md5, md5(text) AS raw_md5 FROM documents")
+def clean_text(spark, d):
+    return C.clean(table(spark, d, "documents"), "text").select("doc_id", F.md5("cleaned_text").alias("cleaned_md5"), F.md5("text").alias("raw_md5"))
+
+
+def _exact(source: str) -> str:
+    return f"""WITH k AS (SELECT doc_id, sha256({NORM.format(c="coalesce(text, '')")}{source}) AS content_hash FROM documents), g AS (SELECT *, min(doc_id) OVER (PARTITION BY content_hash) AS f, count(*) OVER (PARTITION BY content_hash) AS group_size FROM k)
+SELECT doc_id, content_hash, CASE WHEN f <> doc_id THEN f END AS duplicate_of, group_size FROM g"""
+
+
+@query(_exact(" || coalesce(source, '')"))
+def exact_dups_within_source(spark, d):
+    return C.exact_flags(table(spark, d, "documents"), "doc_id", "text", "source")
+
+
+@query(_exact(""))
+def exact_dups_global(spark, d):
+    return C.exact_flags(table(spark, d, "documents"), "doc_id", "text")
+
+
+SIMHASH = f"""t AS (SELECT doc_id, unnest(string_split({NORM.format(c="text")}, ' ')) AS t FROM documents),
+n AS (SELECT doc_id, ('0x' || substr(md5(t), 1, 15))::BIGINT AS h, count(*) AS n FROM t WHERE t <> '' GROUP BY doc_id, t),
+v AS (SELECT doc_id, b, sum(CASE WHEN (h >> b) & 1 = 1 THEN n ELSE -n END) AS v FROM n, range(60) r(b) GROUP BY 1, 2),
+s AS (SELECT doc_id, sum(CASE WHEN v > 0 THEN 1::BIGINT << b ELSE 0 END)::BIGINT AS simhash FROM v GROUP BY 1)"""
+
+
+@query(f"WITH {SIMHASH} SELECT * FROM s")
+def simhash_signature(spark, d):
+    return C.simhash(table(spark, d, "documents"), "doc_id", "text")
+
+
+@query(f"WITH {SIMHASH}, c AS (SELECT simhash, min(doc_id) AS id FROM s GROUP BY 1) SELECT a.simhash AS a_sig, b.simhash AS b_sig, a.id AS a_id, b.id AS b_id, bit_count(xor(a.simhash, b.simhash))::INTEGER AS distance FROM c a JOIN c b ON a.simhash < b.simhash AND bit_count(xor(a.simhash, b.simhash)) <= 3")
+def near_dups(spark, d):
+    return C.near_signatures(C.simhash(table(spark, d, "documents"), "doc_id", "text"), "doc_id")
+
+
+COS = "round(list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]), 4)"
+
+
+@query(f"SELECT * FROM (SELECT q.vec_id AS query_id, e.vec_id, {COS} AS cosine, row_number() OVER (PARTITION BY q.vec_id ORDER BY {COS} DESC, e.vec_id) AS rank FROM embeddings e JOIN embeddings q ON e.vec_id <> q.vec_id AND q.vec_id % 100 = 0) WHERE rank <= 10")
+def semantic_topk(spark, d):
+    e = table(spark, d, "embeddings").select("vec_id", "embedding")
+    return C.nearest(e, e.filter("vec_id % 100 = 0"), "vec_id", "embedding", 10)
+
+
+@query(f"WITH t AS (SELECT doc_id, unnest(string_split({NORM.format(c='text')}, ' ')) AS t FROM documents) SELECT doc_id, count(*) AS score FROM t WHERE t IN ('the', 'and', 'with') GROUP BY 1 HAVING count(DISTINCT t) = 3 ORDER BY score DESC, doc_id LIMIT 20")
+def fulltext_search(spark, d):
+    return C.search(C.inverted_index(table(spark, d, "documents"), "doc_id", "text"), ["the", "and", "with"], "doc_id", 20)
+
+
+@query("SELECT doc_id, name, value, 'system' AS origin, '1' AS prompt_version, count(*) AS n FROM (" + " UNION ALL ".join(f"SELECT doc_id, '{k}' AS name, unnest(regexp_extract_all(text, '{p}')) AS value FROM documents" for k, p in T.FIELDS.items()) + ") GROUP BY ALL")
+def whitelist_fields(spark, d):
+    return C.fields(table(spark, d, "documents"), "doc_id", "text").groupBy("doc_id", "name", "value", "origin", "prompt_version").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _language() -> str:
+    n = ", ".join("len(list_intersect(list_distinct(w), [" + ", ".join(f"'{x}'" for x in ws) + f"])) AS {k}" for k, ws in T.STOP_WORDS.items())
+    best = "greatest(" + ", ".join(T.STOP_WORDS) + ")"
+    pick = " ".join(f"WHEN {k} = {best} THEN '{k}'" for k in T.STOP_WORDS)
+    return f"SELECT doc_id, CASE WHEN {best} = 0 THEN NULL {pick} END AS detected FROM (SELECT doc_id, {n} FROM (SELECT doc_id, string_split({NORM.format(c='text')}, ' ') AS w FROM documents))"
+
+
+@query(_language())
+def language_detect(spark, d):
+    return table(spark, d, "documents").select("doc_id", T.language(F.col("text")).alias("detected"))
+
+
+@query("SELECT page_id, link, count(*) AS n FROM (SELECT page_id, unnest(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)) AS link FROM pages) GROUP BY 1, 2")
+def link_extract(spark, d):
+    return C.links(table(spark, d, "pages"), "page_id", "html").groupBy("page_id", "link").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT doc_id, i::INTEGER AS chunk, substr(text, (i * 1000 + 1)::BIGINT, 1000) AS part FROM documents, range(greatest(1, ceil(length(text) / 1000))::BIGINT) r(i) WHERE text IS NOT NULL".replace("documents, range", "documents, LATERAL range"))
+def chunk_text(spark, d):
+    return table(spark, d, "documents").filter("text is not null").select("doc_id", F.posexplode(T.chunks(F.col("text"), 1000)).alias("chunk", "part"))
+
+
+@query("SELECT conv_id, arg_min(role, turn) AS first_role, min(turn) AS first_turn, min(turn) FILTER (role = 'assistant') AS first_answer, count(*) AS turns FROM conversations GROUP BY 1")
+def first_tool_event(spark, d):
+    return table(spark, d, "conversations").groupBy("conv_id").agg(F.min_by("role", "turn").alias("first_role"), F.min("turn").alias("first_turn"), F.min(F.when(F.col("role") == "assistant", F.col("turn"))).alias("first_answer"), F.count(F.lit(1)).alias("turns"))
