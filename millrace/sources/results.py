@@ -24,7 +24,9 @@ def read_documents(spark: SparkSession, glob: str, schema: str) -> DataFrame:
     """JSON documents, one a file, with _path; none where nothing fits the glob."""
     if not _exists(spark, glob):
         return spark.createDataFrame([], f"{schema}, _path string")
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").json(glob).withColumn("_path", F.col("_metadata.file_path"))
+    # whole texts and from_json: a JSON scan of which only the corrupt column is used is refused
+    raw = spark.read.text(glob, wholetext=True).select(F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("j"), F.col("_metadata.file_path").alias("_path"))
+    return raw.select("j.*", "_path")
 
 
 def scan_runs(spark: SparkSession, root: str) -> DataFrame:
