@@ -7,9 +7,9 @@
 3. The signature is cut into C chunks with T < C * (errors + 1), so that of any two signatures within T
    at least one chunk differs in at most `errors` symbols. A class is filed under each chunk with each
    choice of that many symbols left out: all pairs within T share a key.
-4. Under each key every class is compared with the least one only (its hub), not with all. Distances
-   are tested, then links confirmed on the full sets: first each class with its least hub, then with
-   hubs of other components.
+4. Under each key every class could meet the least one only (its hub), not all. A class is compared with
+   one hub, that of most of its keys, then with one of those of other components: distances are tested,
+   then links confirmed on the full sets.
 5. What the hubs don't settle: keys whose classes still lie in more than one component. Their classes are
    joined exactly, by the prefixes of their sets in order of rarity (two sets of similarity t share one
    of the rarest n - ceil(t n) + 1 shingles), between components only.
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.common import ROW_FILE, ROW_INDEX, ROW_KEY, documents, join_small, saved, with_row_key
+from millrace.llm.common import ROW_FILE, ROW_INDEX, ROW_KEY, documents, dropped, join_small, saved, with_row_key
 from millrace.llm.components import components
 
 N_SYMBOLS = 128
@@ -218,18 +218,31 @@ def _rest_pairs(sets: DataFrame, labels: DataFrame, similarity: tuple[int, int])
     by_node = W.partitionBy("node")
     rank = F.col("n") - F.count(F.lit(1)).over(by_node) + F.row_number().over(by_node.orderBy("freq", "h"))  # those of one set only come first
     prefix = rows.withColumn("rank", rank).filter(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * num / F.lit(den)) + 1)
-    prefix = saved(_labelled(prefix.select("h", "node", "n"), labels, "node", "label"), "prefixes")
+    prefix = saved(_labelled(prefix.select("h", "node", "n", "rank"), labels, "node", "label"), "prefixes")
     # of each shingle the component with most rows, and all others: rows of one component never meet
     top = prefix.groupBy("h", "label").count().groupBy("h").agg(F.max_by("label", F.struct("count", "label")).alias("top"), F.count(F.lit(1)).alias("k")).filter("k > 1").drop("k")
     rows = saved(prefix.join(top, "h"), "mixed")
-    most = rows.filter("label = top").select("h", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("l_a"))
+    most = rows.filter("label = top").select("h", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("rank").alias("r_a"), F.col("label").alias("l_a"))
     other = rows.filter("label <> top")
-    a, b = (other.select("h", F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("label").alias(f"l_{x}")) for x in "ab")
-    fits = F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num
+    a, b = (other.select("h", F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("rank").alias(f"r_{x}"), F.col("label").alias(f"l_{x}")) for x in "ab")
+    # of sets similar enough, the first shared shingle leaves as many places in both as they must share
+    fits = (F.least(F.col("n_a") - F.col("r_a"), F.col("n_b") - F.col("r_b")) + 1) * (num + den) >= (F.col("n_a") + F.col("n_b")) * num
     met = most.join(b, "h").filter(fits).select("a", "b").unionByName(a.join(b, "h").filter(fits & (F.col("l_a") < F.col("l_b"))).select("a", "b"))
     return met.distinct()
 
 
+def _nearest_hub(filed: DataFrame) -> DataFrame:
+    """a, b: for each node the hub, other than itself, that it meets under most keys."""
+    return filed.filter("node <> hub").groupBy(F.col("node").alias("a")).agg(F.mode("hub", True).alias("b"))
+
+
+def _open_rows(filed: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of keys whose nodes lie in more than one component."""
+    labelled = _labelled(filed.select("key", "node"), labels, "node", "label")
+    keys = saved(labelled.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("m")).filter("l < m").select("key"), "open-keys")
+    return saved(join_small(filed, keys, "key", "left_semi", keys.count(), 24), "open")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5, similarity: tuple[int, int] = (4, 5)) -> DataFrame:
     """One row per row of docs: row key, id, n_shingles, component_id (least id), stays (one row of each component)."""
     rows = with_row_key(docs).select(*ROW_KEY, F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -242,24 +255,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     hubs = saved(keyed.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size")).filter("size > 1").select("key", "hub"), "hubs")
     n_hubs = hubs.count()
     filed = saved(join_small(keyed, hubs, "key", "inner", n_hubs, 40), "filed")  # the keys that more than one class has
-    pairs = filed.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    pairs = saved(_within(pairs, classes, similarity, threshold), "pairs")
 
-    sets = saved(_set_rows(rows, classes, pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), n_words), "sets")
-    least = pairs.groupBy("a").agg(F.min("b").alias("b"))
-    links = saved(_confirmed(least, sets, similarity), "links")
+    def linked(pairs: DataFrame) -> DataFrame:
+        near = saved(_within(pairs, classes, similarity, threshold), "pairs")
+        nodes = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
+        sets = saved(_set_rows(rows, classes, nodes, n_words), "sets")
+        links = saved(_confirmed(near, sets, similarity), "links")
+        dropped(sets)
+        return links
+
+    tried = saved(_nearest_hub(filed), "tried")
+    links = linked(tried)
     labels = saved(components(links), "labels")
-    others = _labelled(_labelled(pairs.join(least, ["a", "b"], "left_anti"), labels, "a", "l_a"), labels, "b", "l_b").filter("l_a <> l_b").select("a", "b")
-    more = saved(_confirmed(others, sets, similarity), "links")
-    links = links.unionByName(more)
+    rest = _open_rows(filed, labels)
+    across = _labelled(_labelled(rest, labels, "node", "l_a"), labels, "hub", "l_b").filter("l_a <> l_b").select("node", "hub")
+    others = _nearest_hub(across.join(tried.toDF("node", "hub"), ["node", "hub"], "left_anti"))
+    more = linked(others)
     if not more.isEmpty():
+        links = links.unionByName(more)
         labels = saved(components(links), "labels")
+        rest = _open_rows(rest, labels)  # a key without different components stays so
 
-    open_keys = _labelled(filed.select("key", "node"), labels, "node", "label").groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("m")).filter("l < m").select("key")
-    rest = saved(filed.join(open_keys, "key", "left_semi").select("node").distinct(), "rest")
-    if not rest.isEmpty():
-        rest_sets = saved(_set_rows(rows, classes, rest, n_words), "sets")
-        found = saved(_confirmed(_rest_pairs(rest_sets, labels, similarity), rest_sets, similarity), "links")
+    nodes = saved(rest.select("node").distinct(), "rest")
+    if not nodes.isEmpty():
+        sets = saved(_set_rows(rows, classes, nodes, n_words), "sets")
+        found = saved(_confirmed(_rest_pairs(sets, labels, similarity), sets, similarity), "links")
+        dropped(sets)
         if not found.isEmpty():
             labels = saved(components(links.unionByName(found)), "labels")
 
