@@ -8,8 +8,10 @@
    at least one chunk differs in at most `errors` symbols. A class is filed under each chunk with each
    choice of that many symbols left out: all pairs within T share a key.
 4. Under each key every class could meet the least one only (its hub), not all. A class is compared with
-   one hub, that of most of its keys, then with one of those of other components: distances are tested,
-   then links confirmed on the full sets.
+   one hub, that of most of its keys: distances are tested, then links confirmed on the full sets. In up to
+   HUB_TURNS more turns, a key whose classes lie in several components takes a hub from the largest of
+   them, the one under most keys of those that were none before, and classes of the others are compared
+   with one such hub.
 5. What the hubs don't settle: keys whose classes still lie in more than one component. Their classes are
    joined exactly, by the prefixes of their sets in order of rarity (two sets of similarity t share one
    of the rarest n - ceil(t n) + 1 shingles), between components only.
@@ -40,6 +42,7 @@ from millrace.llm.components import components
 N_SYMBOLS = 128
 MAX_SIGMA = 4.5
 ERRORS = 1
+HUB_TURNS = 3  # turns of comparing with hubs of other components; what they leave is joined exactly
 
 _U = np.uint64
 _rng = np.random.default_rng(20240229)
@@ -236,11 +239,15 @@ def _nearest_hub(filed: DataFrame) -> DataFrame:
     return filed.filter("node <> hub").groupBy(F.col("node").alias("a")).agg(F.mode("hub", True).alias("b"))
 
 
-def _open_rows(filed: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of keys whose nodes lie in more than one component."""
+def _open_rows(filed: DataFrame, labels: DataFrame, used: DataFrame) -> DataFrame:
+    """The rows (key, node) of keys whose nodes lie in more than one component, each with its label, the component
+    with most rows of the key, and the key's hub: the node of that component under most keys of all, none of used."""
     labelled = _labelled(filed.select("key", "node"), labels, "node", "label")
-    keys = saved(labelled.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("m")).filter("l < m").select("key"), "open-keys")
-    return saved(join_small(filed, keys, "key", "left_semi", keys.count(), 24), "open")
+    degree = labelled.groupBy("node").agg(F.count(F.lit(1)).alias("degree")).join(used, "node", "left_anti")
+    parts = labelled.join(degree, "node", "left").groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.max_by("node", F.when(F.col("degree").isNotNull(), F.struct("degree", "node"))).alias("hub"))
+    tops = parts.groupBy("key").agg(F.max_by(F.struct(F.col("label").alias("top"), "hub"), F.struct("n", "label")).alias("t"), F.count(F.lit(1)).alias("k")).filter("k > 1")
+    tops = saved(tops.select("key", "t.top", "t.hub"), "open-keys")
+    return saved(join_small(labelled, tops, "key", "inner", tops.count(), 40), "open")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5, similarity: tuple[int, int] = (4, 5)) -> DataFrame:
@@ -267,14 +274,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tried = saved(_nearest_hub(filed), "tried")
     links = linked(tried)
     labels = saved(components(links), "labels")
-    rest = _open_rows(filed, labels)
-    across = _labelled(_labelled(rest, labels, "node", "l_a"), labels, "hub", "l_b").filter("l_a <> l_b").select("node", "hub")
-    others = _nearest_hub(across.join(tried.toDF("node", "hub"), ["node", "hub"], "left_anti"))
-    more = linked(others)
-    if not more.isEmpty():
-        links = links.unionByName(more)
+    rest = _open_rows(filed, labels, tried.select(F.col("b").alias("node")).distinct())
+    for _ in range(HUB_TURNS):
+        across = rest.filter("label <> top and hub is not null").select("node", "hub")
+        others = saved(_nearest_hub(across.join(tried.toDF("node", "hub"), ["node", "hub"], "left_anti")), "tried")
+        more = linked(others)
+        if more.isEmpty():
+            break
+        links, tried = links.unionByName(more), tried.unionByName(others)
         labels = saved(components(links), "labels")
-        rest = _open_rows(rest, labels)  # a key without different components stays so
+        rest = _open_rows(rest, labels, tried.select(F.col("b").alias("node")).distinct())  # a key without different components stays so
 
     nodes = saved(rest.select("node").distinct(), "rest")
     if not nodes.isEmpty():
