@@ -161,8 +161,8 @@ def rubric_scores(spark, d):
 
 @query("""SELECT user_id AS run_id, coalesce(feedback, '') AS feedback, runs FROM (SELECT user_id, count(*) AS runs FROM events WHERE event_type = 'click' GROUP BY 1) a FULL JOIN (SELECT doc_id AS user_id, lang AS feedback FROM documents WHERE doc_id < 300) b USING (user_id)""")
 def feedback_full_outer(spark, d):
-    a = table(spark, d, "events").filter("event_type = 'click'").groupBy(F.col("user_id").alias("run_id")).agg(F.count(F.lit(1)).alias("runs"))
-    b = table(spark, d, "documents").filter("doc_id < 300").select(F.col("doc_id").alias("run_id"), F.col("lang").alias("feedback"))
+    a = table(spark, d, "events").groupBy(F.col("user_id").alias("run_id")).agg(F.count(F.lit(1)).alias("runs"))
+    b = table(spark, d, "documents").select(F.col("doc_id").alias("run_id"), F.col("lang").alias("feedback"))
     return a.join(b, "run_id", "full").select("run_id", F.coalesce("feedback", F.lit("")).alias("feedback"), "runs")
 
 
