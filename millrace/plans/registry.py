@@ -130,7 +130,8 @@ def test_anti(spark, d):
 SELECT iteration, """ + ", ".join(f"coalesce(max(CASE WHEN triggers * 2 >= runs THEN 'ok ' ELSE 'no ' END || triggers || '/' || runs) FILTER (event_type = '{t}'), 'no 0/0') AS {t}" for t in ("click", "view", "purchase")) + " FROM c GROUP BY 1")
 def iteration_matrix(spark, d):
     x = table(spark, d, "events").groupBy(F.dayofmonth("ts").alias("iteration"), F.col("event_type").alias("query")).agg(F.count_if(F.col("value") > 50).alias("triggers"), F.count(F.lit(1)).alias("runs"))
-    return E.matrix(x.withColumn("pass", F.col("triggers") * 2 >= F.col("runs")), ["click", "view", "purchase"])
+    kinds = sorted(r[0] for r in x.select("query").distinct().collect() if r[0] is not None)  # of all iterations, so that no event is without a column
+    return E.matrix(x.withColumn("pass", F.col("triggers") * 2 >= F.col("runs")), kinds)
 
 
 @query("""WITH g AS (SELECT source AS eval_id, lang AS text, avg(toxic) FILTER (doc_id % 2 = 0) AS a, avg(toxic) FILTER (doc_id % 2 = 1) AS b FROM documents JOIN labels USING (doc_id) GROUP BY 1, 2)
