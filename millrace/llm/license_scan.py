@@ -1,12 +1,15 @@
-"""License scan: sparse TF-IDF cosine of lines to licence templates, then inheritance from the nearest directory.
-
-Every line of every text that holds a stem of the templates' anchor words is a header candidate. Its
-vector has tf * ln((N + 1) / (df + 1)) for the templates' terms, df and N over all documents; words
-outside the templates count as of df 0, so that other matter in the line lowers the cosine. A line
-matches its best template at a cosine of MIN_COSINE or more. A file's own licence is that of its best
-line. A licence file is one with such a name, or of whose words the matching lines hold half or more;
-the best licence file of a directory licenses it. A file without a licence inherits from its nearest
+"""License scan: sparse TF-IDF cosine of word windows to licence templates, then inheritance from the nearest directory.
+
+Line ends, comment marks and other signs don't count: a text is the sequence of its words. Every word that
+holds a stem of the templates' anchor words is laid on each template's words of that stem, and the window
+of as many words as the template has, so aligned, is a candidate. A notice is thus found whether it is wrapped,
+follows other words in its line or stands in a text without line ends. A window's vector has
+tf * ln((N + 1) / (df + 1)) for the templates' terms, df and N over all documents; words outside the
+templates count as of df 0. It matches at a cosine of MIN_COSINE or more. A file's own licence is that of
+its best window. A licence file is one with such a name, or of whose words the matching windows cover half
+or more; the best licence file of a directory licenses it. A file without a licence inherits from its nearest
 licensed ancestor directory: ancestors are made for distinct directories, not for files, and joined.
+Whole licence texts are known by their headings and notices; there are no full-text templates.
 
 Only DataFrame functions. Ties go to the least licence, then the least path. Null text has no lines. A null
 path has no directory. Repeated rows are scanned each. An empty table gives an empty result.
@@ -42,6 +45,17 @@ TEMPLATES = [
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
 ]
+#: Headings of licence files and notices of several lines. The SQL, which scores single lines, doesn't have them.
+HEADINGS = [
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("GPL-2.0-only", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-2.0-only", "under the terms of the GNU General Public License version 2 as published by the Free Software Foundation"),
+    ("GPL-2.0-or-later", "under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version"),
+    ("GPL-3.0-only", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL-3.0-or-later", "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"),
+    ("LGPL-3.0-only", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+]
 #: Every template holds one of these.
 ANCHORS = ("licen", "redistribution", "permission")
 LICENSE_FILE = r"(?i)^(licen[cs]e|copying|notice|unlicense)([.\-_].*)?$"
@@ -58,7 +72,11 @@ def _has_anchor(text: Column) -> Column:
     return out
 
 
-def scan(files: DataFrame, path: Column, text_col: str = "text", templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
+def _stems(word: Column) -> Column:
+    return F.filter(F.array(*map(F.lit, ANCHORS)), lambda a: F.contains(word, a))
+
+
+def scan(files: DataFrame, path: Column, text_col: str = "text", templates: list[tuple[str, str]] = TEMPLATES + HEADINGS) -> DataFrame:
     """One row per row of files: row key, path, license, origin (own, inherited, none), cosine, from_dir."""
     spark = files.sparkSession
     known = spark.createDataFrame([(k, *t) for k, t in enumerate(templates)], "template int, license string, notice string")
@@ -75,16 +93,25 @@ def scan(files: DataFrame, path: Column, text_col: str = "text", templates: list
     vectors = tf.join(F.broadcast(idf), "term").withColumn("w", F.col("tf") * F.col("idf"))
     vectors = vectors.withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy("template")))).select("template", "license", "term", F.col("w").alias("tw"), F.col("norm").alias("tnorm"))
 
-    lines = rows.filter(_has_anchor(F.col("text"))).select(*ROW_KEY, F.size(terms(F.col("text"))).alias("n_terms"), F.posexplode(F.split("text", "\n")).alias("line", "said")).filter(_has_anchor(F.col("said")))
-    at = [*ROW_KEY, "n_terms", "line"]
-    counted = lines.select(*at, F.explode(terms(F.col("said"))).alias("term")).groupBy(*at, "term").agg(F.count(F.lit(1)).alias("tf")).join(F.broadcast(idf), "term", "left")
-    weighed = saved(counted.withColumn("w", F.col("tf") * F.coalesce("idf", unknown)), "lines")
-    norms = weighed.groupBy(*at).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.sum("tf").alias("n_line"))
-    dots = weighed.join(F.broadcast(vectors), "term").groupBy(*at, "template", "license", "tnorm").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
-    cosine = F.round(F.col("dot") / (F.col("norm") * F.col("tnorm")), 6)
-    matched = dots.join(norms, at).withColumn("cosine", cosine).filter(F.col("cosine") >= MIN_COSINE)
-    best_of_line = matched.groupBy(*at, "n_line").agg(F.min(F.struct((-F.col("cosine")).alias("m"), "license")).alias("best"))
-    own = best_of_line.groupBy(*ROW_KEY, "n_terms").agg(F.min("best").alias("best"), F.sum("n_line").alias("n_matched"))
+    said = known.select("template", "license", terms(F.col("notice")).alias("words")).select("template", "license", F.size("words").alias("n"), F.posexplode("words").alias("offset", "word"))
+    laid = said.select("template", "license", "n", "offset", F.explode(_stems(F.col("word"))).alias("stem")).join(vectors.select("template", "tnorm").distinct(), "template")
+    before, after = laid.agg(F.max("offset"), F.max(F.col("n") - F.col("offset"))).first()
+
+    words = rows.filter(_has_anchor(F.col("text"))).select(*ROW_KEY, terms(F.col("text")).alias("words"))
+    spots = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.size(_stems(F.get("words", i))) > 0)
+    near = F.transform(spots, lambda i: F.struct(i.alias("spot"), F.greatest(i - before, F.lit(0)).alias("first"), F.slice("words", F.greatest(i - before, F.lit(0)) + 1, F.least(i, F.lit(before)) + after).alias("near"), _stems(F.get("words", i)).alias("stems")))
+    found = words.select(*ROW_KEY, F.size("words").alias("n_terms"), F.explode(near).alias("s")).select(*ROW_KEY, "n_terms", "s.spot", "s.first", "s.near", F.explode("s.stems").alias("stem"))
+    start, end = F.greatest(F.col("spot") - F.col("offset"), F.lit(0)), F.col("spot") - F.col("offset") + F.col("n")
+    windows = found.join(F.broadcast(laid), "stem").withColumns({"start": start, "end": F.least(end, F.col("n_terms")), "said": F.slice("near", start - F.col("first") + 1, end - start)})
+    at = [*ROW_KEY, "n_terms", "start", "end", "template", "license", "tnorm"]
+    counted = windows.select(*at, F.explode("said").alias("term")).groupBy(*at, "term").agg(F.count(F.lit(1)).alias("tf"))  # a window met by two anchors counts each word twice, which leaves the cosine as it is
+    weighed = counted.join(F.broadcast(idf), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", unknown)).join(F.broadcast(vectors.select("template", "term", "tw")), ["template", "term"], "left")
+    sums = weighed.groupBy(*at).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.sum(F.col("w") * F.col("tw")).alias("dot"))
+    matched = saved(sums.withColumn("cosine", F.round(F.col("dot") / (F.col("norm") * F.col("tnorm")), 6)).filter(F.col("cosine") >= MIN_COSINE), "matched")
+    reached = F.max("end").over(W.partitionBy(*ROW_KEY).orderBy("start").rowsBetween(W.unboundedPreceding, -1))
+    spans = matched.groupBy(*ROW_KEY, "n_terms", "start").agg(F.max("end").alias("end"), F.min(F.struct((-F.col("cosine")).alias("m"), "license")).alias("best"))
+    fresh = F.greatest(F.col("end") - F.greatest(F.col("start"), F.coalesce(reached, F.lit(0))), F.lit(0))  # words that no window before covers
+    own = spans.withColumn("fresh", fresh).groupBy(*ROW_KEY, "n_terms").agg(F.min("best").alias("best"), F.sum("fresh").alias("n_matched"))
     own = saved(own.select(*ROW_KEY, F.col("best.license").alias("own"), (-F.col("best.m")).alias("own_cosine"), (F.col("n_matched") * 2 >= F.col("n_terms")).alias("is_most")), "own")
 
     place = rows.select(*ROW_KEY, "path", F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("dir"))
