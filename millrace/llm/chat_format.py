@@ -47,15 +47,14 @@ def preference_rows(chosen: DataFrame, rejected: DataFrame, pair: str = "pair_id
 
 
 def swapped_pairs(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs from plain conversations: chosen up to the last assistant turn; rejected with that turn's text from the partner, conv_id xor 1."""
+    """Pairs from plain conversations: chosen is all of one; rejected is it up to the last assistant turn, with the text of the partner's, conv_id xor 1. Without an answer of both there is no rejected side."""
     rows = conversations.select(F.col("conv_id").alias("pair_id"), "turn", "role", "text").filter("pair_id is not null and turn is not null")
     last = rows.filter("role = 'assistant'").groupBy("pair_id").agg(F.max(F.struct("turn", F.coalesce("text", F.lit("")).alias("text"))).alias("last"))
     other = last.select(F.col("pair_id").bitwiseXOR(F.lit(1)).alias("pair_id"), F.col("last.text").alias("other"))
     ends = last.select("pair_id", F.col("last.turn").alias("last")).join(other, "pair_id")
-    upto = rows.join(ends, "pair_id").filter("turn <= last")
-    chosen = upto.select("pair_id", "turn", "role", "text")
+    before = rows.join(ends, "pair_id").filter("turn < last").select("pair_id", "turn", "role", "text")
     swap = ends.select("pair_id", F.col("last").alias("turn"), F.lit("assistant").alias("role"), F.col("other").alias("text"))
-    return chosen, upto.filter("turn < last").select("pair_id", "turn", "role", "text").unionByName(swap)
+    return rows, before.unionByName(swap)
 
 
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
