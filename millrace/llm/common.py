@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
+import sys
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,12 +18,57 @@ ROW_FILE, ROW_INDEX = "_mr_file", "_mr_row"
 ROW_KEY = [ROW_FILE, ROW_INDEX]
 
 
+#: What one Python worker may remember of tokens and pieces, in bytes, whatever the operator.
+WORKER_BYTES = 96 << 20
+#: An Arrow batch of whole texts is closed at this many bytes.
+BATCH_BYTES = 8 << 20
+_owned: dict[str, object] = {}
+
+
+def owned(name: str, make: Callable[[], object]):
+    """The one thing that this Python worker keeps between tasks; it goes when another operator or model comes."""
+    if name not in _owned:
+        _owned.clear()
+        gc.collect()
+        _owned[name] = make()
+    return _owned[name]
+
+
+class Budget:
+    """Bytes that the memories of one operator may still take."""
+
+    def __init__(self, left: int = WORKER_BYTES):
+        self.left = left
+
+
+class Memory(dict):
+    """make(key) -> (value, whether to keep it), remembered while the budget lasts; a full memory costs time, not results."""
+
+    def __init__(self, make: Callable, budget: Budget, longest: int = 64):
+        super().__init__()
+        self.make, self.budget, self.longest = make, budget, longest
+
+    def __missing__(self, key):
+        value, keep = self.make(key)
+        if keep and self.budget.left > 0 and len(key) <= self.longest:
+            self[key] = value
+            self.budget.left -= sys.getsizeof(key) + sys.getsizeof(value) + 120  # its part of the table
+        return value
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches are closed by bytes, not by rows alone: some texts are very long."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder that the driver and all executors share (spark.checkpoint.dir); one of our own only where that is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="millrace-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
@@ -35,6 +82,7 @@ def shared_path(spark: SparkSession, tag: str) -> str:
 def saved(df: DataFrame, tag: str) -> DataFrame:
     """df as a Parquet table in the shared folder: it cuts the lineage, and a lost executor takes nothing with it."""
     spark = df.sparkSession
+    bounded_batches(spark)
     path = shared_path(spark, tag)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
@@ -78,6 +126,14 @@ def is_plain_scan(df: DataFrame) -> bool:
     return is_scan and "_metadata" not in df.columns
 
 
+def fresh_name(df: DataFrame, base: str) -> str:
+    """A column name that df doesn't have."""
+    name = f"_mr_{base}"
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def join_small(left: DataFrame, right: DataFrame, on: Sequence[str] | str, how: str, right_rows: int, row_bytes: int) -> DataFrame:
     """left joined to right; right is broadcast only if right_rows * row_bytes is small, else the keys are shuffled."""
     if right_rows * row_bytes <= BROADCAST_BYTES:
@@ -91,4 +147,5 @@ def ascii_lower(c):
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -1,31 +1,39 @@
 """Toxicity: a noisy channel is undone by Viterbi decoding, and the restored text is scored.
 
-1. Language model: counts of three characters (26 letters, any other letter, none) over all texts of
-   the table, summed by Spark; how much is gathered grows with the number of input partitions.
-2. Restoring: a token that may be disguised (digits or signs among letters, separators between single
-   letters, letters repeated three times or more, and runs of single letters apart by spaces) becomes a
-   lattice: each character can stand for itself, for letters it looks like, for nothing (a separator),
-   and a run of one letter for one or two of it, each at a cost. The path of least cost under channel
-   and language model is the restored word. All other tokens have one path and are taken as they are.
-3. Scoring: words and their first 4 to 7 letters are features, hashed to N_BUCKETS. Their weights are
-   log odds of document counts by class over all labelled rows that aren't held out. The evidence of a
-   document is the sum of its TOP strongest words; a logistic curve makes it a score. The curve is fitted
-   on evidence for which each labelled document's own counts were taken out.
-
-Nothing is sampled or cut: whole texts are read, in training and scoring. Null, empty and wordless
-texts have no evidence and get the curve's value there. Repeated documents get equal scores. Several
-labels of one identifier count as toxic if any is; labels with null are left out. Without both classes
-all scores are the share of toxic rows (0 without labels). An empty table gives an empty result.
+1. Language model: counts of four characters in a row (26 letters, with or without a mark; any other letter;
+   none) over all texts of the table, summed by Spark. A letter's cost after three others comes from these
+   counts, smoothed by those of three, two and one.
+2. Restoring: every token that holds a letter and anything else, or a letter three times in a row, becomes a
+   lattice, whatever its length or share of letters: each character can stand for itself, for letters it looks
+   like, or for nothing (a separator, a sign that looks like no letter); a run of three or more of one
+   character stands for one or two of what it stands for. So do tokens of look-alikes without a letter if
+   there is one among them that isn't a digit, and single characters apart by spaces. The path of least cost
+   under channel and language model is the restored word. The lattice has one step per character or run and at
+   most N_CLASSES ** 3 states a step, so that time is linear in the token's length.
+3. Scoring: words and their first 4 to 7 letters are features, hashed to N_BUCKETS. Documents are counted by feature
+   and class over all labelled rows that aren't held out; features whose log odds are more than MARGIN standard
+   errors from 0, of either sign, take part in a logistic regression, fitted with a quadratic penalty on the driver, on
+   at most FIT_ROWS of the labelled rows, drawn by a hash of their identifier. The score of a document is that of all its
+   distinct features, in the restored text.
+
+But for that fit nothing is sampled or cut: whole texts are read, in training and scoring. Weights are one number a bucket
+at most: 16 MB in each worker, whatever the input; the fit takes the features of FIT_ROWS documents to the driver.
+
+Null, empty and wordless texts have no features and get the regression's offset. Repeated documents get equal
+scores. Several labels of one identifier count as toxic if any is; labels with null are left out. Without both classes
+all scores are the share of toxic rows (0 without labels). An empty table gives an empty result. Other columns aren't
+read, and columns of any name come back as they were. Of paths of equal cost the first listed is taken. A token of
+digits alone is a number and isn't restored.
 """
 
 from __future__ import annotations
 
-import heapq
 import math
 import re
+import unicodedata
 import uuid
 import zlib
-from collections import Counter
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,15 +42,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import documents, join_small, saved
+from millrace.llm.common import Budget, Memory, bounded_batches, documents, fresh_name, join_small, owned, saved
 
 N_BUCKETS = 1 << 22
 PREFIXES = (4, 5, 6, 7)
-TOP = 3
-MIN_POSITIVE = 2  # other toxic documents that a feature must occur in
-MIN_WEIGHT = 1.0
+MARGIN = 2.0
+FIT_ROWS = 40_000
+PENALTY = 0.1
 N_CLASSES = 28
-MAX_KEPT = 300_000
+_CUBE = N_CLASSES**3
 
 #: What a character may stand for besides itself.
 LOOKS_LIKE = {
@@ -53,108 +61,135 @@ SEPARATORS = set(".-_*~/\\,'`^")
 STAND_IN, LEFT_OUT, REPEATED = 1.0, 0.7, 0.7
 
 _WORDS = re.compile(r"[^\W\d_]+")
-_LETTER = re.compile(r"[^\W\d_]")
 _RUN = re.compile(r"([^\W\d_])\1\1")
+_RUNS = re.compile(r"(.)\1*", re.DOTALL)
+_SIGNS = set(LOOKS_LIKE) - set("0123456789")
 _SPACED = re.compile(r"(?<!\S)[^\s,;:](?: [^\s,;:]){2,}(?=[.,;:!?]?(?:\s|$))")
-_TAIL = re.compile(r"[^\w]{3,}$")
+_TAIL = re.compile(r"[^\w@$!|+(<€£¡*]{3,}$|([^\w\s])\1{2,}$")
 _ENDS = ".,;:?\"'()[]{}|<>…«»“”"
 
 
-def _class_table() -> np.ndarray:
-    table = np.zeros(256, np.int64)
-    table[ord("A") : ord("Z") + 1] = table[ord("a") : ord("z") + 1] = np.arange(1, 27)
-    table[128:] = 27
-    return table
+def letter_class(c: str) -> int:
+    """1 to 26 for a letter of a to z, with or without marks, 27 for another letter, 0 for none."""
+    base = unicodedata.normalize("NFD", c)[0].lower()
+    return ord(base) - 96 if "a" <= base <= "z" else 27 if c.isalpha() else 0
 
 
-_CLASS = _class_table()
+_CLASS = np.array([letter_class(chr(c)) for c in range(0x3000)], np.int32)
 
 
-def trigram_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """Counts by class of three bytes in a row, over all texts; N_CLASSES ** 3 numbers."""
+def _class_of(c: str) -> int:
+    k = ord(c)
+    return int(_CLASS[k]) if k < 0x3000 else 27 if c.isalpha() else 0
+
+
+def classes_of(text: str) -> np.ndarray:
+    raw = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return np.where(raw < 0x3000, _CLASS[np.minimum(raw, 0x2FFF)], 27)
+
+
+def ngram_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
+    """Counts by class of four characters in a row, over all texts; N_CLASSES ** 4 numbers."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(N_CLASSES**3, np.int64)
+        total = np.zeros(N_CLASSES**4, np.int64)
         for b in batches:
-            for text in b.column(0):
-                raw = np.frombuffer((text.as_py() or "").encode(), np.uint8)
-                for at in range(0, len(raw), 1 << 20):
-                    c = np.zeros(min(len(raw) - at, 1 << 20) + 3, np.int64)
-                    c[2:-1] = _CLASS[raw[at : at + (1 << 20)]]
-                    total += np.bincount((c[:-2] * N_CLASSES + c[1:-1]) * N_CLASSES + c[2:], minlength=len(total))
+            joined = "\n\n\n".join((t.as_py() or "") for t in b.column(0))  # three that are no letters stand between texts
+            for at in range(0, len(joined), 1 << 20):
+                c = np.zeros(3, np.int64)
+                c = np.concatenate([classes_of(joined[max(0, at - 3) : at]), classes_of(joined[at : at + (1 << 20)])] if at else [c, classes_of(joined[: 1 << 20])]).astype(np.int64)
+                code = ((c[:-3] * N_CLASSES + c[1:-2]) * N_CLASSES + c[2:-1]) * N_CLASSES + c[3:]
+                total += np.bincount(code, minlength=len(total))
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["code", "n"])
 
-    rows = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).collect()  # N_CLASSES ** 3 rows at most
-    out = np.zeros(N_CLASSES**3, np.int64)
-    for code, n in rows:
-        out[code] = n
+    rows = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()  # N_CLASSES ** 4 rows at most
+    out = np.zeros(N_CLASSES**4, np.int64)
+    out[rows["code"].to_numpy()] = rows["n"].to_numpy()
     return out
 
 
-def trigram_costs(counts: np.ndarray) -> list:
-    n = counts.reshape(N_CLASSES, N_CLASSES, N_CLASSES) + 0.1
-    return (-np.log(n / n.sum(axis=2, keepdims=True))).tolist()
-
-
-def _letter_class(c: str) -> int:
-    return ord(c) - 96 if "a" <= c <= "z" else 27 if c.isalpha() else 0
-
-
-def lattice(token: str) -> list[list[tuple[int, str, float]]]:
-    """Arcs by place: (next place, letters, cost)."""
-    arcs: list[list[tuple[int, str, float]]] = []
-    for k, c in enumerate(token):
-        here = [(k + 1, c, 0.0)] if c.isalpha() else []
-        here += [(k + 1, x, STAND_IN) for x in LOOKS_LIKE.get(c, "")]
-        if c in SEPARATORS or not here:
-            here.append((k + 1, "", LEFT_OUT))
-        end = k + 1
-        while end < len(token) and token[end] == c:
-            end += 1
-        if end - k > 2 and c.isalpha():
-            here += [(end, c, REPEATED), (end, c + c, REPEATED)]
-        arcs.append(here)
-    return arcs
-
-
-def restored(token: str, costs: list) -> str:
-    """Viterbi: the letters of least cost through the token's lattice."""
-    arcs, n = lattice(token), len(token)
-    best: list[dict[tuple[int, int], tuple[float, str]]] = [{} for _ in range(n + 1)]
-    best[0][0, 0] = (0.0, "")
-    for k in range(n):
-        for (a, b), (cost, word) in best[k].items():
-            for to, letters, own in arcs[k]:
-                x, y, c = a, b, cost + own
-                for letter in letters:
-                    z = _letter_class(letter)
-                    c += costs[x][y][z]
-                    x, y = y, z
-                old = best[to].get((x, y))
-                if old is None or (c, word + letters) < old:
-                    best[to][x, y] = (c, word + letters)
-    ends = [(c + costs[x][y][0], w) for (x, y), (c, w) in best[n].items()]
-    return min(ends)[1] if ends else ""
+def ngram_costs(counts: np.ndarray) -> array:
+    """-log probability of a class after three others, flat: each order is smoothed by the one below it."""
+    n4 = counts.reshape([N_CLASSES] * 4).astype(float)
+    below = np.full(N_CLASSES, 1 / N_CLASSES)
+    for order in (1, 2, 3, 4):
+        n = n4.sum(axis=tuple(range(4 - order)))
+        below = (n + 4 * below) / (n.sum(axis=-1, keepdims=True) + 4)
+    return array("f", -np.log(below).ravel())
+
+
+def lattice(token: str) -> list[list[tuple[str, tuple[int, ...], float]]]:
+    """For each character or run of three or more: what it may stand for (letters, their classes, cost)."""
+    steps = []
+    for m in _RUNS.finditer(token):
+        c, n = m[1], len(m[0])
+        one = [(c, 0.0)] if c.isalpha() else []
+        one += [(x, STAND_IN) for x in LOOKS_LIKE.get(c, "")]
+        gone = [("", LEFT_OUT)] if c in SEPARATORS or not one else []
+        if n > 2:
+            here = [(x * k, cost + REPEATED) for x, cost in one for k in (1, 2)] + gone
+            n = 1
+        else:
+            here = one + gone
+        options = [(x, tuple(map(_class_of, x)), cost) for x, cost in here]
+        steps += [options] * n
+    return steps
+
+
+def restored(token: str, costs: array) -> str:
+    """Viterbi: the letters of least cost through the token's lattice. States are the last three letters' classes."""
+    states, back, done = {0: 0.0}, [], []
+    for options in lattice(token):
+        new, how = {}, {}
+        for s, before in states.items():
+            for letters, classes, own in options:
+                x, c = s, before + own
+                for z in classes:
+                    x = x * N_CLASSES + z
+                    c += costs[x]
+                    x %= _CUBE
+                if x not in new or c < new[x]:
+                    new[x], how[x] = c, (s, letters)
+        states = new
+        back.append(how)
+        if len(states) == 1 and len(back) > 256:  # all paths go through here
+            done.append(_followed(back, next(iter(states))))
+            back = []
+    end = min(states, key=lambda s: states[s] + costs[s * N_CLASSES])
+    done.append(_followed(back, end))
+    return "".join(done)
+
+
+def _followed(back: list[dict[int, tuple[int, str]]], state: int) -> str:
+    out = []
+    for how in reversed(back):
+        state, letters = how[state]
+        out.append(letters)
+    return "".join(reversed(out))
+
+
+def disguised(core: str) -> bool:
+    """Whether there may be a word behind it: a letter, or a look-alike that is no digit among three."""
+    return any(map(str.isalpha, core)) or (not _SIGNS.isdisjoint(core) and sum(map(LOOKS_LIKE.__contains__, core)) > 2)
 
 
 class Restorer:
     """words(token): the words that a token between white space stands for."""
 
-    def __init__(self, costs: list):
+    def __init__(self, costs: array):
         self.costs = costs
 
     def words(self, token: str) -> list[str]:
         low = token.lower()
         if low.isalpha() and not _RUN.search(low):
             return [low]
-        core = _TAIL.sub("", low).strip(_ENDS).rstrip("!")
-        if core.isalpha():
-            return [core, restored(core, self.costs)] if _RUN.search(core) else [core]
         found = _WORDS.findall(low)
-        letters = sum(map(len, found))
-        if letters >= 1 and 3 <= len(core) <= 40 and letters * 2 >= len(core.replace("-", "").replace(".", "")) - 1:
-            found.append(restored(core, self.costs))
+        for core in {_TAIL.sub("", low).strip(_ENDS).rstrip("!"), low.strip(_ENDS)}:
+            if core.isalpha() and not _RUN.search(core):
+                found.append(core)
+            elif disguised(core):
+                found.append(restored(core, self.costs))
         return found
 
     def spaced(self, text: str) -> list[str]:
@@ -163,7 +198,7 @@ class Restorer:
 
 def features(word: str) -> list[int]:
     """Buckets of a word and of its beginnings (in bytes)."""
-    raw = word.encode()
+    raw = word.encode("utf-8", "surrogatepass")
     out = [zlib.crc32(raw) % N_BUCKETS]
     for k in PREFIXES:
         if len(raw) > k:
@@ -171,24 +206,12 @@ def features(word: str) -> list[int]:
     return out
 
 
-class _Memory(dict):
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, key):
-        value = self.make(key)
-        if len(self) < MAX_KEPT and len(key) < 64:
-            self[key] = value
-        return value
-
-
 def feature_counts(rows: DataFrame, costs) -> DataFrame:
     """bucket, positive, negative: how many toxic and other documents have each feature. rows: text, toxic."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fix = Restorer(costs.value)
-        of = _Memory(lambda token: [x for w in fix.words(token) for x in features(w)])
+        of = Memory(lambda token: (array("i", [x for w in fix.words(token) for x in features(w)]), True), Budget())
         found: list[list[np.ndarray]] = [[], []]
 
         def flush() -> pa.RecordBatch:
@@ -219,98 +242,109 @@ def feature_counts(rows: DataFrame, costs) -> DataFrame:
 
 
 class Evidence:
-    """Evidence of a text: the sum of its TOP strongest words. own: 1 or 0 takes one such document out of the counts."""
+    """What a text says for being toxic: the sum of the weights of its distinct features. table: a weight a bucket."""
 
-    def __init__(self, costs: list, counts: dict[int, tuple[int, int]], n_positive: int, n_negative: int, own: int | None = None):
-        self.fix = Restorer(costs)
-        p_out, n_out = int(own == 1), int(own == 0)
-        base = math.log((n_negative - n_out + 1) / (n_positive - p_out + 1))
+    def __init__(self, costs: array, table: array):
+        self.fix, self.table = Restorer(costs), table
+        self.of = Memory(lambda token: (self.told(self.fix.words(token)), True), Budget())
 
-        def weight(word: str) -> float:
-            most = 0.0
-            for x in features(word):
-                got = counts.get(x)
-                if got and got[0] - p_out >= MIN_POSITIVE:
-                    most = max(most, math.log((got[0] - p_out + 0.5) / (max(got[1] - n_out, 0) + 0.5)) + base)
-            return most if most >= MIN_WEIGHT else 0.0
+    def told(self, words: list[str]) -> tuple[int, ...]:
+        return tuple({x for w in words for x in features(w) if self.table[x]})
 
-        self.weight = weight
-        self.of = _Memory(lambda token: max(map(weight, self.fix.words(token)), default=0.0))
+    def features(self, text: str | None) -> set[int]:
+        """The buckets with a weight that the text has."""
+        own: set[int] = set()
+        if text:
+            own.update(*map(self.of.__getitem__, set(text.split())))
+            own.update(self.told(self.fix.spaced(text)))
+        return own
 
     def __call__(self, text: str | None) -> float:
-        if not text:
-            return 0.0
-        strong = [x for x in map(self.of.__getitem__, set(text.split())) if x]
-        strong += [x for x in map(self.weight, self.fix.spaced(text)) if x]
-        return sum(heapq.nlargest(TOP, strong))
-
-
-_kept: dict[str, Evidence] = {}
-
-
-def kept_evidence(name: str, make) -> Evidence:
-    """The evidence of one model in this Python worker, which goes on using what it remembers in the tasks to come."""
-    if name not in _kept:
-        _kept.clear()
-        _kept[name] = make()
-    return _kept[name]
-
-
-def fit_curve(seen: dict[tuple[float, int], int]) -> tuple[float, float]:
-    """Slope and offset of a logistic curve, from counts by (evidence, class); Newton steps, slightly held back."""
-    if not seen:
-        return 1.0, 0.0
-    e, y, n = (np.array(x, float) for x in zip(*[(k[0], k[1], v) for k, v in sorted(seen.items())], strict=True))
-    a, b = 0.0, 0.0
-    x = np.stack([e, np.ones_like(e)])
-    for _ in range(60):
-        p = 1 / (1 + np.exp(-np.clip(a * e + b, -30, 30)))
-        grad = x @ (n * (p - y)) + 0.05 * np.array([a, 0.01 * b])
-        hess = (x * (n * p * (1 - p))) @ x.T + np.diag([0.05, 0.0005]) + 1e-9 * np.eye(2)
-        step = np.linalg.solve(hess, grad)
-        step *= min(1.0, 2.0 / max(1e-12, np.abs(step).max()))
-        a, b = a - step[0], b - step[1]
-        if np.abs(step).max() < 1e-6:
+        return math.fsum(map(self.table.__getitem__, self.features(text)))
+
+
+def fit(row: np.ndarray, column: np.ndarray, y: np.ndarray, n_columns: int, steps: int = 60, kept: int = 8) -> tuple[np.ndarray, float]:
+    """Weights and offset of a logistic regression over places (row, column) of ones, by limited-memory quasi-Newton steps."""
+
+    def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
+        m = np.bincount(row, w[:-1][column], minlength=len(y)) + w[-1]
+        off = 1 / (1 + np.exp(-np.clip(m, -30, 30))) - y
+        grad = np.append(np.bincount(column, off[row], minlength=n_columns) + PENALTY * w[:-1], off.sum())
+        return float(np.logaddexp(0, np.where(y == 1, -m, m)).sum() + PENALTY / 2 * (w[:-1] @ w[:-1])), grad
+
+    w, past = np.zeros(n_columns + 1), []
+    now, grad = loss(w)
+    for _ in range(steps):
+        way, shares = grad.copy(), []
+        for d, g in reversed(past):
+            shares.append(d @ way / (g @ d))
+            way -= shares[-1] * g
+        way *= (past[-1][0] @ past[-1][1]) / (past[-1][1] @ past[-1][1]) if past else 1 / max(1.0, float(np.linalg.norm(grad)))
+        for (d, g), share in zip(past, reversed(shares), strict=True):
+            way += d * (share - g @ way / (g @ d))
+        length, slope = 1.0, grad @ way
+        for _ in range(30):
+            there, its = loss(w - length * way)
+            if there <= now - 1e-4 * length * slope:
+                break
+            length /= 2
+        d, g = -length * way, its - grad
+        if d @ g > 1e-12:
+            past = [*past, (d, g)][-kept:]
+        done = abs(now - there) < 1e-6 * max(1.0, abs(now))
+        w, now, grad = w + d, there, its
+        if done:
             break
-    return float(a), float(b)
+    return w[:-1], float(w[-1])
 
 
 class Model:
-    def __init__(self, costs: list, counts: dict[int, tuple[int, int]], n_positive: int, n_negative: int, curve: tuple[float, float]):
-        self.costs, self.counts, self.n_positive, self.n_negative, self.curve = costs, counts, n_positive, n_negative, curve
+    """costs: of the language model; buckets, weight, offset: of the regression, or the share of toxic rows where one class has none."""
+
+    def __init__(self, costs: array, buckets: np.ndarray, weight: np.ndarray, offset: float, share: float | None = None):
+        self.costs, self.buckets, self.weight, self.offset, self.share = costs, buckets, weight, offset, share
+
+    def evidence(self) -> Evidence:
+        table = np.zeros(N_BUCKETS, np.float32)
+        table[self.buckets] = self.weight
+        return Evidence(self.costs, array("f", table.tobytes()))
 
     def score(self, evidence: float) -> float:
-        if not self.n_positive or not self.n_negative:
-            return self.n_positive / max(1, self.n_positive + self.n_negative)
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.curve[0] * evidence + self.curve[1]))))
+        if self.share is not None:
+            return self.share
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, evidence + self.offset))))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
-    """Language model from all of docs, weights and curve from the labelled rows that aren't held out."""
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", fit_rows: int = FIT_ROWS) -> Model:
+    """Language model from all of docs, telling features from all labelled rows that aren't held out, weights from fit_rows of these."""
     spark = docs.sparkSession
-    costs = spark.sparkContext.broadcast(trigram_costs(trigram_counts(docs, text_col)))  # N_CLASSES ** 3 numbers
+    bounded_batches(spark)
+    costs = spark.sparkContext.broadcast(ngram_costs(ngram_counts(docs, text_col)))  # N_CLASSES ** 4 numbers of 4 bytes
     known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_y")).filter("_id is not null and _y is not null").groupBy("_id").agg(F.max(F.col("_y").cast("int")).alias("_y"))
-    known = known.filter(~held_out(F.col("_id")))
+    known = saved(known.filter(~held_out(F.col("_id"))), "labels")
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
-    rows = join_small(rows, known, "_id", "inner", known.count(), 40).select("text", (F.col("_y") > 0).cast("int").alias("toxic"))
+    rows = join_small(rows, known, "_id", "inner", known.count(), 40).select("_id", "text", (F.col("_y") > 0).cast("int").alias("toxic"))
     n = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     pos, neg = n.get(1, 0), n.get(0, 0)
     if not pos or not neg:
-        return Model(costs.value, {}, pos, neg, (1.0, 0.0))
-    lift = math.log((neg + 1) / (pos + 1))
-    strong = saved(feature_counts(rows, costs).filter((F.col("positive") >= MIN_POSITIVE) & (F.log((F.col("positive") + 0.5) / (F.greatest(F.col("negative") - 1, F.lit(0)) + 0.5)) + lift >= MIN_WEIGHT)), "features")
-    counts = {r["bucket"]: (r["positive"], r["negative"]) for r in strong.collect()}  # N_BUCKETS rows at most
-    shared = spark.sparkContext.broadcast(counts)
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, seen = [Evidence(costs.value, shared.value, pos, neg, own) for own in (0, 1)], Counter()
+        return Model(costs.value, np.empty(0, np.int64), np.empty(0, np.float32), 0.0, pos / max(1, pos + neg))
+    p, q = F.col("positive") + 0.5, F.col("negative") + 0.5
+    telling = F.abs(F.log(p / q) + math.log((neg + 1) / (pos + 1))) > MARGIN * F.sqrt(1 / p + 1 / q)
+    buckets = np.sort(feature_counts(rows, costs).filter(telling).select("bucket").toArrow()["bucket"].to_numpy())  # N_BUCKETS numbers at most
+    shared = spark.sparkContext.broadcast(Model(costs.value, buckets, np.ones(len(buckets), np.float32), 0.0))
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = shared.value.evidence()
         for b in batches:
-            for text, toxic in zip(b.column(0), b.column(1).to_pylist(), strict=True):
-                seen[round(of[toxic](text.as_py()), 2), toxic] += 1
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in seen], pa.float64()), pa.array([k[1] for k in seen], pa.int32()), pa.array(list(seen.values()), pa.int64())], ["evidence", "toxic", "n"])
+            own = [np.fromiter(of.features(t.as_py()), np.int32).tobytes() for t in b.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()), b.column(1)], ["own", "toxic"])
 
-    held = rows.mapInArrow(measure, "evidence double, toxic int, n long").groupBy("evidence", "toxic").agg(F.sum("n").alias("n"))
-    return Model(costs.value, counts, pos, neg, fit_curve({(r["evidence"], r["toxic"]): r["n"] for r in held.collect()}))  # evidence is rounded to hundredths
+    drawn = rows.filter((F.xxhash64("_id") / F.lit(2.0**64) + 0.5) * (pos + neg) < 0.97 * fit_rows) if pos + neg > fit_rows else rows
+    found = drawn.select("text", "toxic").mapInArrow(told, "own binary, toxic int").limit(fit_rows).toArrow()
+    y, own = found["toxic"].to_numpy(), found["own"].to_pylist()
+    column = np.searchsorted(buckets, np.frombuffer(b"".join(own), np.int32)).astype(np.int32)
+    weight, offset = fit(np.repeat(np.arange(len(y), dtype=np.int32), [len(x) // 4 for x in own]), column, y, len(buckets))
+    return Model(costs.value, buckets, weight.astype(np.float32), offset)
 
 
 def held_out(doc_id):
@@ -319,12 +353,13 @@ def held_out(doc_id):
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "score") -> DataFrame:
     """docs and a score; a column of that name that was there before is replaced."""
-    shared, name = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+    bounded_batches(docs.sparkSession)
+    shared, name = docs.sparkSession.sparkContext.broadcast(model), "toxicity-" + uuid.uuid4().hex
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         m = shared.value
-        evidence = kept_evidence(name, lambda: Evidence(m.costs, m.counts, m.n_positive, m.n_negative))
+        evidence = owned(name, m.evidence)
         for texts in batches:
             yield pd.Series([m.score(evidence(x)) for x in texts], dtype="float64")
 
@@ -333,8 +368,8 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", out_col: str =
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """docs without the rows that score as toxic; its columns as they are."""
-    names = docs.columns
-    return scored(docs, train(docs, labels), out_col="_mr_score").filter(F.col("_mr_score") < threshold).select(*[F.col(f"`{c}`") for c in names])
+    names, score = docs.columns, fresh_name(docs, "score")
+    return scored(docs, train(docs, labels), out_col=score).filter(F.col(score) < threshold).select(*[F.col(f"`{c}`") for c in names])
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
