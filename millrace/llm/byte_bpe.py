@@ -3,7 +3,7 @@
 The library splits a text by a pattern before it merges, and no part that the pattern makes goes on
 after a change from non-space to white space. So a text may be cut there, each cut piece encoded by
 itself, and the ids joined: the same ids as for the whole text. Pieces repeat, so their ids are kept
-(packed as little-endian integers) in a bounded dictionary in each Python worker.
+(packed as little-endian integers) in each Python worker while its bytes last.
 
 A text that holds a special token's string, or white space other than space, tab and line ends, is
 encoded whole by the library.
@@ -20,15 +20,12 @@ import numpy as np
 import public_tokenizers
 import regex
 
+from millrace.llm.common import Budget, Memory, owned
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 VOCAB = "byte_bpe_50k.json"
 
-#: Pieces kept by a worker; when full, known ones go on being used and new ones are encoded each time.
-MAX_KEPT = 1_000_000
-#: Longer pieces are not kept.
-MAX_PIECE = 64
-
 _IRREGULAR = re.compile(r"[ \n]{2}|[\t\r\x0b\x0c]|^[\n]|[ \n]$")
 _RUNS = re.compile(r"\s*\S+|\s+")
 _ODD_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0 ᠎ -     　]")
@@ -41,18 +38,6 @@ def _byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
-class _Memory(dict):
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, key):
-        value, keep = self.make(key)
-        if keep and len(self) < MAX_KEPT and len(key) <= MAX_PIECE:
-            self[key] = value
-        return value
-
-
 class ByteBpe:
     """ids(text) -> packed little-endian ids; the integer type is the least that holds the vocabulary."""
 
@@ -68,9 +53,10 @@ class ByteBpe:
         self.space = self.alphabet[32]
         self.tokenize = self.library.model.tokenize
         self.pattern = regex.compile(public_tokenizers.PATTERN)
-        self.parts = _Memory(lambda part: (self._merge(part), True))
-        self.after_space = _Memory(self._after_space)
-        self.runs = _Memory(lambda run: (self._whole(run), True))
+        budget = Budget()
+        self.parts = Memory(lambda part: (self._merge(part), True), budget)
+        self.after_space = Memory(self._after_space, budget)
+        self.runs = Memory(lambda run: (self._whole(run), True), budget)
 
     def _merge(self, part: str) -> bytes:
         """Ids of one part of the pattern, straight from the library's merges."""
@@ -114,11 +100,6 @@ class ByteBpe:
         return np.array(ids, self.dtype).tobytes()
 
 
-_own: dict[str, ByteBpe] = {}
-
-
 def encoder(vocab: str = VOCAB) -> ByteBpe:
-    """One encoder for each vocabulary in each Python process."""
-    if vocab not in _own:
-        _own[vocab] = ByteBpe(vocab)
-    return _own[vocab]
+    """The encoder of a vocabulary in this Python process."""
+    return owned(f"bytes-{vocab}", lambda: ByteBpe(vocab))

@@ -185,12 +185,12 @@ class Restorer:
         if low.isalpha() and not _RUN.search(low):
             return [low]
         found = _WORDS.findall(low)
-        for core in {_TAIL.sub("", low).strip(_ENDS).rstrip("!"), low.strip(_ENDS)}:
+        for core in dict.fromkeys((_TAIL.sub("", low).strip(_ENDS).rstrip("!"), low.strip(_ENDS))):
             if core.isalpha() and not _RUN.search(core):
                 found.append(core)
             elif disguised(core):
                 found.append(restored(core, self.costs))
-        return found
+        return list(dict.fromkeys(found))
 
     def spaced(self, text: str) -> list[str]:
         return [restored(m[0].lower().replace(" ", ""), self.costs) for m in _SPACED.finditer(text)]

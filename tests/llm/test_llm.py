@@ -128,7 +128,7 @@ def test_toxicity_held_out(spark):
 
 def test_restoring(spark):
     docs = spark.createDataFrame([(1, "you idiot stupid loser worthless moron " * 50)], "doc_id long, text string")
-    fix = toxicity.Restorer(toxicity.trigram_costs(toxicity.trigram_counts(docs)))
+    fix = toxicity.Restorer(toxicity.ngram_costs(toxicity.ngram_counts(docs)))
     for hidden, word in (("1d10t", "idiot"), ("5tup1d", "stupid"), ("i.d.i.o.t", "idiot"), ("l0$er", "loser"), ("stuuuupid", "stupid"), ("w0rthless!", "worthless")):
         assert word in fix.words(hidden)
     assert fix.words("plain,") == ["plain"] and fix.words("108.51.2.1") == []
