@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side is broadcast only if its rows, as counted, need no more bytes than this.
@@ -97,6 +97,13 @@ def dropped(df: DataFrame) -> None:
         remove(df.sparkSession, path)
 
 
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, none if it isn't there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(x.getPath().getName() for x in store.listStatus(p)) if store.exists(p) else []
+
+
 def remove(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
@@ -107,14 +114,22 @@ def with_row_key(docs: DataFrame) -> DataFrame:
 
     Only a plain file scan has these; any other DataFrame is written to the shared folder first,
     so that a row has the same key each time it is read, repeated rows have different keys, and
-    no column of the caller's is trusted to be unique.
+    no column of the caller's is trusted to be unique. Columns of the caller's that have these names are renamed.
     """
-    if set(ROW_KEY) <= set(docs.columns):
+    if getattr(docs, "_millrace_keyed", False):
         return docs
-    keys = {ROW_FILE: F.xxhash64(F.col("_metadata.file_path")), ROW_INDEX: F.col("_metadata.row_index")}
+    taken = {c: fresh_name(docs, c) for c in docs.columns if c.lower() in ROW_KEY}
     if not is_plain_scan(docs):
         docs = saved(docs, "rows")
-    return docs.withColumns(keys)
+    out = docs.withColumnsRenamed(taken).withColumns({ROW_FILE: F.xxhash64(F.col("_metadata.file_path")), ROW_INDEX: F.col("_metadata.row_index")})
+    out._millrace_keyed, out._millrace_renamed = True, taken
+    return out
+
+
+def row_columns(keyed: DataFrame, docs: DataFrame) -> list[Column]:
+    """Of a frame made by with_row_key(docs): the columns of docs, under their names."""
+    renamed = getattr(keyed, "_millrace_renamed", {})
+    return [F.col(f"`{renamed.get(c, c)}`").alias(c) for c in docs.columns]
 
 
 def is_plain_scan(df: DataFrame) -> bool:

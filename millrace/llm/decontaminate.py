@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from millrace.llm.common import ROW_KEY, documents, join_small, saved, with_row_key
+from millrace.llm.common import ROW_KEY, documents, join_small, row_columns, saved, with_row_key
 
 N_WORDS = 5
 NUM, DEN = 4, 5  # contained: DEN * found >= NUM * size
@@ -113,7 +113,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     """docs without the rows that contain an item; its columns as they are."""
     keyed = with_row_key(docs)
     bad = saved(contained_items(keyed, items, id_col, text_col).select(*ROW_KEY).distinct(), "contaminated")
-    return join_small(keyed, bad, ROW_KEY, "left_anti", bad.count(), 64).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return join_small(keyed, bad, ROW_KEY, "left_anti", bad.count(), 64).select(*row_columns(keyed, docs))
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.common import ROW_FILE, ROW_INDEX, ROW_KEY, documents, dropped, join_small, saved, with_row_key
+from millrace.llm.common import ROW_FILE, ROW_INDEX, ROW_KEY, documents, dropped, join_small, row_columns, saved, with_row_key
 from millrace.llm.components import components
 
 N_SYMBOLS = 128
@@ -306,7 +306,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """docs with one row of each component; its columns as they are."""
     keyed = with_row_key(docs)
     gone = saved(near_duplicates(keyed, id_col, text_col, n_words, similarity).filter("not stays").select(*ROW_KEY), "gone")
-    return join_small(keyed, gone, ROW_KEY, "left_anti", gone.count(), 64).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return join_small(keyed, gone, ROW_KEY, "left_anti", gone.count(), 64).select(*row_columns(keyed, docs))
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
