@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import ROW_FILE, ROW_INDEX, ROW_KEY, documents, dropped, join_small, row_columns, saved, with_row_key
 from millrace.llm.components import components
 
-N_SYMBOLS = 128
+N_SYMBOLS = 64
 MAX_SIGMA = 4.5
 ERRORS = 1
 HUB_TURNS = 3  # turns of comparing with hubs of other components; what they leave is joined exactly
@@ -294,9 +294,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             labels = saved(components(links.unionByName(found)), "labels")
 
     named = _labelled(classes.select("set_id", "node"), labels, "node", "label").select("set_id", "label")
-    placed = signed.select(*ROW_KEY, "id", "n", "set_id").join(named, "set_id", "left")
-    best = placed.filter("label is not null").groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", *ROW_KEY)).alias("best"))
-    out = placed.join(best, "label", "left")
+    placed = saved(signed.select(*ROW_KEY, "id", "n", "set_id").join(saved(named, "named"), "set_id", "left"), "placed")
+    best = placed.filter("label is not null").groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", *ROW_KEY)).alias("best"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    best = saved(best.drop("rows"), "best")  # a hot label's rows can be split: nothing is gathered on this side of the join
+    out = join_small(placed, best, "label", "left", best.count(), 60)
     alone = F.col("best").isNull()
     stays = alone | ((F.col(f"best.{ROW_FILE}") == F.col(ROW_FILE)) & (F.col(f"best.{ROW_INDEX}") == F.col(ROW_INDEX)))
     return out.select(*ROW_KEY, "id", F.col("n").alias("n_shingles"), F.when(alone, F.col("id")).otherwise(F.col("best.id")).alias("component_id"), stays.alias("stays"))
