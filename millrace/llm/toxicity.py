@@ -47,7 +47,7 @@ from millrace.llm.common import Budget, Memory, bounded_batches, documents, fres
 N_BUCKETS = 1 << 22
 PREFIXES = (4, 5, 6, 7)
 MARGIN = 2.0
-FIT_ROWS = 40_000
+FIT_ROWS = 20_000
 PENALTY = 0.1
 N_CLASSES = 28
 _CUBE = N_CLASSES**3
@@ -181,7 +181,7 @@ class Restorer:
         self.costs = costs
 
     def words(self, token: str) -> list[str]:
-        low = token.lower()
+        low = token.lower()  # of tokens() it is that already
         if low.isalpha() and not _RUN.search(low):
             return [low]
         found = _WORDS.findall(low)
@@ -196,13 +196,21 @@ class Restorer:
         return [restored(m[0].lower().replace(" ", ""), self.costs) for m in _SPACED.finditer(text)]
 
 
-def features(word: str) -> list[int]:
-    """Buckets of a word and of its beginnings (in bytes)."""
-    raw = word.encode("utf-8", "surrogatepass")
-    out = [zlib.crc32(raw) % N_BUCKETS]
-    for k in PREFIXES:
-        if len(raw) > k:
-            out.append(zlib.crc32(raw[:k], 1) % N_BUCKETS)
+def tokens(text: str) -> set[str]:
+    """Distinct runs between white space, lower-cased; a comma or full stop that a space follows isn't part of them."""
+    return set(text.lower().replace(", ", " ").replace(". ", " ").split())
+
+
+def features(words: list[str]) -> list[int]:
+    """Buckets of words and of their beginnings (in bytes)."""
+    out, crc = [], zlib.crc32
+    for word in words:
+        raw = word.encode("utf-8", "surrogatepass")
+        out.append(crc(raw) & N_BUCKETS - 1)
+        for k in PREFIXES:
+            if len(raw) <= k:
+                break
+            out.append(crc(raw[:k], 1) & N_BUCKETS - 1)
     return out
 
 
@@ -211,7 +219,7 @@ def feature_counts(rows: DataFrame, costs) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fix = Restorer(costs.value)
-        of = Memory(lambda token: (array("i", [x for w in fix.words(token) for x in features(w)]), True), Budget())
+        of = Memory(lambda token: (array("i", features(fix.words(token))), True), Budget())
         found: list[list[np.ndarray]] = [[], []]
 
         def flush() -> pa.RecordBatch:
@@ -226,10 +234,9 @@ def feature_counts(rows: DataFrame, costs) -> DataFrame:
             for text, toxic in zip(b.column(0), b.column(1).to_pylist(), strict=True):
                 text = text.as_py() or ""
                 own: set[int] = set()
-                for token in set(text.split()):
+                for token in tokens(text):
                     own.update(of[token])
-                for word in fix.spaced(text):
-                    own.update(features(word))
+                own.update(features(fix.spaced(text)))
                 found[toxic].append(np.fromiter(own, np.int64, len(own)))
                 size += len(own)
                 if size > 2_000_000:
@@ -247,15 +254,17 @@ class Evidence:
     def __init__(self, costs: array, table: array):
         self.fix, self.table = Restorer(costs), table
         self.of = Memory(lambda token: (self.told(self.fix.words(token)), True), Budget())
+        self.shared: dict[int, int] = {}  # one object a bucket, however many tokens have it
 
     def told(self, words: list[str]) -> tuple[int, ...]:
-        return tuple({x for w in words for x in features(w) if self.table[x]})
+        table, same = self.table, self.shared.setdefault
+        return tuple([same(x, x) for x in features(words) if table[x]])
 
     def features(self, text: str | None) -> set[int]:
         """The buckets with a weight that the text has."""
         own: set[int] = set()
         if text:
-            own.update(*map(self.of.__getitem__, set(text.split())))
+            own.update(*map(self.of.__getitem__, tokens(text)))
             own.update(self.told(self.fix.spaced(text)))
         return own
 
@@ -263,14 +272,22 @@ class Evidence:
         return math.fsum(map(self.table.__getitem__, self.features(text)))
 
 
-def fit(row: np.ndarray, column: np.ndarray, y: np.ndarray, n_columns: int, steps: int = 60, kept: int = 8) -> tuple[np.ndarray, float]:
-    """Weights and offset of a logistic regression over places (row, column) of ones, by limited-memory quasi-Newton steps."""
+def fit(size: np.ndarray, column: np.ndarray, y: np.ndarray, n_columns: int, steps: int = 60, kept: int = 8) -> tuple[np.ndarray, float]:
+    """Weights and offset of a logistic regression by limited-memory quasi-Newton steps. Row k has size[k] ones, at the next places of column."""
+    ends = np.cumsum(size)
+    cuts = np.unique(np.r_[0, np.searchsorted(ends, np.arange(1 << 20, ends[-1] if len(ends) else 0, 1 << 20)), len(y)])  # rows in blocks, so that little stands beside the places
 
     def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
-        m = np.bincount(row, w[:-1][column], minlength=len(y)) + w[-1]
-        off = 1 / (1 + np.exp(-np.clip(m, -30, 30))) - y
-        grad = np.append(np.bincount(column, off[row], minlength=n_columns) + PENALTY * w[:-1], off.sum())
-        return float(np.logaddexp(0, np.where(y == 1, -m, m)).sum() + PENALTY / 2 * (w[:-1] @ w[:-1])), grad
+        grad, total = np.append(PENALTY * w[:-1], 0.0), PENALTY / 2 * float(w[:-1] @ w[:-1])
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            at = column[ends[a] - size[a] : ends[b - 1]]
+            row = np.repeat(np.arange(b - a), size[a:b])
+            m = np.bincount(row, w[:-1][at], minlength=b - a) + w[-1]
+            off = 1 / (1 + np.exp(-np.clip(m, -30, 30))) - y[a:b]
+            grad[:-1] += np.bincount(at, off[row], minlength=n_columns)
+            grad[-1] += off.sum()
+            total += float(np.logaddexp(0, np.where(y[a:b] == 1, -m, m)).sum())
+        return total, grad
 
     w, past = np.zeros(n_columns + 1), []
     now, grad = loss(w)
@@ -339,11 +356,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             own = [np.fromiter(of.features(t.as_py()), np.int32).tobytes() for t in b.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()), b.column(1)], ["own", "toxic"])
 
-    drawn = rows.filter((F.xxhash64("_id") / F.lit(2.0**64) + 0.5) * (pos + neg) < 0.97 * fit_rows) if pos + neg > fit_rows else rows
-    found = drawn.select("text", "toxic").mapInArrow(told, "own binary, toxic int").limit(fit_rows).toArrow()
-    y, own = found["toxic"].to_numpy(), found["own"].to_pylist()
-    column = np.searchsorted(buckets, np.frombuffer(b"".join(own), np.int32)).astype(np.int32)
-    weight, offset = fit(np.repeat(np.arange(len(y), dtype=np.int32), [len(x) // 4 for x in own]), column, y, len(buckets))
+    drawn = rows.filter((F.xxhash64("_id") / F.lit(2.0**64) + 0.5) * (pos + neg) < 0.95 * fit_rows) if pos + neg > fit_rows else rows  # 5 % below, so that chance doesn't carry it above
+    found = drawn.select("text", "toxic").mapInArrow(told, "own binary, toxic int").toArrow()  # fit_rows at most
+    y, size = found["toxic"].to_numpy(), np.array([len(x.as_buffer()) // 4 for x in found["own"]], np.int32)
+    column = np.concatenate([np.searchsorted(buckets, np.frombuffer(x.as_buffer(), np.int32)).astype(np.int32) for x in found["own"]] or [np.empty(0, np.int32)])
+    del found
+    weight, offset = fit(size, column, y, len(buckets))
     return Model(costs.value, buckets, weight.astype(np.float32), offset)
 
 
