@@ -19,7 +19,7 @@ ROW_KEY = [ROW_FILE, ROW_INDEX]
 
 
 #: What one Python worker may remember of tokens and pieces, in bytes, whatever the operator.
-WORKER_BYTES = 96 << 20
+WORKER_BYTES = 64 << 20
 #: An Arrow batch of whole texts is closed at this many bytes.
 BATCH_BYTES = 8 << 20
 _owned: dict[str, object] = {}

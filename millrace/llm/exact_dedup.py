@@ -44,6 +44,8 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "2",  # an executor may hold a hundred of them
+    "spark.sql.streaming.stateStore.maintenanceInterval": "5s",  # stores of a query that has ended are closed then
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # there are many small stores: no space set aside in each
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     "spark.sql.streaming.metricsEnabled": "false",
