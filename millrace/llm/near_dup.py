@@ -9,9 +9,9 @@
    choice of that many symbols left out: all pairs within T share a key.
 4. Under each key every class could meet the least one only (its hub), not all. A class is compared with
    one hub, that of most of its keys: distances are tested, then links confirmed on the full sets. In up to
-   HUB_TURNS more turns, a key whose classes lie in several components takes a hub from the largest of
-   them, the one under most keys of those that were none before, and classes of the others are compared
-   with one such hub.
+   HUB_TURNS more turns, each key whose classes lie in several components has N_HUBS of them as hubs, others in
+   each turn; of the hubs of all its keys that lie in other components, a class is compared with the one whose
+   signature is nearest.
 5. What the hubs don't settle: keys whose classes still lie in more than one component. Their classes are
    joined exactly, by the prefixes of their sets in order of rarity (two sets of similarity t share one
    of the rarest n - ceil(t n) + 1 shingles), between components only.
@@ -32,7 +32,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -43,6 +43,8 @@ N_SYMBOLS = 64
 MAX_SIGMA = 4.5
 ERRORS = 1
 HUB_TURNS = 3  # turns of comparing with hubs of other components; what they leave is joined exactly
+N_HUBS = 16  # of each key, in each turn
+SHORT = ["q0", "q1", "q2", "q3"]  # the lowest four bits of each symbol, packed
 
 _U = np.uint64
 _rng = np.random.default_rng(20240229)
@@ -127,18 +129,27 @@ def chunk_keys(signatures: np.ndarray, threshold: int, errors: int = ERRORS) ->
     return np.stack(keys, axis=1)
 
 
+def short_signature(sig: np.ndarray) -> np.ndarray:
+    """The lowest four bits of each symbol, sixteen symbols in a 64-bit integer."""
+    return ((sig.astype(_U) & _U(15)).reshape(-1, 16) << np.arange(0, 64, 4, dtype=_U)).sum(axis=1, dtype=_U).view(np.int64)
+
+
 def _signed(rows: DataFrame, n_words: int) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(len(SHORT), np.int64)
         for b in batches:
-            n, sets, sigs = [], [], []
+            n, sets, sigs, short = [], [], [], []
             for text in b.column(3):
                 s = shingle_set(text.as_py(), n_words)
+                sig = signature(s) if len(s) else None
                 n.append(len(s))
                 sets.append(np.array([_mix(s).sum(dtype=_U), _mix(s ^ _SEEDS[63]).sum(dtype=_U)], "<u8").tobytes() if len(s) else None)
-                sigs.append(signature(s).tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(n, pa.int64()), pa.array(sets, pa.binary()), pa.array(sigs, pa.binary())], [*ROW_KEY, "id", "n", "set_id", "sig"])
+                sigs.append(sig.tobytes() if len(s) else None)
+                short.append(short_signature(sig) if len(s) else none)
+            packed = np.array(short, np.int64).reshape(-1, len(SHORT))
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(n, pa.int64()), pa.array(sets, pa.binary()), pa.array(sigs, pa.binary()), *[pa.array(packed[:, k]) for k in range(len(SHORT))]], [*ROW_KEY, "id", "n", "set_id", "sig", *SHORT])
 
-    return rows.mapInArrow(sign, f"{ROW_FILE} long, {ROW_INDEX} long, id long, n long, set_id binary, sig binary")
+    return rows.mapInArrow(sign, f"{ROW_FILE} long, {ROW_INDEX} long, id long, n long, set_id binary, sig binary, " + ", ".join(f"{c} long" for c in SHORT))
 
 
 def _keyed(classes: DataFrame, threshold: int) -> DataFrame:
@@ -239,15 +250,42 @@ def _nearest_hub(filed: DataFrame) -> DataFrame:
     return filed.filter("node <> hub").groupBy(F.col("node").alias("a")).agg(F.mode("hub", True).alias("b"))
 
 
-def _open_rows(filed: DataFrame, labels: DataFrame, used: DataFrame) -> DataFrame:
-    """The rows (key, node) of keys whose nodes lie in more than one component, each with its label, the component
-    with most rows of the key, and the key's hub: the node of that component under most keys of all, none of used."""
-    labelled = _labelled(filed.select("key", "node"), labels, "node", "label")
-    degree = labelled.groupBy("node").agg(F.count(F.lit(1)).alias("degree")).join(used, "node", "left_anti")
-    parts = labelled.join(degree, "node", "left").groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.max_by("node", F.when(F.col("degree").isNotNull(), F.struct("degree", "node"))).alias("hub"))
-    tops = parts.groupBy("key").agg(F.max_by(F.struct(F.col("label").alias("top"), "hub"), F.struct("n", "label")).alias("t"), F.count(F.lit(1)).alias("k")).filter("k > 1")
-    tops = saved(tops.select("key", "t.top", "t.hub"), "open-keys")
-    return saved(join_small(labelled, tops, "key", "inner", tops.count(), 40), "open")
+def _open_rows(filed: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows (key, node) of keys whose nodes lie in more than one component, with each node's label, size and short signature."""
+    labelled = filed.select("key", "node").join(nodes, "node")
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
+    mixed = saved(mixed, "open-keys")
+    return saved(join_small(labelled, mixed, "key", "inner", mixed.count(), 40), "open")
+
+
+def _nearest_of_hubs(rows: DataFrame, similarity: tuple[int, int], threshold: int, turn: int) -> DataFrame:
+    """a, b: for each node, of the hubs of all its keys that lie in other components, the one at the least distance.
+
+    Each key has up to N_HUBS of its nodes as hubs, drawn by a hash that each turn has its own of. Distances are of short
+    signatures, within the row, so that no pairs are made but the one of each node.
+    """
+    num, den = similarity
+    told = ["node", "label", "n", *SHORT]
+    mixed = F.xxhash64("node", F.lit(turn))
+    some = rows.groupBy("key", F.pmod(mixed, F.lit(N_HUBS)).alias("part")).agg(F.max_by(F.struct(*told), mixed).alias("hub"))
+    hubs = some.groupBy("key").agg(F.collect_list("hub").alias("hubs"))  # N_HUBS of them at most
+    hubs = saved(hubs, "hubs-of-keys")
+    met = join_small(rows, hubs, "key", "inner", hubs.count(), 60 * N_HUBS)
+    fits = lambda h: (h["label"] != F.col("label")) & (F.least(h["n"], "n") * den >= F.greatest(h["n"], "n") * num)
+    near = F.array_min(F.transform(F.filter("hubs", fits), lambda h: F.struct(_short_distance(h).alias("d"), h["node"].alias("b"))))
+    best = met.groupBy(F.col("node").alias("a")).agg(F.min(near).alias("near"))
+    return best.filter(F.col("near.d") <= threshold).select("a", "near.b")
+
+
+def _short_distance(h) -> Column:
+    """Symbols whose lowest four bits differ between a struct's short signature and the row's."""
+    out = F.lit(0)
+    for c in SHORT:
+        x = h[c].bitwiseXOR(F.col(c))
+        for k in (1, 2):
+            x = x.bitwiseOR(F.shiftrightunsigned(x, k))
+        out = out + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    return out
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5, similarity: tuple[int, int] = (4, 5)) -> DataFrame:
@@ -255,7 +293,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = with_row_key(docs).select(*ROW_KEY, F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     threshold = distance_threshold(similarity[0] / similarity[1])
     signed = saved(_signed(rows, n_words), "signed")
-    first = signed.filter("n > 0").groupBy("set_id", "n").agg(F.first("sig").alias("sig"), F.min(F.struct(*ROW_KEY)).alias("rep"))
+    first = signed.filter("n > 0").groupBy("set_id", "n").agg(F.first("sig").alias("sig"), *[F.first(c).alias(c) for c in SHORT], F.min(F.struct(*ROW_KEY)).alias("rep"))
     classes = saved(first.withColumn("node", F.monotonically_increasing_id()), "classes")
 
     keyed = _keyed(classes, threshold)
@@ -274,16 +312,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tried = saved(_nearest_hub(filed), "tried")
     links = linked(tried)
     labels = saved(components(links), "labels")
-    rest = _open_rows(filed, labels, tried.select(F.col("b").alias("node")).distinct())
-    for _ in range(HUB_TURNS):
-        across = rest.filter("label <> top and hub is not null").select("node", "hub")
-        others = saved(_nearest_hub(across.join(tried.toDF("node", "hub"), ["node", "hub"], "left_anti")), "tried")
+    rest = filed
+    for turn in range(HUB_TURNS + 1):
+        rest = _open_rows(rest, _labelled(classes.select("node", "n", *SHORT), labels, "node", "label"))  # a key without different components stays so
+        if turn == HUB_TURNS:
+            break
+        others = saved(_nearest_of_hubs(rest, similarity, threshold, turn).join(tried, ["a", "b"], "left_anti"), "tried")
         more = linked(others)
         if more.isEmpty():
             break
         links, tried = links.unionByName(more), tried.unionByName(others)
         labels = saved(components(links), "labels")
-        rest = _open_rows(rest, labels, tried.select(F.col("b").alias("node")).distinct())  # a key without different components stays so
 
     nodes = saved(rest.select("node").distinct(), "rest")
     if not nodes.isEmpty():
