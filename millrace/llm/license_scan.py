@@ -124,7 +124,8 @@ def scan(files: DataFrame, path: Column, text_col: str = "text", templates: list
     ancestors = F.array_append(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.concat_ws("/", F.slice(parts, 1, i))), F.lit(""))
     dirs = placed.filter("own is null and dir is not null").select("dir").distinct().select("dir", F.explode(F.array_distinct(ancestors)).alias("from_dir"))
     nearest = dirs.join(by_dir, "from_dir").groupBy("dir").agg(F.max_by(F.struct("from_dir", "dir_license", "dir_cosine"), F.length("from_dir")).alias("near"))
-    out = placed.join(nearest, "dir", "left")
+    nearest = saved(nearest, "nearest")  # directories are far fewer than files; beyond the checked size a hot one's files can be split
+    out = join_small(placed, nearest, "dir", "left", nearest.count(), 160)
     has = F.col("own").isNotNull()
     origin = F.when(has, "own").when(F.col("near").isNotNull(), "inherited").otherwise("none")
     return out.select(*ROW_KEY, "path", F.coalesce("own", "near.dir_license").alias("license"), origin.alias("origin"), F.coalesce("own_cosine", "near.dir_cosine").alias("cosine"), F.when(~has, F.col("near.from_dir")).alias("from_dir"))

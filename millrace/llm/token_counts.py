@@ -62,13 +62,21 @@ def with_suffix_sums(histogram: DataFrame) -> DataFrame:
     return out.select("n_tokens", "n_docs", "docs_at_least", "tokens_at_least", cut.alias("truncated_total"))
 
 
-def totals(histogram: DataFrame, limits: list[int]) -> DataFrame:
-    """For each context limit: documents longer than it, tokens kept if they are cut to it, tokens lost."""
-    spark = histogram.sparkSession
-    kept = [F.coalesce(F.sum(F.least(F.col("n_tokens"), F.lit(x)) * F.col("n_docs")), F.lit(0)) for x in limits]
-    over = [F.coalesce(F.sum(F.when(F.col("n_tokens") > x, F.col("n_docs"))), F.lit(0)) for x in limits]
-    row = histogram.agg(F.coalesce(F.sum(F.col("n_tokens") * F.col("n_docs")), F.lit(0)).alias("total"), *[k.alias(f"k{i}") for i, k in enumerate(kept)], *[o.alias(f"o{i}") for i, o in enumerate(over)]).first()
-    return spark.createDataFrame([(x, row[f"o{i}"], row[f"k{i}"], row["total"] - row[f"k{i}"]) for i, x in enumerate(limits)], "context long, docs_over long, tokens_kept long, tokens_lost long")
+def totals(summed: DataFrame, limits: list[int]) -> DataFrame:
+    """For each context limit, whether it occurs as a length or not: documents longer than it, tokens kept if they are cut to it, tokens lost.
+
+    summed: of with_suffix_sums(). The suffix sums at the least length above a limit are the greatest of those above it, so
+    that they answer all limits in one pass over the lengths, without summing documents again.
+    """
+    spark = summed.sparkSession
+    above = [F.coalesce(F.max(F.when(F.col("n_tokens") > x, F.col(c))), F.lit(0)).alias(f"{c}{i}") for i, x in enumerate(limits) for c in ("docs_at_least", "tokens_at_least")]
+    row = summed.agg(F.coalesce(F.max("tokens_at_least"), F.lit(0)).alias("total"), *above).first()
+    out = []
+    for i, x in enumerate(limits):
+        over, tokens = row[f"docs_at_least{i}"], row[f"tokens_at_least{i}"]
+        kept = row["total"] - tokens + x * over
+        out.append((x, over, kept, row["total"] - kept))
+    return spark.createDataFrame(out, "context long, docs_over long, tokens_kept long, tokens_lost long")
 
 
 def quantiles(summed: DataFrame, shares: list[float]) -> DataFrame:

@@ -45,6 +45,8 @@ def test_token_counts(spark):
     n = [len(e.ids(t or "")) // 2 for _, t in EDGE]
     got = {r["n_tokens"]: tuple(r)[1:] for r in h.collect()}
     assert got == {k: (c, sum(x >= k for x in n), sum(x for x in n if x >= k), sum(min(x, k) for x in n)) for k, c in Counter(n).items()}
+    for limits in ([0], [1, 3, 7, 39_999, 50_000]):
+        assert [tuple(r) for r in token_counts.totals(h, limits).collect()] == [(k, sum(x > k for x in n), sum(min(x, k) for x in n), sum(max(0, x - k) for x in n)) for k in limits]
     assert [tuple(r) for r in token_counts.totals(h, [4]).collect()] == [(4, sum(x > 4 for x in n), sum(min(x, 4) for x in n), sum(max(0, x - 4) for x in n))]
     assert [r["n_tokens"] for r in token_counts.quantiles(h, [0.5, 1.0]).collect()] == [sorted(n)[len(n) // 2 - 1], max(n)]
     empty = token_counts.length_histogram(docs.limit(0))
