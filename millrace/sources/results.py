@@ -3,20 +3,30 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace import schemas
 
+#: Folders that hold no runs, names beside the outputs, and types by file extension.
 PRUNED = ("node_modules", ".git", "__pycache__", "skill", "inputs")
+BESIDE = ("transcript.md", "user_notes.md", "metrics.json")
 TEXT_TYPES = ("txt", "md", "json", "csv", "py", "js", "ts", "tsx", "jsx", "yaml", "yml", "xml", "html", "css", "sh", "rb", "go", "rs", "java", "c", "cpp", "h", "hpp", "sql", "r", "toml")
 IMAGE_TYPES = ("png", "jpg", "jpeg", "gif", "svg", "webp")
-MIME = {"svg": "image/svg+xml", "xlsx": "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet", "png": "image/png", "jpg": "image/jpeg", "jpeg": "image/jpeg", "gif": "image/gif", "webp": "image/webp", "pdf": "application/pdf"}
+OFFICE = "application/vnd.openxmlformats-officedocument"
+MIME = {
+    "svg": "image/svg+xml", "xlsx": f"{OFFICE}.spreadsheetml.sheet", "docx": f"{OFFICE}.wordprocessingml.document", "pptx": f"{OFFICE}.presentationml.presentation", "png": "image/png", "jpg": "image/jpeg",
+    "jpeg": "image/jpeg", "gif": "image/gif", "webp": "image/webp", "pdf": "application/pdf", "zip": "application/zip", "txt": "text/plain", "csv": "text/csv", "html": "text/html", "json": "application/json",
+}
+
+
+def _store(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
 def _exists(spark: SparkSession, glob: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(glob)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    store, path = _store(spark, glob)
+    found = store.globStatus(path)
     return found is not None and len(found) > 0
 
 
@@ -29,6 +39,12 @@ def read_documents(spark: SparkSession, glob: str, schema: str) -> DataFrame:
     return raw.select("j.*", "_path")
 
 
+def _folders(spark: SparkSession, glob: str) -> list[str]:
+    """Names of the folders that fit a glob, sorted."""
+    store, path = _store(spark, glob)
+    return sorted(x.getPath().getName() for x in store.globStatus(path) or [] if x.isDirectory())
+
+
 def scan_runs(spark: SparkSession, root: str) -> DataFrame:
     """One row per run of a tree <root>[/runs]/eval-*/<configuration>/run-*/grading.json, with the defaults for what is missing.
 
@@ -40,15 +56,15 @@ def scan_runs(spark: SparkSession, root: str) -> DataFrame:
     grading = grading.withColumns({"eval_dir": F.element_at(parts, -4), "configuration": F.element_at(parts, -3), "run_dir": F.element_at(parts, -2)})
     meta = read_documents(spark, f"{top}/eval-*/eval_metadata.json", schemas.METADATA).select(F.element_at(F.split("_path", "/"), -2).alias("eval_dir"), F.col("eval_id").alias("meta_id"), F.col("eval_name"), F.lit(True).alias("has_meta"))
     timing = read_documents(spark, f"{top}/eval-*/*/run-*/timing.json", schemas.TIMING).select(*[F.element_at(F.split("_path", "/"), -k).alias(c) for k, c in ((4, "eval_dir"), (3, "configuration"), (2, "run_dir"))], F.col("total_tokens").alias("t_tokens"), F.col("total_duration_seconds").alias("t_seconds"))
-    order = grading.select("eval_dir").distinct().withColumn("eval_idx", (F.row_number().over(W.orderBy("eval_dir")) - 1).cast("long"))  # one row an eval
-    x = grading.join(F.broadcast(order), "eval_dir").join(meta, "eval_dir", "left").join(timing, ["eval_dir", "configuration", "run_dir"], "left")
-    number = F.expr("try_cast(regexp_extract(eval_dir, '^eval-(.*)$', 1) AS bigint)")
+    order = spark.createDataFrame(list(enumerate(_folders(spark, f"{top}/eval-*"))), "eval_idx long, eval_dir string")  # all of them, those without runs too
+    x = grading.join(order, "eval_dir").join(meta, "eval_dir", "left").join(timing, ["eval_dir", "configuration", "run_dir"], "left")
+    number = F.expr("try_cast(regexp_extract(eval_dir, '^eval-([^-]*)', 1) AS bigint)")
     own = F.coalesce("timing.total_duration_seconds", F.lit(0.0))
     side = own == 0.0
     tokens = F.when(side, F.coalesce("t_tokens", F.lit(0))).otherwise(F.lit(0))
     chars = F.coalesce("execution_metrics.output_chars", F.lit(0))
     notes = F.concat(*[F.coalesce(F.col(f"user_notes_summary.{k}"), F.array().cast("array<string>")) for k in ("uncertainties", "needs_review", "workarounds")])
-    run_number = F.expr("try_cast(regexp_extract(run_dir, '^run-(.*)$', 1) AS int)")
+    run_number = F.expr("try_cast(regexp_extract(run_dir, '^run-([^-]*)', 1) AS int)")
     rejected = F.when(F.col("_corrupt_record").isNotNull(), "corrupt").when(run_number.isNull(), "run number")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     return x.select(
@@ -68,13 +84,57 @@ def read_feedback(spark: SparkSession, path: str) -> DataFrame:
     return rows.groupBy("run_id").agg(F.max_by("feedback", "at").alias("feedback"))
 
 
+def find_runs(spark: SparkSession, root: str) -> DataFrame:
+    """run_dir (relative to root), run_id: folders with an outputs folder, empty or not; nothing below them or a pruned folder is looked at."""
+    store, top = _store(spark, root)
+    found, todo = [], [(top, "")]
+    while todo:  # a listing of folders, as of any scan
+        path, rel = todo.pop()
+        inside = [x.getPath() for x in store.listStatus(path) if x.isDirectory()] if store.exists(path) else []
+        if any(x.getName() == "outputs" for x in inside):
+            found.append((rel or ".",))
+        else:
+            todo += [(x, f"{rel}/{x.getName()}".lstrip("/")) for x in inside if x.getName() not in PRUNED]
+    runs = spark.createDataFrame(found, "run_dir string")
+    return runs.withColumn("run_id", run_id(F.col("run_dir")))
+
+
+def _relative(spark: SparkSession, root: str) -> Column:
+    """The scanned file's path below root."""
+    store, path = _store(spark, root)
+    top = store.makeQualified(path).toString().rstrip("/")
+    plain = F.url_decode(F.replace(F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/"), F.lit("+"), F.lit("%2B")))
+    return F.substring(plain, len(top.replace("file:///", "file:/")) + 2, 1 << 20)
+
+
 def scan_outputs(spark: SparkSession, root: str) -> DataFrame:
-    """Files below any outputs folder: run_dir (what stands before the first /outputs/), name, kind and embedded content."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).filter(F.col("path").contains("/outputs/"))
-    files = files.filter(~F.col("path").rlike("/(" + "|".join(p.replace(".", r"\.") for p in PRUNED) + ")/"))
-    run_dir = F.regexp_extract("path", "^(.*?)/outputs/", 1)
-    name = F.element_at(F.split("path", "/"), -1)
-    return files.select(run_dir.alias("run_dir"), run_id(run_dir).alias("run_id"), name.alias("name"), *embedded(F.col("path"), F.col("content")))
+    """Files directly in the outputs folder of each run, but for what is written beside them: run_dir, run_id, name, kind, mime, data."""
+    rel = _relative(spark, root)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select(rel.alias("rel"), "content")
+    name = F.element_at(F.split("rel", "/"), -1)
+    own = F.regexp_extract(F.concat(F.lit("./"), "rel"), "^(.*)/outputs/[^/]*$", 1)
+    files = files.withColumns({"run_dir": F.when(own == ".", ".").otherwise(F.regexp_replace(own, r"^\./", "")), "name": name}).filter(~F.col("name").isin(*BESIDE))
+    return files.join(find_runs(spark, root), "run_dir").select("run_dir", "run_id", "name", *embedded(F.col("name"), F.col("content")))
+
+
+def review_runs(spark: SparkSession, root: str) -> DataFrame:
+    """run_id, eval_id, prompt, grading (JSON text): of the run, else of the folder above it; the prompt else from a transcript."""
+    runs = find_runs(spark, root)
+    rel = _relative(spark, root)
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "{eval_metadata.json,grading.json,transcript.md}").text(root, wholetext=True).select(rel.alias("rel"), "value")
+    files = files.select(F.coalesce(F.nullif(F.regexp_extract("rel", "^(.*)/[^/]*$", 1), F.lit("")), F.lit(".")).alias("dir"), F.element_at(F.split("rel", "/"), -1).alias("name"), "value")
+    meta = F.from_json("value", schemas.METADATA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    parsed = files.filter("name = 'eval_metadata.json'").select("dir", meta.alias("m")).filter("m._corrupt_record is null").select("dir", F.nullif("m.prompt", F.lit("")).alias("prompt"), "m.eval_id")
+    graded = files.filter("name = 'grading.json'").filter(F.try_parse_json("value").isNotNull() & ~F.trim("value").isin("", "{}", "null", "[]")).select("dir", F.col("value").alias("grading"))
+    said = F.regexp_extract("value", r"## Eval Prompt\n\n([\s\S]*?)(?=\n##|\z)", 1)
+    told = files.filter("name = 'transcript.md'").select("dir", F.nullif(F.regexp_replace(said, r"^\s+|\s+$", ""), F.lit("")).alias("said"))
+    above = F.when(F.col("run_dir").contains("/"), F.regexp_extract("run_dir", "^(.*)/[^/]*$", 1)).when(F.col("run_dir") == ".", F.lit(None)).otherwise(".")
+    outputs = F.when(F.col("run_dir") == ".", "outputs").otherwise(F.concat("run_dir", F.lit("/outputs")))
+    x = runs.withColumns({"above": above, "outputs": outputs})
+    for k, (key, part) in enumerate((("run_dir", parsed), ("above", parsed), ("run_dir", told), ("outputs", told), ("run_dir", graded), ("above", graded))):
+        x = x.join(part.toDF(f"dir{k}", *[f"{c}{k}" for c in part.columns[1:]]), F.col(key) == F.col(f"dir{k}"), "left")
+    own_id = F.when(F.col("prompt0").isNotNull(), F.col("eval_id0")).otherwise(F.coalesce("eval_id1", "eval_id0"))
+    return x.select("run_id", F.coalesce(own_id, "eval_id0", "eval_id1").alias("eval_id"), F.coalesce("prompt0", "prompt1", "said2", "said3", F.lit("(No prompt found)")).alias("prompt"), F.coalesce("grading4", "grading5").alias("grading")).orderBy(F.asc_nulls_last("eval_id"), "run_id")
 
 
 def run_id(path: Column) -> Column:
@@ -82,12 +142,12 @@ def run_id(path: Column) -> Column:
 
 
 def embedded(path: Column, content: Column) -> list[Column]:
-    """kind and content of a file: text as it is, images and the like as data URI or base64."""
+    """kind, mime and content of a file: text (bad bytes replaced), images and the like as data URI or base64."""
     ext = F.lower(F.regexp_extract(path, r"\.([^./]+)$", 1))
     mime = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in MIME.items() for x in kv]), ext), F.lit("application/octet-stream"))
     raw = F.regexp_replace(F.base64(content), "[\r\n]", "")
     kind = F.when(ext.isin(*TEXT_TYPES), "text").when(ext.isin(*IMAGE_TYPES), "image").when(ext == "pdf", "pdf").when(ext == "xlsx", "xlsx").otherwise("other")
-    data = F.when(kind == "text", F.expr("decode(content, 'UTF-8')")).when(kind == "xlsx", raw).otherwise(F.concat(F.lit("data:"), mime, F.lit(";base64,"), raw))
+    data = F.when(kind == "text", F.make_valid_utf8(content.cast("string"))).when(kind == "xlsx", raw).otherwise(F.concat(F.lit("data:"), mime, F.lit(";base64,"), raw))
     return [kind.alias("kind"), mime.alias("mime"), data.alias("data")]
 
 

@@ -1,35 +1,119 @@
-"""Event decisions and unattended ingestion."""
+"""Event decisions, in a batch or a stream, and unattended ingestion."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from millrace import schemas
 
+#: The tools that count, and the field of each one's input that must name what is wanted.
+FIELD = {"Skill": "skill", "Read": "file_path"}
+STATE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 
-def first_decisions(events: DataFrame, wanted: str, tools: tuple[str, ...] = ("Skill", "Read")) -> DataFrame:
-    """key, triggered: whether the first tool use of each key is one of tools and its input names `wanted`.
 
-    events: key, seq, e (see sources.events_of_lines). Input deltas up to the tool's stop are joined in order;
-    a full message decides where no streamed tool use did; a key without either isn't triggered.
+def first_decisions(events: DataFrame, wanted: str) -> DataFrame:
+    """key, triggered: the verdict of the first event of each key, in order of seq, that decides; False if none does.
+
+    events: key, seq, e (see sources.events_of_lines). What decides: the start of another tool (False); an input
+    delta after the start of a tool that counts, once the deltas since then hold `wanted` (True); the stop of a block
+    after such a start, or of a message (False); a full message with a tool use, by its first (whether its field holds
+    `wanted`); a result (False). A call's events are few, so a key is one window.
     """
-    start = F.col("e.event.type") == "content_block_start"
-    tool = start & (F.col("e.event.content_block.type") == "tool_use")
-    first = events.groupBy("key").agg(F.min(F.when(tool, F.struct("seq", F.col("e.event.content_block.name").alias("name")))).alias("first"))
-    stop = F.col("e.event.type").isin("content_block_stop", "message_stop")
-    x = events.join(first, "key")
-    after = x.filter(F.col("seq") > F.col("first.seq"))
-    end = after.filter(stop).groupBy("key").agg(F.min("seq").alias("end"))
-    deltas = after.join(end, "key", "left").filter((F.col("end").isNull() | (F.col("seq") < F.col("end"))) & F.col("e.event.delta.partial_json").isNotNull())
-    said = deltas.groupBy("key").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", F.col("e.event.delta.partial_json").alias("j")))), lambda s: s["j"]), "").alias("said"))
-    whole = F.filter(F.coalesce("e.message.content", F.array().cast("array<struct<type:string,name:string,input:map<string,string>>>")), lambda c: c["type"] == "tool_use")
-    full = events.filter(F.size(whole) > 0).groupBy("key").agg(F.min_by(F.element_at(whole, 1), "seq").alias("tool"))
-    in_full = F.col("tool.name").isin(*tools) & F.exists(F.map_values("tool.input"), lambda v: v.contains(wanted))
-    out = first.join(said, "key", "left").join(full, "key", "left")
-    hit = F.when(F.col("first").isNotNull(), F.col("first.name").isin(*tools) & F.coalesce(F.col("said").contains(wanted), F.lit(False))).otherwise(F.coalesce(in_full, F.lit(False)))
-    return out.select("key", hit.alias("triggered"))
+    kind, se = F.col("e.type"), F.when(F.col("e.type") == "stream_event", F.col("e.event.type"))
+    tool = (se == "content_block_start") & (F.col("e.event.content_block.type") == "tool_use")
+    delta = (se == "content_block_delta") & (F.col("e.event.delta.type") == "input_json_delta")
+    by_key = W.partitionBy("key").orderBy("seq")
+    x = events.withColumns({"block": F.count_if(F.coalesce(tool, F.lit(False))).over(by_key), "said": F.when(delta, F.coalesce("e.event.delta.partial_json", F.lit("")))})
+    x = x.withColumn("upto", F.sum(F.char_length("said")).over(W.partitionBy("key", "block").orderBy("seq")))
+    whole = x.filter("block > 0 and said is not null").groupBy("key", "block").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "said"))), lambda s: s["said"]), "").alias("json"))
+    place = F.locate(wanted, F.col("json"))
+    ends = whole.select("key", "block", F.when(place > 0, place + len(wanted) - 1).alias("ends"))
+    used = F.filter(F.coalesce("e.message.content", F.array().cast("array<struct<type:string,name:string,input:map<string,string>>>")), lambda c: c["type"] == "tool_use")
+    one = F.get(used, 0)
+    named = F.lit(False)
+    for name, field in FIELD.items():
+        named = named | F.coalesce((one["name"] == name) & F.contains(one["input"][field], F.lit(wanted)), F.lit(False))
+    verdict = (
+        F.when(tool & ~F.coalesce(F.col("e.event.content_block.name").isin(*FIELD), F.lit(False)), False)
+        .when(delta & (F.col("block") > 0) & (F.col("upto") >= F.col("ends")), True)
+        .when((se == "message_stop") | ((se == "content_block_stop") & (F.col("block") > 0)), False)
+        .when((kind == "assistant") & (F.size(used) > 0), named)
+        .when(kind == "result", False)
+    )
+    judged = x.join(ends, ["key", "block"], "left").select("key", "seq", verdict.alias("verdict"))
+    return judged.groupBy("key").agg(F.coalesce(F.min_by("verdict", F.when(F.col("verdict").isNotNull(), F.col("seq"))), F.lit(False)).alias("triggered"))
+
+
+def decisions_of_stream(events: DataFrame, wanted: str, seconds: float) -> DataFrame:
+    """The same over a stream of key, seq, e (in order within a key): one row a key, when it is decided or `seconds` after its first event (False)."""
+
+    def judge(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        pending, said, done = state.get if state.exists else (False, "", False)
+        verdict = False if state.hasTimedOut and not done else None
+        rows = [] if state.hasTimedOut else sorted((r for f in frames for r in zip(f["seq"], f["e"], strict=True)), key=lambda r: r[0])
+        for _, e in rows:
+            if done or verdict is not None:
+                break
+            pending, said, verdict = step(e, wanted, pending, said)
+        if state.hasTimedOut:
+            state.remove()
+        else:
+            fresh = not state.exists
+            state.update((pending, said if verdict is None else "", done or verdict is not None))
+            if fresh or verdict is None:
+                state.setTimeoutDuration(max(1, int(seconds * 1000)))
+        if verdict is not None:
+            yield pd.DataFrame({"key": [key[0]], "triggered": [bool(verdict)]})
+
+    return events.groupBy("key").applyInPandasWithState(judge, "key string, triggered boolean", "pending boolean, said string, done boolean", "append", GroupStateTimeout.ProcessingTimeTimeout)
+
+
+def step(e: dict, wanted: str, pending: bool, said: str) -> tuple[bool, str, bool | None]:
+    """One event: whether a tool that counts is open, its input so far, and the verdict if there is one."""
+    if e["type"] == "stream_event" and e["event"] is not None:
+        se = e["event"]
+        if se["type"] == "content_block_start" and se["content_block"] and se["content_block"]["type"] == "tool_use":
+            return (True, "", None) if se["content_block"]["name"] in FIELD else (pending, said, False)
+        if se["type"] == "content_block_delta" and pending and se["delta"] and se["delta"]["type"] == "input_json_delta":
+            said += se["delta"]["partial_json"] or ""
+            return pending, said, True if wanted in said else None
+        if se["type"] == "message_stop" or se["type"] == "content_block_stop" and pending:
+            return pending, said, False
+    elif e["type"] == "assistant":
+        for c in (e["message"] or {"content": None})["content"] if e["message"] is not None else []:
+            if c["type"] == "tool_use":
+                given = dict(c["input"] or {})
+                return pending, said, wanted in (given.get(FIELD.get(c["name"], ""), "") or "")
+    elif e["type"] == "result":
+        return pending, said, False
+    return pending, said, None
+
+
+def parsed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream of key, seq, e from Parquet files of key, seq, value; lines that are no event are left out."""
+    lines = spark.readStream.schema("key string, seq long, value string").parquet(folder)
+    return lines.withColumn("e", F.from_json("value", schemas.EVENT)).filter("e is not null and e.type is not null").drop("value")
 
 
 def ingest(spark: SparkSession, folder: str, schema: str, target: str, checkpoint: str, keys: list[str]) -> None:
-    """All new Parquet files of a folder to target, once each; rows whose keys were seen in any run are left out."""
-    feed = spark.readStream.schema(schema).parquet(folder).dropDuplicates(keys)
-    feed.writeStream.format("parquet").outputMode("append").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    """All new Parquet files of a folder to target, once each; rows whose keys were seen in any run are left out. What was seen is kept on disk."""
+    old = {k: spark.conf.get(k, None) for k in STATE}
+    try:
+        for k, v in STATE.items():
+            spark.conf.set(k, v)
+        feed = spark.readStream.schema(schema).parquet(folder).dropDuplicates(keys)
+        feed.writeStream.format("parquet").outputMode("append").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def refreshed(stream: DataFrame, checkpoint: str, report: Callable[[DataFrame], None]):
+    """report(rows of the batch) after each batch, such as an overwrite of a page that is read while the loop runs."""
+    return stream.writeStream.foreachBatch(lambda batch, _: report(batch)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

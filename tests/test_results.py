@@ -93,9 +93,9 @@ def test_first_decisions(spark):
         return json.dumps({"type": "stream_event", "event": {"type": kind, **x}})
 
     rows = [
-        ("hit", 0, e("content_block_start", content_block={"type": "tool_use", "name": "Skill"})), ("hit", 1, e("content_block_delta", delta={"partial_json": '{"s":"my-'})), ("hit", 2, e("content_block_delta", delta={"partial_json": 'skill"}'})), ("hit", 3, e("content_block_stop")),
+        ("hit", 0, e("content_block_start", content_block={"type": "tool_use", "name": "Skill"})), ("hit", 1, e("content_block_delta", delta={"type": "input_json_delta", "partial_json": '{"skill":"my-'})), ("hit", 2, e("content_block_delta", delta={"type": "input_json_delta", "partial_json": 'skill"}'})), ("hit", 3, e("content_block_stop")),
         ("other", 0, e("content_block_start", content_block={"type": "tool_use", "name": "Bash"})), ("other", 1, "not json"),
-        ("full", 0, json.dumps({"type": "assistant", "message": {"content": [{"type": "tool_use", "name": "Read", "input": {"p": "my-skill/x"}}]}})), ("none", 0, e("message_stop")),
+        ("full", 0, json.dumps({"type": "assistant", "message": {"content": [{"type": "tool_use", "name": "Read", "input": {"file_path": "my-skill/x"}}]}})), ("none", 0, e("message_stop")),
     ]
     lines = spark.createDataFrame(rows, "key string, seq int, value string")
     got = {r["key"]: r["triggered"] for r in events.first_decisions(results.events_of_lines(lines), "my-skill").collect()}
@@ -108,3 +108,88 @@ def test_ingest(spark, tmp_path):
         spark.createDataFrame(part, "id long, t string").write.mode("append").parquet(str(src))
         events.ingest(spark, str(src), "id long, t string", str(out), str(tmp_path / "ck"), ["id"])
     assert sorted(r[0] for r in spark.read.parquet(str(out)).collect()) == [1, 2]
+
+
+def test_first_decisions_of_the_probes(spark, tmp_path):
+    """Cases whose verdict an earlier version missed, random streams against the rules one by one, in a batch and in a stream."""
+    import random
+
+    def s(kind, **x):
+        return {"type": "stream_event", "event": {"type": kind, **x}}
+
+    start = lambda name: s("content_block_start", content_block={"type": "tool_use", "name": name})
+    delta = lambda j, kind="input_json_delta": s("content_block_delta", delta={"type": kind, "partial_json": j})
+    full = lambda name, **given: {"type": "assistant", "message": {"content": [{"type": "text"}, {"type": "tool_use", "name": name, "input": given}]}}
+    hit = [start("Skill"), delta('{"skill":"my-sk'), delta('ill"}'), s("content_block_stop")]
+    fixed = {
+        "a": ([s("message_stop"), full("Skill", skill="my-skill")], False), "b": ([full("Skill", other="my-skill", skill="x")], False), "c": ([{"type": "result"}, *hit], False), "d": (hit, True),
+        "e": ([start("Skill"), delta("my-skill", "text_delta"), s("content_block_stop")], False), "f": ([start("Read"), delta("my-"), start("Skill"), delta("skill"), s("message_stop")], False),
+        "g": ([s("content_block_stop"), *hit], True), "h": ([start("Bash"), *hit], False), "i": ([], False), "j": ([full("Read", file_path="/x/my-skill/y")], True),
+    }
+    rng, pool = random.Random(3), [*hit, start("Read"), start("Bash"), delta("my-skill"), delta("zz"), s("message_stop"), s("content_block_start", content_block={"type": "text"}), full("Skill", skill="my-skill"), full("Read", skill="my-skill"), {"type": "system"}]
+
+    def by_rules(given):
+        open_, said = False, ""
+        for e in given:
+            if e["type"] == "result":
+                return False
+            if e["type"] == "assistant":
+                c = e["message"]["content"][1]
+                return "my-skill" in c["input"].get({"Skill": "skill", "Read": "file_path"}.get(c["name"]), "")
+            se = e.get("event", {})
+            if se.get("content_block", {}).get("type") == "tool_use":
+                if se["content_block"]["name"] == "Bash":
+                    return False
+                open_, said = True, ""
+            elif open_ and se.get("delta", {}).get("type") == "input_json_delta":
+                said += se["delta"]["partial_json"]
+                if "my-skill" in said:
+                    return True
+            elif se.get("type") == "message_stop" or se.get("type") == "content_block_stop" and open_:
+                return False
+        return False
+
+    for k in range(300):
+        given = [rng.choice(pool) for _ in range(rng.randint(1, 6))]
+        fixed[f"r{k}"] = given, by_rules(given)
+    assert all(by_rules(given) == want for given, want in fixed.values())
+    rows = [(k, n, json.dumps(e)) for k, (given, _) in fixed.items() for n, e in enumerate([{"type": "system"}, *given])]
+    lines = spark.createDataFrame(rows, "key string, seq long, value string")
+    want = {k: v for k, (_, v) in fixed.items()}
+    assert {r["key"]: r["triggered"] for r in events.first_decisions(results.events_of_lines(lines), "my-skill").collect()} == want
+    lines.coalesce(1).write.parquet(str(tmp_path / "in"))
+    decided = events.decisions_of_stream(events.parsed_lines(spark, str(tmp_path / "in")), "my-skill", 0.001)
+    query = decided.writeStream.format("memory").queryName("decided").outputMode("append").option("checkpointLocation", str(tmp_path / "ck")).start()
+    import time
+
+    for _ in range(60):
+        time.sleep(0.5)
+        got = {r["key"]: r["triggered"] for r in spark.table("decided").collect()}
+        if len(got) == len(want):
+            break
+    query.stop()
+    assert got == want and spark.table("decided").count() == len(want)
+
+
+def test_trees_of_the_probes(spark, tmp_path):
+    put(tmp_path / "b/eval-7-foo/a/run-3-retry/grading.json", grading())
+    (tmp_path / "b/eval-1").mkdir()
+    put(tmp_path / "b/eval-z/a/run-1/grading.json", grading())
+    got = {(r["eval_dir"], r["eval_id"], r["run_number"], r["rejected"]) for r in results.scan_runs(spark, str(tmp_path / "b")).collect()}
+    assert got == {("eval-7-foo", 7, 3, None), ("eval-z", 2, 1, None)}
+    ws = tmp_path / "skill" / "my ws+1"  # a pruned name above the root, a path with a space
+    for name in ("run1/outputs/a.txt", "run1/outputs/sub/b.txt", "run1/outputs/metrics.json", "run1/deeper/outputs/no.txt", "inputs/outputs/no.txt", "c/run2/outputs/d.docx", "c/run2/transcript.md"):
+        put(ws / name, "# T\n\n## Eval Prompt\n\n  say it \n\n## Next\n" if name.endswith("transcript.md") else "hi")
+    (ws / "run1/outputs/bad.txt").write_bytes(b"ok \xff\xfe end")
+    (ws / "empty/outputs").mkdir(parents=True)
+    put(ws / "eval_metadata.json", {"eval_id": 5, "prompt": "above"})
+    put(ws / "run1/eval_metadata.json", {"eval_id": 9, "prompt": ""})
+    put(ws / "c/grading.json", {"summary": {}})
+    out = {(r["run_id"], r["name"]): r for r in results.scan_outputs(spark, str(ws)).collect()}
+    assert set(out) == {("run1", "a.txt"), ("run1", "bad.txt"), ("c-run2", "d.docx")}
+    assert out["run1", "bad.txt"]["data"].startswith("ok \ufffd") and out["run1", "bad.txt"]["data"].endswith(" end")
+    assert out["c-run2", "d.docx"]["mime"].endswith("wordprocessingml.document")
+    assert [tuple(r) for r in results.review_runs(spark, str(ws)).select("run_id", "eval_id", "prompt").collect()] == [("empty", 5, "above"), ("run1", 5, "above"), ("c-run2", None, "say it")]
+    assert results.review_runs(spark, str(ws)).filter("grading is not null").count() == 1
+    put(tmp_path / "one/outputs/x.txt", "root is a run")
+    assert [(r["run_id"], r["data"]) for r in results.scan_outputs(spark, str(tmp_path / "one")).collect()] == [(".", "root is a run")]
