@@ -127,7 +127,7 @@ def test_anti(spark, d):
 
 
 @query("""WITH c AS (SELECT CAST(extract(day FROM ts) AS INTEGER) AS iteration, event_type, count(*) FILTER (value > 50) AS triggers, count(*) AS runs FROM events GROUP BY 1, 2)
-SELECT iteration, """ + ", ".join(f"coalesce(max(CASE WHEN triggers * 2 >= runs THEN 'ok ' ELSE 'no ' END || triggers || '/' || runs) FILTER (event_type = '{t}'), 'no 0/0') AS {t}" for t in ("click", "view", "purchase")) + " FROM c GROUP BY 1")
+SELECT iteration, """ + ", ".join(f"coalesce(max(CASE WHEN triggers * 2 >= runs THEN 'ok ' ELSE 'no ' END || triggers || '/' || runs) FILTER (event_type = '{t}'), 'no 0/0') AS {t}" for t in ("click", "error", "purchase", "signup", "view")) + " FROM c GROUP BY 1")
 def iteration_matrix(spark, d):
     x = table(spark, d, "events").groupBy(F.dayofmonth("ts").alias("iteration"), F.col("event_type").alias("query")).agg(F.count_if(F.col("value") > 50).alias("triggers"), F.count(F.lit(1)).alias("runs"))
     kinds = sorted(r[0] for r in x.select("query").distinct().collect() if r[0] is not None)  # of all iterations, so that no event is without a column
@@ -160,7 +160,7 @@ def rubric_scores(spark, d):
     return E.rubric(x).drop("content", "structure")
 
 
-@query("""SELECT user_id AS run_id, coalesce(feedback, '') AS feedback, runs FROM (SELECT user_id, count(*) AS runs FROM events WHERE event_type = 'click' GROUP BY 1) a FULL JOIN (SELECT doc_id AS user_id, lang AS feedback FROM documents WHERE doc_id < 300) b USING (user_id)""")
+@query("""SELECT user_id AS run_id, coalesce(feedback, '') AS feedback, runs FROM (SELECT user_id, count(*) AS runs FROM events GROUP BY 1) a FULL JOIN (SELECT doc_id AS user_id, lang AS feedback FROM documents) b USING (user_id)""")
 def feedback_full_outer(spark, d):
     a = table(spark, d, "events").groupBy(F.col("user_id").alias("run_id")).agg(F.count(F.lit(1)).alias("runs"))
     b = table(spark, d, "documents").select(F.col("doc_id").alias("run_id"), F.col("lang").alias("feedback"))
