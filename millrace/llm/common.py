@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import sys
 import tempfile
+import threading
+import time
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -19,21 +22,45 @@ ROW_KEY = [ROW_FILE, ROW_INDEX]
 
 
 #: What one Python worker may remember of tokens and pieces, in bytes, whatever the operator.
-WORKER_BYTES = 64 << 20
+WORKER_BYTES = 48 << 20
 #: An Arrow batch of whole texts is closed at this many bytes.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
+#: Seconds without a batch after which a worker forgets what it keeps.
+IDLE_S = 8
 _owned: dict[str, object] = {}
+_used = [0.0]
 
 
 def owned(name: str, make: Callable[[], object]):
-    """The one thing that this Python worker keeps between tasks; it goes when another operator or model comes."""
+    """The one thing that this Python worker keeps between tasks; it goes when another operator or model comes, or after IDLE_S.
+
+    Ask for it again with each batch: that is what counts as use.
+    """
+    _used[0] = time.monotonic()
     if name not in _owned:
-        _owned.clear()
-        gc.collect()
+        _forget()
         _owned[name] = make()
+        if not any(t.name == "millrace-idle" for t in threading.enumerate()):
+            threading.Thread(target=_watch, name="millrace-idle", daemon=True).start()
     return _owned[name]
 
 
+def _forget() -> None:
+    _owned.clear()
+    gc.collect()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)  # else freed memory stays with the process
+    except OSError:
+        pass
+
+
+def _watch() -> None:
+    while _owned:
+        time.sleep(1)
+        if time.monotonic() - _used[0] > IDLE_S:
+            _forget()
+
+
 class Budget:
     """Bytes that the memories of one operator may still take."""
 

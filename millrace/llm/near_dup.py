@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.common import ROW_FILE, ROW_INDEX, ROW_KEY, documents, dropped, join_small, row_columns, saved, with_row_key
+from millrace.llm.common import ROW_FILE, ROW_INDEX, ROW_KEY, documents, dropped, join_small, owned, row_columns, saved, with_row_key
 from millrace.llm.components import components
 
 N_SYMBOLS = 64
@@ -136,7 +136,7 @@ def short_signature(sig: np.ndarray) -> np.ndarray:
 
 def _signed(rows: DataFrame, n_words: int) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none = np.zeros(len(SHORT), np.int64)
+        none = owned("signatures", lambda: np.zeros(len(SHORT), np.int64))  # what another operator kept goes
         for b in batches:
             n, sets, sigs, short = [], [], [], []
             for text in b.column(3):

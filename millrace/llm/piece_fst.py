@@ -344,8 +344,8 @@ def encode(docs: DataFrame, text_col: str = "text", out_col: str = "piece_ids",
 
     @F.pandas_udf("array<int>")
     def to_ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        c = codec(model, compiled)
         for texts in batches:
+            c = codec(model, compiled)
             yield pd.Series([np.frombuffer(c.encode(x or ""), c.dtype).astype(np.int32) for x in texts])
 
     return docs.withColumn(out_col, to_ids(F.col(f"`{text_col}`").cast("string")))
@@ -357,8 +357,8 @@ def decode(rows: DataFrame, ids_col: str = "piece_ids", out_col: str = "decoded"
 
     @F.pandas_udf("string")
     def to_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        c = codec(model, compiled)
         for ids in batches:
+            c = codec(model, compiled)
             yield pd.Series([None if x is None else c.decode(np.asarray(x).astype(c.dtype).tobytes()) for x in ids], dtype=object)
 
     return rows.withColumn(out_col, to_text(F.col(f"`{ids_col}`")))
@@ -369,10 +369,9 @@ def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     compiled = _compiled(docs.sparkSession, model)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(model, compiled)
-        low, high = min(c.t.byte_ids), max(c.t.byte_ids)
         for b in batches:
-            rows = []
+            c, rows = codec(model, compiled), []
+            low, high = min(c.t.byte_ids), max(c.t.byte_ids)
             for text in b.column(1):
                 text = text.as_py() or ""
                 raw = c.encode(text)

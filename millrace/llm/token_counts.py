@@ -33,6 +33,7 @@ def length_histogram(docs: DataFrame, text_col: str = "text", vocab: str = VOCAB
         of, found = encoder(vocab), Counter()
         size = of.dtype.itemsize
         for b in batches:
+            of = encoder(vocab)
             for text in b.column(0):
                 found[len(of.ids(text.as_py() or "")) // size + extra] += 1
         yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in (found.keys(), found.values())], ["n_tokens", "n_docs"])

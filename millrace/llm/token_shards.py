@@ -36,9 +36,8 @@ def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voc
     """id, ids (packed, with the end id), tie (a hash of the ids)."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = encoder(vocab).ids
-        end = np.array([end_id], encoder(vocab).dtype).tobytes()
         for b in batches:
+            ids, end = encoder(vocab).ids, np.array([end_id], encoder(vocab).dtype).tobytes()
             for at in range(0, b.num_rows, 500):
                 said = [ids(t.as_py() or "") + end for t in b.column(1)[at : at + 500]]
                 yield pa.RecordBatch.from_arrays([b.column(0)[at : at + 500], pa.array(said, pa.binary())], ["id", "ids"])

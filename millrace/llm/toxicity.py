@@ -92,7 +92,8 @@ def ngram_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """Counts by class of four characters in a row, over all texts; N_CLASSES ** 4 numbers."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(N_CLASSES**4, np.int64)
+        total = owned("counts", lambda: np.zeros(N_CLASSES**4, np.int64))
+        total[:] = 0
         for b in batches:
             joined = "\n\n\n".join((t.as_py() or "") for t in b.column(0))  # three that are no letters stand between texts
             for at in range(0, len(joined), 1 << 20):
@@ -377,8 +378,8 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", out_col: str =
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         m = shared.value
-        evidence = owned(name, m.evidence)
         for texts in batches:
+            evidence = owned(name, m.evidence)
             yield pd.Series([m.score(evidence(x)) for x in texts], dtype="float64")
 
     return docs.withColumn(out_col, score(F.col(f"`{text_col}`").cast("string")))
