@@ -10,6 +10,7 @@ import threading
 import time
 import uuid
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -106,11 +107,32 @@ def shared_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_root(spark)}/millrace/{tag}-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, tag: str) -> DataFrame:
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables that saved() makes inside are deleted at the end; those made with keep=True at the end of the scope around it, if any."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            remove(spark, path)
+
+
+def scoped(path: str, keep: bool = False) -> str:
+    """A path that goes with the scope it was made in."""
+    if len(_scopes) > keep:
+        _scopes[-1 - keep].append(path)
+    return path
+
+
+def saved(df: DataFrame, tag: str, keep: bool = False) -> DataFrame:
     """df as a Parquet table in the shared folder: it cuts the lineage, and a lost executor takes nothing with it."""
     spark = df.sparkSession
     bounded_batches(spark)
-    path = shared_path(spark, tag)
+    path = scoped(shared_path(spark, tag), keep)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._millrace_path = path
@@ -147,7 +169,7 @@ def with_row_key(docs: DataFrame) -> DataFrame:
         return docs
     taken = {c: fresh_name(docs, c) for c in docs.columns if c.lower() in ROW_KEY}
     if not is_plain_scan(docs):
-        docs = saved(docs, "rows")
+        docs = saved(docs, "rows", keep=True)
     out = docs.withColumnsRenamed(taken).withColumns({ROW_FILE: F.xxhash64(F.col("_metadata.file_path")), ROW_INDEX: F.col("_metadata.row_index")})
     out._millrace_keyed, out._millrace_renamed = True, taken
     return out

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from millrace.llm.common import ROW_KEY, documents, join_small, row_columns, saved, with_row_key
+from millrace.llm.common import ROW_KEY, documents, join_small, row_columns, saved, scratch, with_row_key
 
 N_WORDS = 5
 NUM, DEN = 4, 5  # contained: DEN * found >= NUM * size
@@ -112,7 +112,8 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the rows that contain an item; its columns as they are."""
     keyed = with_row_key(docs)
-    bad = saved(contained_items(keyed, items, id_col, text_col).select(*ROW_KEY).distinct(), "contaminated")
+    with scratch(docs.sparkSession):
+        bad = saved(contained_items(keyed, items, id_col, text_col).select(*ROW_KEY).distinct(), "contaminated", keep=True)
     return join_small(keyed, bad, ROW_KEY, "left_anti", bad.count(), 64).select(*row_columns(keyed, docs))
 
 

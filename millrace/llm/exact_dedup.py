@@ -38,7 +38,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import ROW_FILE, ROW_INDEX, ROW_KEY, documents, join_small, listed, row_columns, saved, shared_path, with_row_key
+from millrace.llm.common import ROW_FILE, ROW_INDEX, ROW_KEY, documents, join_small, listed, row_columns, saved, scoped, scratch, shared_path, with_row_key
 
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -131,7 +131,7 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     stopped is done again under its name.
     """
     spark = docs.sparkSession
-    top = state_dir or shared_path(spark, "seen")
+    top = state_dir or scoped(shared_path(spark, "seen"))
     keyed = with_row_key(docs)
     rows = keyed.select(*ROW_KEY, F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     norm = without_space(F.col("text"))
@@ -185,7 +185,8 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the rows that have a better copy; its columns as they are."""
     keyed = with_row_key(docs)
-    gone = saved(duplicate_groups(keyed, id_col, text_col).filter("not kept").select(*ROW_KEY), "gone")
+    with scratch(docs.sparkSession):
+        gone = saved(duplicate_groups(keyed, id_col, text_col).filter("not kept").select(*ROW_KEY), "gone", keep=True)
     return join_small(keyed, gone, ROW_KEY, "left_anti", gone.count(), 80).select(*row_columns(keyed, docs))
 
 

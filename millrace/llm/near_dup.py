@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.common import ROW_FILE, ROW_INDEX, ROW_KEY, documents, dropped, join_small, owned, row_columns, saved, with_row_key
+from millrace.llm.common import ROW_FILE, ROW_INDEX, ROW_KEY, documents, dropped, join_small, owned, row_columns, saved, scratch, with_row_key
 from millrace.llm.components import components
 
 N_SYMBOLS = 64
@@ -255,7 +255,7 @@ def _open_rows(filed: DataFrame, nodes: DataFrame) -> DataFrame:
     labelled = filed.select("key", "node").join(nodes, "node")
     mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
     mixed = saved(mixed, "open-keys")
-    return saved(join_small(labelled, mixed, "key", "inner", mixed.count(), 40), "open")
+    return saved(join_small(labelled, mixed, "key", "inner", mixed.count(), 40), "open", keep=True)
 
 
 def _nearest_of_hubs(rows: DataFrame, similarity: tuple[int, int], threshold: int, turn: int) -> DataFrame:
@@ -290,6 +290,12 @@ def _short_distance(h) -> Column:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5, similarity: tuple[int, int] = (4, 5)) -> DataFrame:
     """One row per row of docs: row key, id, n_shingles, component_id (least id), stays (one row of each component)."""
+    keyed = with_row_key(docs)
+    with scratch(docs.sparkSession):
+        return _near_duplicates(keyed, id_col, text_col, n_words, similarity)
+
+
+def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, n_words: int, similarity: tuple[int, int]) -> DataFrame:
     rows = with_row_key(docs).select(*ROW_KEY, F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     threshold = distance_threshold(similarity[0] / similarity[1])
     signed = saved(_signed(rows, n_words), "signed")
@@ -300,29 +306,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     hubs = saved(keyed.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size")).filter("size > 1").select("key", "hub"), "hubs")
     n_hubs = hubs.count()
     filed = saved(join_small(keyed, hubs, "key", "inner", n_hubs, 40), "filed")  # the keys that more than one class has
+    dropped(hubs)
+    spark = docs.sparkSession
 
     def linked(pairs: DataFrame) -> DataFrame:
-        near = saved(_within(pairs, classes, similarity, threshold), "pairs")
-        nodes = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
-        sets = saved(_set_rows(rows, classes, nodes, n_words), "sets")
-        links = saved(_confirmed(near, sets, similarity), "links")
-        dropped(sets)
-        return links
+        with scratch(spark):
+            near = saved(_within(pairs, classes, similarity, threshold), "pairs")
+            nodes = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
+            sets = saved(_set_rows(rows, classes, nodes, n_words), "sets")
+            return saved(_confirmed(near, sets, similarity), "links", keep=True)
+
+    def named_components(links: DataFrame) -> DataFrame:
+        with scratch(spark):
+            return saved(components(links), "labels", keep=True)
 
     tried = saved(_nearest_hub(filed), "tried")
     links = linked(tried)
-    labels = saved(components(links), "labels")
+    labels = named_components(links)
     rest = filed
     for turn in range(HUB_TURNS + 1):
-        rest = _open_rows(rest, _labelled(classes.select("node", "n", *SHORT), labels, "node", "label"))  # a key without different components stays so
+        with scratch(spark):
+            now = _open_rows(rest, _labelled(classes.select("node", "n", *SHORT), labels, "node", "label"))  # a key without different components stays so
+        dropped(rest)
+        rest = now
         if turn == HUB_TURNS:
             break
-        others = saved(_nearest_of_hubs(rest, similarity, threshold, turn).join(tried, ["a", "b"], "left_anti"), "tried")
+        with scratch(spark):
+            others = saved(_nearest_of_hubs(rest, similarity, threshold, turn).join(tried, ["a", "b"], "left_anti"), "tried", keep=True)
         more = linked(others)
         if more.isEmpty():
             break
         links, tried = links.unionByName(more), tried.unionByName(others)
-        labels = saved(components(links), "labels")
+        labels = named_components(links)
 
     nodes = saved(rest.select("node").distinct(), "rest")
     if not nodes.isEmpty():
@@ -330,12 +345,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         found = saved(_confirmed(_rest_pairs(sets, labels, similarity), sets, similarity), "links")
         dropped(sets)
         if not found.isEmpty():
-            labels = saved(components(links.unionByName(found)), "labels")
+            labels = named_components(links.unionByName(found))
 
     named = _labelled(classes.select("set_id", "node"), labels, "node", "label").select("set_id", "label")
-    placed = saved(signed.select(*ROW_KEY, "id", "n", "set_id").join(saved(named, "named"), "set_id", "left"), "placed")
+    placed = saved(signed.select(*ROW_KEY, "id", "n", "set_id").join(saved(named, "named"), "set_id", "left"), "placed", keep=True)
     best = placed.filter("label is not null").groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", *ROW_KEY)).alias("best"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
-    best = saved(best.drop("rows"), "best")  # a hot label's rows can be split: nothing is gathered on this side of the join
+    best = saved(best.drop("rows"), "best", keep=True)  # a hot label's rows can be split: nothing is gathered on this side of the join
     out = join_small(placed, best, "label", "left", best.count(), 60)
     alone = F.col("best").isNull()
     stays = alone | ((F.col(f"best.{ROW_FILE}") == F.col(ROW_FILE)) & (F.col(f"best.{ROW_INDEX}") == F.col(ROW_INDEX)))
@@ -345,7 +360,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5, similarity: tuple[int, int] = (4, 5)) -> DataFrame:
     """docs with one row of each component; its columns as they are."""
     keyed = with_row_key(docs)
-    gone = saved(near_duplicates(keyed, id_col, text_col, n_words, similarity).filter("not stays").select(*ROW_KEY), "gone")
+    with scratch(docs.sparkSession):
+        gone = saved(near_duplicates(keyed, id_col, text_col, n_words, similarity).filter("not stays").select(*ROW_KEY), "gone", keep=True)
     return join_small(keyed, gone, ROW_KEY, "left_anti", gone.count(), 64).select(*row_columns(keyed, docs))
 
 
