@@ -28,6 +28,8 @@ WORKER_BYTES = 64 << 20
 BATCH_BYTES = 4 << 20
 #: Seconds without a batch after which a worker forgets what it keeps.
 IDLE_S = 8
+#: With this setting the shuffle files of a query go when it ends, not when the driver's collector comes to them.
+EARLY_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _owned: dict[str, object] = {}
 _used = [0.0]
 
@@ -129,11 +131,19 @@ def scoped(path: str, keep: bool = False) -> str:
 
 
 def saved(df: DataFrame, tag: str, keep: bool = False) -> DataFrame:
-    """df as a Parquet table in the shared folder: it cuts the lineage, and a lost executor takes nothing with it."""
+    """df as a Parquet table in the shared folder: it cuts the lineage, and a lost executor takes nothing with it.
+
+    The shuffle files of the write go as soon as it ends; nothing reads them any more.
+    """
     spark = df.sparkSession
     bounded_batches(spark)
     path = scoped(shared_path(spark, tag), keep)
-    df.write.parquet(path)
+    before = spark.conf.get(EARLY_CLEANUP, None)
+    spark.conf.set(EARLY_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(EARLY_CLEANUP) if before is None else spark.conf.set(EARLY_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._millrace_path = path
     return out
