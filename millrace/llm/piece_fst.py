@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Budget, Memory, bounded_batches, documents, owned
+from millrace.llm.common import WORKER_BYTES, Budget, Memory, bounded_batches, documents, owned
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
@@ -225,11 +225,11 @@ def compile_proto(raw: bytes) -> Transducer:
 class Codec:
     """Composes the transducer with texts. encode(text) -> packed little-endian ids."""
 
-    def __init__(self, t: Transducer):
+    def __init__(self, t: Transducer, memory: int = WORKER_BYTES):
         self.t = t
         self.code = "H" if len(t.surface) <= 1 << 16 else "I"
         self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
-        budget = Budget()
+        budget = Budget(memory)
         self.parts = Memory(lambda part: (self.path(part), True), budget)
         self.after_space = Memory(self._after_space, budget)
         self.pairs = Memory(lambda pair: (self._adjacent(*pair), True), budget)
@@ -328,9 +328,9 @@ class Codec:
 _EDGES = re.compile(rf"\n[\n{SPACE}]|{SPACE}\n")
 
 
-def codec(model: str, compiled) -> Codec:
+def codec(model: str, compiled, memory: int = WORKER_BYTES) -> Codec:
     """The codec of a model in this Python process; the transducer was compiled once, on the driver."""
-    return owned(f"pieces-{model}", lambda: Codec(compiled.value))
+    return owned(f"pieces-{model}-{memory}", lambda: Codec(compiled.value, memory))
 
 
 def _compiled(spark: SparkSession, model: str):
@@ -338,14 +338,14 @@ def _compiled(spark: SparkSession, model: str):
     return spark.sparkContext.broadcast(compile_model(public_tokenizers.path(model) if "/" not in model else model))  # a vocabulary: its size doesn't depend on the data
 
 
-def encode(docs: DataFrame, text_col: str = "text", out_col: str = "piece_ids", model: str = MODEL) -> DataFrame:
-    """docs and a column of ids; a column of that name that was there before is replaced."""
+def encode(docs: DataFrame, text_col: str = "text", out_col: str = "piece_ids", model: str = MODEL, memory: int = WORKER_BYTES) -> DataFrame:
+    """docs and a column of ids; a column of that name that was there before is replaced. memory: bytes that a worker may remember; less costs time, not results."""
     compiled = _compiled(docs.sparkSession, model)
 
     @F.pandas_udf("array<int>")
     def to_ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            c = codec(model, compiled)
+            c = codec(model, compiled, memory)
             yield pd.Series([np.frombuffer(c.encode(x or ""), c.dtype).astype(np.int32) for x in texts])
 
     return docs.withColumn(out_col, to_ids(F.col(f"`{text_col}`").cast("string")))
