@@ -8,6 +8,10 @@ from millrace.llm import decontaminate, exact_dedup, near_dup, piece_fst, toxici
 from millrace.llm.common import documents, saved
 
 
+#: What a worker of the last stage may remember, in bytes: by then the executor's own memory has grown to its most.
+PIECE_BYTES = 32 << 20
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -25,7 +29,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return piece_fst.encode(docs)
+    return piece_fst.encode(docs, memory=PIECE_BYTES)
 
 
 STAGES = [
