@@ -80,3 +80,9 @@ def language(c: Column) -> Column:
     for k in STOP_WORDS:
         out = out.when(score(k) == best, k)
     return out
+
+
+def decluttered(c: Column) -> Column:
+    """Runs of one pictograph become one, and emphasis marks that have no partner on their line go."""
+    c = F.regexp_replace(c, r"([\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}])\1+", "$1")
+    return F.regexp_replace(c, r"(?m)^((?:(?!\*\*).)*)\*\*((?:(?!\*\*).)*)$", "$1$2")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Callable, Iterator
+from itertools import combinations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -14,7 +15,7 @@ from pyspark.sql.types import StringType
 from millrace.functions import text as T
 
 CleaningStep = Callable[[DataFrame], DataFrame]
-N_BITS, N_BANDS = 60, 4
+N_BITS, KEPT = 60, 3
 
 
 @F.pandas_udf(StringType())
@@ -60,10 +61,13 @@ def exact_flags(items: DataFrame, id_col: str, text_col: str, source_col: str |
 
 
 def simhash(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """60-bit SimHash of the tokens, by md5; token counts are summed before the bits are voted on."""
-    counted = items.select(id_col, F.explode(T.tokens(F.col(text_col))).alias("t")).groupBy(id_col, "t").agg(F.count(F.lit(1)).alias("n"))
+    """60-bit SimHash of the tokens, by md5. A text's votes are summed where its row is, so tokens aren't shuffled.
+
+    Rows with the same id are one text; those without a token, null and empty texts among them, have no signature and no row.
+    """
     h = F.conv(F.substring(F.md5("t"), 1, 15), 16, 10).cast("long")
-    votes = counted.select(id_col, "n", h.alias("h")).groupBy(id_col).agg(*[F.sum(F.when(F.expr(f"(h & {1 << b}L) <> 0"), F.col("n")).otherwise(-F.col("n"))).alias(f"b{b}") for b in range(N_BITS)])
+    voters = items.select(id_col, F.explode(T.tokens(F.col(text_col))).alias("t")).select(id_col, h.alias("h"))
+    votes = voters.groupBy(id_col).agg(*[F.sum(F.when(F.expr(f"(h & {1 << b}L) <> 0"), 1).otherwise(-1)).alias(f"b{b}") for b in range(N_BITS)])
     bits = sum((F.when(F.col(f"b{b}") > 0, F.lit(1 << b)).otherwise(F.lit(0)) for b in range(N_BITS)), F.lit(0)).cast("long")
     return votes.select(id_col, bits.alias("simhash"))
 
@@ -71,14 +75,17 @@ def simhash(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def near_signatures(signed: DataFrame, id_col: str, distance: int = 3) -> DataFrame:
     """Pairs of different signatures within the distance, and each one's least id. Equal signatures are one class, so copies aren't paired.
 
-    With more bands than the distance, two signatures within it share a band: an equi-join on bands finds all pairs.
+    The bits are cut into KEPT blocks more than the distance; signatures within it agree in some KEPT blocks whole, so an
+    equi-join on each choice of blocks finds all pairs. A key holds half the bits or so: few pairs meet that aren't near.
     """
-    assert distance < N_BANDS
-    width = N_BITS // N_BANDS
+    n_blocks = distance + KEPT
+    edges = [N_BITS * k // n_blocks for k in range(n_blocks + 1)]
+    masks = [sum((1 << edges[k + 1]) - (1 << edges[k]) for k in chosen) for chosen in combinations(range(n_blocks), KEPT)]
     classes = signed.groupBy("simhash").agg(F.min(id_col).alias("id"))
-    bands = classes.select("simhash", "id", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.expr(f"shiftright(simhash, {k * width}) & {(1 << width) - 1}").alias("v")) for k in range(N_BANDS)])).alias("band"))
-    a, b = (bands.select("band", F.col("simhash").alias(f"{x}_sig"), F.col("id").alias(f"{x}_id")) for x in "ab")
-    met = a.join(b, "band").filter("a_sig < b_sig").withColumn("distance", T.hamming(F.col("a_sig"), F.col("b_sig"))).filter(F.col("distance") <= distance)
+    keys = F.array(*[F.struct(F.lit(k).alias("k"), F.expr(f"simhash & {m}L").alias("v")) for k, m in enumerate(masks)])
+    keyed = classes.select("simhash", "id", F.explode(keys).alias("key"))
+    a, b = (keyed.select("key", F.col("simhash").alias(f"{x}_sig"), F.col("id").alias(f"{x}_id")) for x in "ab")
+    met = a.join(b, "key").filter("a_sig < b_sig").withColumn("distance", T.hamming(F.col("a_sig"), F.col("b_sig"))).filter(F.col("distance") <= distance)
     return met.select("a_sig", "b_sig", "a_id", "b_id", "distance").distinct()
 
 
@@ -118,6 +125,41 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str, vec: str, k: in
     return out.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
+def similar(vectors: DataFrame, queries: DataFrame, id_col: str, vec: str, threshold: float, max_bytes: int = 64 << 20) -> DataFrame:
+    """query_id, id, cosine: all other vectors at least so similar to a query vector, flagged for people, never merged.
+
+    Queries go in blocks of a checked size to all rows. Null vectors and those of length 0 are similar to nothing.
+    """
+    n, width = queries.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size(vec)), F.lit(1))).first()
+    n_blocks = max(1, -(-n * width * 8 // max_bytes))
+    out = None
+    for block in range(n_blocks):
+        part = queries.filter(F.pmod(F.xxhash64(id_col), F.lit(n_blocks)) == block) if n_blocks > 1 else queries
+        q = part.select(F.col(id_col).alias("query_id"), F.col(vec).alias("_q"))
+        met = vectors.join(F.broadcast(q), F.col(id_col) != F.col("query_id")).select("query_id", id_col, F.round(T.cosine(F.col(vec), F.col("_q")), 4).alias("cosine")).filter(F.col("cosine") >= threshold)
+        out = met if out is None else out.unionByName(met)
+    return out
+
+
+def listed_terms(items: DataFrame, id_col: str, text_col: str, terms: DataFrame) -> DataFrame:
+    """id, name, value, n: terms of a list (name, value; one word each, lower case) that a text holds, never guessed.
+
+    The list is joined by term, so a long one isn't broadcast by force; a text's tokens are counted before.
+    """
+    held = items.select(id_col, F.explode(T.tokens(F.col(text_col))).alias("value")).groupBy(id_col, "value").agg(F.count(F.lit(1)).alias("n"))
+    return held.join(terms.select("name", "value").distinct(), "value").select(id_col, "name", "value", "n")
+
+
+def unsure(found: DataFrame, least: float = 0.8) -> DataFrame:
+    """Fields that a person or a better model must see: confidence below the least, or unknown."""
+    return found.filter(F.coalesce(F.col("confidence"), F.lit(0.0)) < least)
+
+
+def shape(text: Column) -> Column:
+    """What a text is made of: a table (two rows of cells one after another), else a link, else text."""
+    return F.when(text.rlike(r"(?m)^\|.*\|[ \t]*\n\|.*\|[ \t]*$"), "table").when(text.rlike("https?://"), "link").otherwise("text")
+
+
 def unreviewed(items: DataFrame, notes: DataFrame, item_id: str, note_item: str) -> DataFrame:
     return items.join(notes.select(F.col(note_item).alias(item_id)), item_id, "left_anti")
 

@@ -6,6 +6,8 @@ too (user_id: query, its parity: should_trigger, value > 50: triggered); items b
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -13,6 +15,9 @@ from pyspark.sql import functions as F
 from millrace.functions import text as T
 from millrace.operators import corpus as C
 from millrace.operators import evalstats as E
+from millrace.operators import records as R
+from millrace.sources.results import events_of_lines
+from millrace.streaming.events import first_decisions
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -183,10 +188,13 @@ def posting_frequency(spark, d):
     return table(spark, d, "events").groupBy(F.col("event_type").alias("source"), F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT 'documents' AS name, count(*) AS n FROM documents UNION ALL SELECT 'labels', count(*) FROM labels")
+TABLES = "benchmark conversations customer documents embeddings events labels lineitem nation orders pages part region supplier".split()
+
+
+@query(" UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS n FROM {t}" for t in TABLES))
 def table_counts(spark, d):
     one = lambda t: table(spark, d, t).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("name"), "n")
-    return one("documents").unionByName(one("labels"))
+    return reduce(DataFrame.unionByName, map(one, TABLES))
 
 
 @query("SELECT c_custkey, CASE WHEN lower(c_name) IS NULL THEN 'missing name' WHEN NOT regexp_matches(lower(replace(c_name, '#', '-')), '^[a-z0-9-]+$') THEN 'name not hyphen-case' WHEN contains(c_name, '--') THEN 'misplaced hyphen' WHEN length(c_name) > 64 THEN 'name too long' END AS problem FROM customer")
@@ -277,5 +285,148 @@ def chunk_text(spark, d):
 
 
 @query("SELECT conv_id, arg_min(role, turn) AS first_role, min(turn) AS first_turn, min(turn) FILTER (role = 'assistant') AS first_answer, count(*) AS turns FROM conversations GROUP BY 1")
-def first_tool_event(spark, d):
+def first_answers(spark, d):
     return table(spark, d, "conversations").groupBy("conv_id").agg(F.min_by("role", "turn").alias("first_role"), F.min("turn").alias("first_turn"), F.min(F.when(F.col("role") == "assistant", F.col("turn"))).alias("first_answer"), F.count(F.lit(1)).alias("turns"))
+
+
+def numbered(spark, d):
+    return runs(spark, d).select("eval_id", "configuration", F.col("event_id").alias("run_number"), (F.col("value") / 100).alias("pass_rate"), F.col("value").alias("time_seconds"), F.col("event_id").alias("tokens"))
+
+
+@query("SELECT user_id AS eval_id, event_type AS configuration, event_id AS run_number, coalesce(value / 100, 0) AS pass_rate, coalesce(value, 0) AS time_seconds, event_id AS tokens, 0 AS errors FROM events")
+def nested_runs(spark, d):
+    return R.nested_runs(numbered(spark, d)).select("eval_id", "configuration", "run_number", *[f"result.{c}" for c in ("pass_rate", "time_seconds", "tokens", "errors")])
+
+
+@query("""WITH m AS (SELECT row_number() OVER (ORDER BY min(user_id), event_type) AS k, round(avg(value / 100), 4) AS p, round(avg(value), 4) AS s, round(avg(event_id), 4) AS t FROM events GROUP BY event_type)
+SELECT """ + ", ".join(f"round(max({c}) FILTER (k = 1) - coalesce(max({c}) FILTER (k = 2), 0), 4) AS delta_{n}" for c, n in (("p", "pass_rate"), ("s", "time_seconds"), ("t", "tokens"))) + " FROM m")
+def benchmark_deltas(spark, d):
+    return R.deltas(numbered(spark, d))
+
+
+@query("SELECT array_to_string(list(e ORDER BY e), ',') AS evals_run FROM (SELECT DISTINCT user_id AS e FROM events)")
+def evals_run(spark, d):
+    return R.eval_ids(runs(spark, d)).select(F.array_join(F.col("evals_run").cast("array<string>"), ",").alias("evals_run"))
+
+
+@query("SELECT user_id AS eval_id, event_type AS configuration, array_to_string(list(event_id ORDER BY event_id), ',') AS runs FROM events GROUP BY 1, 2")
+def run_lists(spark, d):
+    x = R.lists(runs(spark, d), ["eval_id", "configuration"], ["event_id"])
+    return x.select("eval_id", "configuration", F.array_join(F.transform("runs", lambda r: r["event_id"].cast("string")), ",").alias("runs"))
+
+
+@query("SELECT user_id AS eval_id, event_type AS configuration, count(*) FILTER (value > 50) AS passed, count(*) AS total, round(count(*) FILTER (value > 50) / count(*), 2) AS pass_rate, count(*) FILTER (value > 50) || '/' || count(*) AS score FROM events GROUP BY 1, 2")
+def pass_rates(spark, d):
+    x = R.pass_rates(runs(spark, d).select("eval_id", "configuration", (F.col("value") > 50).alias("passed")), ["eval_id", "configuration"])
+    return x.withColumn("score", R.score_text(F.col("passed"), F.col("total")))
+
+
+@query("SELECT c_custkey, sum(n)::BIGINT AS calls FROM (SELECT c_custkey, unnest([c_nationkey::BIGINT, length(c_name)]) AS n FROM customer) GROUP BY 1")
+def tool_call_totals(spark, d):
+    m = F.create_map(F.lit("a"), F.col("c_nationkey").cast("long"), F.lit("b"), F.char_length("c_name").cast("long"))
+    return table(spark, d, "customer").select("c_custkey", R.total_calls(m).alias("calls"))
+
+
+@query("SELECT count(*) AS total, count(*) FILTER (q % 2 = 0) AS positive, count(*) FILTER (q % 2 <> 0) AS negative FROM (SELECT DISTINCT user_id AS q FROM events)")
+def trigger_classes(spark, d):
+    return R.class_counts(outcomes(spark, d).select("query", "should_trigger").distinct())
+
+
+@query("SELECT q AS query, q % 2 = 0 AS should_trigger, q = min(q) OVER (PARTITION BY q % 2 = 0) AS header FROM (SELECT DISTINCT user_id AS q FROM events)")
+def grouped_headers(spark, d):
+    return R.headed(outcomes(spark, d).select("query", "should_trigger").distinct(), "query")
+
+
+@query("""WITH k AS (SELECT event_type, row_number() OVER (ORDER BY min(user_id), event_type) AS k FROM events GROUP BY 1), g AS (SELECT user_id, avg(value) FILTER (k = 1) AS a, avg(value) FILTER (k = 2) AS b FROM events JOIN k USING (event_type) WHERE k <= 2 GROUP BY 1)
+SELECT user_id AS eval_id, round(a, 4) AS first, round(b, 4) AS second, round(a - b, 4) AS change FROM g""")
+def config_pairs(spark, d):
+    return R.paired(runs(spark, d), "value")
+
+
+@query("""WITH o AS (SELECT DISTINCT user_id AS e, event_type AS c FROM events), p AS (SELECT x.e, x.c AS x, y.c AS y, substr(md5('42:' || x.e || ':' || x.c || ':' || y.c), 1, 1) >= '8' AS t FROM o x JOIN o y ON x.e = y.e AND x.c < y.c)
+SELECT e AS eval_id, CASE WHEN t THEN y ELSE x END AS a, CASE WHEN t THEN x ELSE y END AS b FROM p""")
+def blind_pairs(spark, d):
+    return R.blind_pairs(runs(spark, d).select("eval_id", "configuration").distinct())
+
+
+@query("WITH g AS (SELECT user_id AS eval_id, round(avg(value / 100), 4) AS mean, round(coalesce(stddev_samp(value / 100), 0), 4) AS stddev FROM events GROUP BY 1) SELECT *, CASE WHEN mean < 0.5 THEN 'hard' WHEN mean >= 0.8 THEN 'easy' ELSE 'between' END AS kind FROM g")
+def eval_hardness(spark, d):
+    return R.hardness(numbered(spark, d), "pass_rate")
+
+
+@query(f"WITH {ITERATIONS}, {SPLIT} SELECT (SELECT count(*) FROM h) AS iterations, count(*) FILTER (split = 'train') AS train_size, count(*) FILTER (split = 'test') AS test_size FROM s")
+def history_sizes(spark, d):
+    return R.history_sizes(history(spark, d), split(spark, d))
+
+
+@query("SELECT source, count(*) FILTER (toxic = 1) = 0 AS stop, count(*) AS reviews FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1")
+def stop_test(spark, d):
+    said = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left").select("source", F.when(F.col("toxic") == 1, "toxic").when(F.col("toxic") == 0, " \t").alias("feedback"))
+    return R.may_stop(said, ["source"])
+
+
+@query("WITH v AS (SELECT CAST(extract(day FROM ts) AS INTEGER) AS version, round(avg(value), 0) AS r FROM events GROUP BY 1) SELECT min(version) AS version, r AS expectation_pass_rate FROM v WHERE r = (SELECT max(r) FROM v) GROUP BY r")
+def current_best(spark, d):
+    v = table(spark, d, "events").groupBy(F.dayofmonth("ts").alias("version")).agg(F.round(F.avg("value"), 0).alias("expectation_pass_rate"))
+    return R.current_best(v)
+
+
+@query("""WITH s AS (SELECT CASE WHEN o_orderpriority LIKE '1%' THEN 'high' WHEN o_orderpriority LIKE '3%' THEN 'medium' WHEN o_orderpriority LIKE '5%' THEN 'low' ELSE 'unset' END AS priority, o_orderstatus AS category FROM orders)
+SELECT priority, category, count(*) AS n, CASE priority WHEN 'high' THEN 1 WHEN 'medium' THEN 2 WHEN 'low' THEN 3 ELSE 4 END AS rank FROM s GROUP BY 1, 2""")
+def suggestion_counts(spark, d):
+    p = F.col("o_orderpriority")
+    return R.suggestion_counts(table(spark, d, "orders").select(F.when(p.startswith("1"), "high").when(p.startswith("3"), "medium").when(p.startswith("5"), "low").otherwise("unset").alias("priority"), F.col("o_orderstatus").alias("category")))
+
+
+@query("SELECT doc_id FROM documents WHERE source IS NOT NULL AND regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g') <> ''")
+def acceptable_items(spark, d):
+    return R.acceptable(table(spark, d, "documents"), "source", ["text"]).select("doc_id")
+
+
+@query(f"SELECT q.vec_id AS query_id, e.vec_id, {COS} AS cosine FROM embeddings e JOIN embeddings q ON e.vec_id <> q.vec_id AND q.vec_id % 100 = 0 WHERE {COS} >= 0.3")
+def semantic_dups(spark, d):
+    e = table(spark, d, "embeddings").select("vec_id", "embedding")
+    return C.similar(e, e.filter("vec_id % 100 = 0"), "vec_id", "embedding", 0.3)
+
+
+@query(f"""WITH k AS (SELECT doc_id, sha256({NORM.format(c="coalesce(text, '')")}) AS h FROM documents), e AS (SELECT f AS a_id, doc_id AS b_id FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS f FROM k) WHERE f <> doc_id),
+{SIMHASH}, c AS (SELECT simhash, min(doc_id) AS id FROM s GROUP BY 1), m AS (SELECT DISTINCT least(a.id, b.id) AS a_id, greatest(a.id, b.id) AS b_id FROM c a JOIN c b ON a.simhash < b.simhash AND bit_count(xor(a.simhash, b.simhash)) <= 3)
+SELECT a_id, b_id, 'exact' AS tier FROM e UNION ALL SELECT a_id, b_id, 'near' FROM m WHERE (a_id, b_id) NOT IN (SELECT a_id, b_id FROM e)""")
+def duplicate_tiers(spark, d):
+    docs = table(spark, d, "documents")
+    exact = C.exact_flags(docs, "doc_id", "text").filter("duplicate_of is not null").select(F.col("duplicate_of").alias("a_id"), F.col("doc_id").alias("b_id"))
+    return R.cascade([("exact", exact), ("near", C.near_signatures(C.simhash(docs, "doc_id", "text"), "doc_id"))])
+
+
+@query(f"""WITH t AS (SELECT doc_id, unnest(string_split({NORM.format(c='text')}, ' ')) AS value FROM documents), w AS (SELECT 'geo' AS name, lower(n_name) AS value FROM nation UNION SELECT 'role', role FROM conversations UNION SELECT 'common', unnest(['the', 'and']))
+SELECT doc_id, name, value, count(*) AS n FROM t JOIN w USING (value) GROUP BY 1, 2, 3""")
+def listed_terms(spark, d):
+    geo = table(spark, d, "nation").select(F.lit("geo").alias("name"), F.lower("n_name").alias("value"))
+    role = table(spark, d, "conversations").select(F.lit("role").alias("name"), F.col("role").alias("value"))
+    common = spark.createDataFrame([("common", "the"), ("common", "and")], "name string, value string")
+    return C.listed_terms(table(spark, d, "documents"), "doc_id", "text", geo.unionByName(role).unionByName(common))
+
+
+@query("SELECT page_id, CASE WHEN regexp_matches(html, 'https?://') THEN 'link' ELSE 'text' END AS shape FROM pages")
+def text_shape(spark, d):
+    return table(spark, d, "pages").select("page_id", C.shape(F.col("html")).alias("shape"))
+
+
+#: An event line of each kind of event: a tool's start, a part of its input, a full message, the end; errors say nothing.
+LINES = {
+    "view": '{"type":"stream_event","event":{"type":"content_block_start","content_block":{"type":"tool_use","name":"Skill"}}}',
+    "click": '{"type":"stream_event","event":{"type":"content_block_delta","delta":{"type":"input_json_delta","partial_json":"k%d"}}}',
+    "signup": '{"type":"assistant","message":{"content":[{"type":"tool_use","name":"Skill","input":{"skill":"k%d"}}]}}',
+    "purchase": '{"type":"result"}',
+    "error": '{"type":"system"}',
+}
+
+
+@query("""WITH e AS (SELECT user_id || '-' || extract(day FROM ts) AS key, event_id, event_type, count(*) FILTER (event_type = 'view') OVER (PARTITION BY user_id, extract(day FROM ts) ORDER BY event_id) AS block FROM events),
+j AS (SELECT key, event_id, CASE WHEN event_type = 'click' AND block > 0 AND event_id % 3 = 1 THEN true WHEN event_type = 'signup' THEN event_id % 2 = 1 WHEN event_type = 'purchase' THEN false END AS v FROM e)
+SELECT key, coalesce(arg_min(v, event_id) FILTER (v IS NOT NULL), false) AS triggered FROM j GROUP BY 1""")
+def event_decisions(spark, d):
+    kind, n = F.col("event_type"), F.when(F.col("event_type") == "click", F.col("event_id") % 3).otherwise(F.col("event_id") % 2)
+    line = F.replace(F.element_at(F.create_map(*[F.lit(x) for kv in LINES.items() for x in kv]), kind), F.lit("%d"), n.cast("string"))
+    lines = table(spark, d, "events").select(F.concat_ws("-", "user_id", F.dayofmonth("ts")).alias("key"), F.col("event_id").alias("seq"), line.alias("value"))
+    return first_decisions(events_of_lines(lines), "k1")

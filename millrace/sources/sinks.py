@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators.records import benchmark_lines
+
 
 def json_document(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)  # a report of a few rows
@@ -25,9 +29,20 @@ def feedback(df: DataFrame, path: str) -> None:
     json_document(df, path)
 
 
-def markdown(summary: DataFrame, by: str, metric: str) -> DataFrame:
-    """One line of a table per configuration."""
-    return summary.orderBy(by).select(F.format_string("| %s | %.2f ± %.2f |", F.initcap(F.replace(by, F.lit("_"), F.lit(" "))), f"{metric}_mean", f"{metric}_stddev").alias("value"))
+def text_file(spark: SparkSession, text: str, path: str) -> None:
+    """A small text as one file of that name, in any store that Spark writes to; an older one goes."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+
+
+def benchmark_files(spark: SparkSession, record: dict, folder: str) -> None:
+    """benchmark.json and benchmark.md of a record made by operators.records.benchmark()."""
+    text_file(spark, json.dumps(record, indent=2), f"{folder}/benchmark.json")
+    text_file(spark, "\n".join(benchmark_lines(record)), f"{folder}/benchmark.md")
 
 
 def eval_set(df: DataFrame, path: str) -> None:
