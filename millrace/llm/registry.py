@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import chat_format, decontaminate, exact_dedup, license_scan, near_dup, piece_fst, token_counts, token_shards, toxicity, url_filter
+from millrace.llm import chat_format, decontaminate, exact_dedup, fill_middle, license_scan, near_dup, piece_fst, token_counts, token_shards, toxicity, url_filter
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_chat_format": chat_format.op8_chat_format,
     "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
     "op10_near_dedup": near_dup.op10_near_dedup,
+    "op12_fill_middle": fill_middle.op12_fill_middle,
 }
 
 ORACLES = {
@@ -23,4 +24,5 @@ ORACLES = {
     "op7_exact_dedup": exact_dedup.ORACLE,
     "op8_chat_format": chat_format.ORACLE,
     "op9_benchmark_decontamination": decontaminate.ORACLE,
+    "op12_fill_middle": fill_middle.ORACLE,
 }
