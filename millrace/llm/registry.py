@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import chat_format, chunked_bpe, decontaminate, exact_dedup, fill_middle, license_scan, near_dup, piece_fst, token_counts, token_shards, toxicity, url_filter
+from millrace.llm import chat_format, chunked_bpe, cross_align, decontaminate, exact_dedup, fill_middle, license_scan, near_dup, piece_fst, token_counts, token_shards, toxicity, url_filter
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_chat_format": chat_format.op8_chat_format,
     "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
     "op10_near_dedup": near_dup.op10_near_dedup,
+    "op11_cross_align": cross_align.op11_cross_align,
     "op12_fill_middle": fill_middle.op12_fill_middle,
     "op13_byte_bpe": chunked_bpe.op13_byte_bpe,
 }
