@@ -20,7 +20,7 @@ import numpy as np
 import public_tokenizers
 import regex
 
-from millrace.llm.common import WORKER_BYTES, Budget, Memory, owned
+from millrace.llm.common import Budget, Memory, owned
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -41,7 +41,7 @@ def _byte_alphabet() -> dict[int, str]:
 class ByteBpe:
     """ids(text) -> packed little-endian ids; the integer type is the least that holds the vocabulary."""
 
-    def __init__(self, vocab: str = VOCAB, memory: int = WORKER_BYTES):
+    def __init__(self, vocab: str = VOCAB):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(public_tokenizers.path(vocab) if os.sep not in vocab else vocab)
@@ -53,7 +53,7 @@ class ByteBpe:
         self.space = self.alphabet[32]
         self.tokenize = self.library.model.tokenize
         self.pattern = regex.compile(public_tokenizers.PATTERN)
-        budget = Budget(memory)
+        budget = Budget()
         self.parts = Memory(lambda part: (self._merge(part), True), budget)
         self.after_space = Memory(self._after_space, budget)
         self.runs = Memory(lambda run: (self._whole(run), True), budget)

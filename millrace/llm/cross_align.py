@@ -12,9 +12,8 @@ tokens are linked (their bytes overlap) depends on a group's ids alone, so:
    however often it occurs, so the commonest group has as many rows as there are blocks, a small share of all. Each block's
    documents then add up the numbers they hold.
 
-Texts are cut for encoding where both tokenizers always have a border: before white space that follows a character that is none.
-What a part's groups are is remembered in a worker while its bytes last. Texts with unusual white space, with white space that
-a piece of B holds, or with a part whose tokens don't give its bytes, are encoded whole.
+A long text is encoded in segments, cut at a single space between other characters, where both tokenizers always have a border.
+Borders, groups and their names are found by arrays over all tokens of a segment.
 
 Null and empty texts, and texts whose tokens of A or of B don't join to space + text (such as one with U+2581), have no tokens:
 zeros, and an empty digest. Bytes that are no UTF-8 are read as U+FFFD. Rows are told apart by their place in the input, so
@@ -25,6 +24,8 @@ columns aren't read. An empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -35,18 +36,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.byte_bpe import _IRREGULAR, _ODD_SPACE, _RUNS, VOCAB, ByteBpe, _byte_alphabet
-from millrace.llm.common import ROW_KEY, WORKER_BYTES, Budget, Memory, bounded_batches, documents, join_small, owned, saved, with_row_key
+from millrace.llm.byte_bpe import VOCAB, _byte_alphabet
+from millrace.llm.common import ROW_KEY, bounded_batches, documents, join_small, owned, saved, with_row_key
 from millrace.llm.piece_fst import MODEL, SPACE
 
-#: A block is closed when it has so many occurrences of groups or so many distinct ones; parts of a text that are read at once.
-BLOCK_GROUPS, BLOCK_DISTINCT, STEP = 1 << 20, 50_000, 4096
-#: White space other than space and line end, by which parts may begin.
-BLANKS = "\t\r\x0b\x0c"
-
-
-class _Apart(Exception):
-    """The tokens of a part don't give its bytes."""
+#: A block is closed when it has so many occurrences of groups or so many distinct ones.
+BLOCK_GROUPS, BLOCK_DISTINCT = 1 << 20, 50_000
+#: Characters of a segment, at least.
+SEGMENT = 1 << 20
+_CUT = re.compile(r"[^\s](?= [^\s])")
 
 
 class Surfaces:
@@ -54,41 +52,32 @@ class Surfaces:
 
     def __init__(self, vocab: str = VOCAB, model: str = MODEL):
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(_path(vocab))
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.pieces = sentencepiece.SentencePieceProcessor(model_file=_path(model))
+        with open(_path(vocab), encoding="utf-8") as f:
+            said = json.load(f)
         alphabet = {c: b for b, c in _byte_alphabet().items()}
-        self.a = [b""] * self.library.get_vocab_size()
-        for token, i in self.library.get_vocab().items():
-            self.a[i] = bytes(alphabet[c] for c in token) if all(c in alphabet for c in token) else token.encode()
+        #: A's ids in the order of its merges, which is all that encoding needs; special tokens are no part of it.
+        self.ranks = {bytes(alphabet[c] for c in token): i for token, i in said["model"]["vocab"].items() if all(c in alphabet for c in token)}
+        special = {t["content"] for t in said["added_tokens"]}
+        for token in special:
+            self.ranks.pop(token.encode(), None)
+        made = [said["model"]["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in said["model"]["merges"]]
+        if made != sorted(made):
+            raise ValueError("A's ids aren't in the order of its merges")
+        self.a = [b""] * (max(self.ranks.values()) + 1)
+        for raw, i in self.ranks.items():
+            self.a[i] = raw
+        self.pieces = sentencepiece.SentencePieceProcessor(model_file=_path(model))
         said = [self.pieces.id_to_piece(i) for i in range(self.pieces.get_piece_size())]
         self.b = [bytes([int(p[3:5], 16)]) if self.pieces.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(said)]
-        #: Whether B has a border before a space that follows another character, and round a line end; and the white space that its pieces hold.
-        self.cuts = not any(SPACE in p.lstrip(SPACE) or "\n" in p for p in said)
-        self.held = [c for c in BLANKS if any(c in p for p in said)]
+        #: Whether B has a border before a space that follows another character.
+        self.cuts = not any(SPACE in p.lstrip(SPACE) for p in said)
 
 
 def _path(name: str) -> str:
     return name if "/" in name else public_tokenizers.path(name)
 
 
-def groups(a: list[int], b: list[int], a_bytes: list[bytes], b_bytes: list[bytes]) -> list[bytes]:
-    """The groups of two token lists that have the same bytes."""
-    out, i, j, from_i, from_j, end_a, end_b = [], 0, 0, 0, 0, 0, 0
-    while i < len(a):
-        end_a += len(a_bytes[a[i]])
-        i += 1
-        while end_b < end_a:
-            end_b += len(b_bytes[b[j]])
-            j += 1
-        if end_a == end_b:
-            out.append(b"%s|%s" % (",".join(map(str, a[from_i:i])).encode(), ",".join(map(str, b[from_j:j])).encode()))
-            from_i, from_j = i, j
-    return out
-
-
 def links(group: str, a_bytes: list[bytes], b_bytes: list[bytes]) -> Counter:
     """How often a group links each id pair."""
     a, b = ([int(x) for x in side.split(",")] for side in group.split("|"))
@@ -107,73 +96,72 @@ def links(group: str, a_bytes: list[bytes], b_bytes: list[bytes]) -> Counter:
 
 
 class Aligner:
-    """Groups of texts, by their parts."""
-
-    def __init__(self, vocab: str = VOCAB, model: str = MODEL, memory: int = WORKER_BYTES):
-        self.surfaces = Surfaces(vocab, model)
-        self.bpe = ByteBpe(_path(vocab), memory // 4)
-        budget = Budget(memory)
-        #: Groups, joined, of a part that a space comes before (but one that starts with a line end), and of any run.
-        self.after_space = Memory(lambda part: (self._part(part if part[0] == "\n" else " " + part), True), budget)
-        self.runs = Memory(lambda run: (self._part(run), True), budget)
-
-    def _part(self, run: str) -> bytes:
-        s = self.surfaces
-        a = np.frombuffer(b"".join(map(self.bpe.parts.__getitem__, self.bpe.pattern.findall(run))), self.bpe.dtype).tolist()
-        b = s.pieces.encode("\n" + run)[2:]  # B adds a space before a text; a line end takes it off the run
-        self._check(a, b, run)
-        return b";".join(groups(a, b, s.a, s.b))
-
-    def _check(self, a: list[int], b: list[int], text: str) -> None:
-        raw = text.encode()
-        if b"".join(map(self.surfaces.a.__getitem__, a)) != raw or b"".join(map(self.surfaces.b.__getitem__, b)) != raw:
-            raise _Apart
-
-    def whole(self, text: str) -> list[bytes]:
-        s = self.surfaces
-        a, b = s.library.encode(" " + text, add_special_tokens=False).ids, s.pieces.encode(text)
-        self._check(a, b, " " + text)
-        return groups(a, b, s.a, s.b)
-
-    def parts(self, text: str) -> tuple[Memory, list[str]] | None:
-        """The memory that knows the parts of a text, and the parts; None where it has to be read whole."""
-        if not self.surfaces.cuts or _ODD_SPACE.search(text) or any(c in text for c in self.surfaces.held):
-            return None
-        if text[0] == " " or _IRREGULAR.search(text):
-            return self.runs, _RUNS.findall(" " + text)
-        return self.after_space, text.replace("\n", " \n").split(" ")
+    """Groups of texts."""
+
+    def __init__(self, vocab: str = VOCAB, model: str = MODEL):
+        import tiktoken
+
+        s = self.surfaces = Surfaces(vocab, model)
+        self.library = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=s.ranks, special_tokens={})
+        self.a_size, self.b_size = (np.array([len(x) for x in side], np.int64) for side in (s.a, s.b))
+        # an id as written within a group; its second half, as the last of A or of B
+        self.a_said, self.b_said = (np.array([f"{i}{c}" for c in (",", last) for i in range(len(side))], object) for side, last in ((s.a, "|"), (s.b, ";")))
+
+    def pieces(self, rest: str) -> list[int] | None:
+        """B's ids of a space and the rest; None if they don't join to it."""
+        ids = self.surfaces.pieces.encode(rest)
+        return ids if b"".join(map(self.surfaces.b.__getitem__, ids)) == b" " + rest.encode() else None
+
+    def groups(self, rest: str, b_ids: list[int]) -> str:
+        """The groups of a space and the rest, joined."""
+        a, b = np.array(self.library.encode_ordinary(" " + rest), np.int64), np.array(b_ids, np.int64)
+        a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        at = np.zeros((2, a_end[-1] + 1), bool)
+        at[0, a_end] = at[1, b_end] = True
+        a_last, b_last = at[1, a_end], at[0, b_end]  # of their group
+        a_stop, b_stop = np.flatnonzero(a_last) + 1, np.flatnonzero(b_last) + 1  # of each group
+        a_group, b_group = np.cumsum(a_last) - a_last, np.cumsum(b_last) - b_last
+        said = np.empty(len(a) + len(b), object)
+        said[np.arange(len(a)) + np.concatenate([[0], b_stop])[a_group]] = self.a_said[a + a_last * len(self.a_size)]
+        said[np.arange(len(b)) + a_stop[b_group]] = self.b_said[b + b_last * len(self.b_size)]
+        return "".join(said.tolist())[:-1]
+
+    def segments(self, text: str) -> list[str]:
+        """The text in segments, each without the space before it."""
+        out, start = [], 0
+        while self.surfaces.cuts and len(text) - start > SEGMENT and (m := _CUT.search(text, start + SEGMENT)):
+            out.append(text[start : m.end()])
+            start = m.end() + 1
+        return [*out, text[start:]]
+
+    def read(self, text: str) -> Iterator[str]:
+        """The groups of each segment; none if B's tokens don't join to space + text."""
+        parts = self.segments(text) if text else []
+        if len(parts) > 1 and any(self.pieces(x) is None for x in parts):
+            return
+        for x in parts:
+            if (b := self.pieces(x)) is not None:
+                yield self.groups(x, b)
+
+
+class Numbers(dict):
+    """Each key's number, in the order in which they come."""
+
+    def __missing__(self, key):
+        n = self[key] = len(self)
+        return n
 
 
 class Block:
     """Groups of some documents, interned."""
 
     def __init__(self):
-        self.number: dict[bytes, int] = {}
-        self.known: dict[int, dict[str, tuple[bytes, bytes]]] = {}
-        self.docs: list[tuple] = []
-        self.n = 0
-
-    def numbers(self, found: list[bytes]) -> bytes:
-        number = self.number
-        return np.array([number.setdefault(g, len(number)) for g in found], "<u4").tobytes()
-
-    def learn(self, memory: Memory, parts: list[str]) -> dict[str, tuple[bytes, bytes]]:
-        """Groups, and their numbers, by part."""
-        known = self.known.setdefault(id(memory), {})
-        for p in set(parts).difference(known):
-            said = memory[p]
-            known[p] = said, self.numbers(said.split(b";"))
-        return known
-
-    def read(self, memory: Memory, parts: list[str]) -> tuple[list[bytes], list[bytes]]:
-        """Groups, and their numbers, of each part."""
-        known = self.learn(memory, parts)
-        both = [known[p] for p in parts]
-        return [x for x, _ in both], [x for _, x in both]
-
-    def add(self, key: tuple, digest: str | None, numbers: bytes) -> None:
+        self.number, self.docs, self.n = Numbers(), [], 0
+
+    def add(self, key: tuple, digest: str | None, found: list[str]) -> None:
+        numbers = np.fromiter(map(self.number.__getitem__, found), "<u4", len(found))
         self.docs.append((*key, digest, numbers))
-        self.n += len(numbers) // 4
+        self.n += len(found)
 
     def full(self) -> bool:
         return self.n >= BLOCK_GROUPS or len(self.number) >= BLOCK_DISTINCT
@@ -181,17 +169,15 @@ class Block:
     def rows(self, name: int) -> Iterator[pa.RecordBatch]:
         """A row for each document's part, then one for each group."""
         kind = np.dtype("<u2" if len(self.number) <= 1 << 16 else "<u4")
-        arrays = [np.frombuffer(x[4], "<u4") for x in self.docs]
-        count = np.bincount(np.concatenate(arrays), minlength=len(self.number)) if self.number else np.zeros(0, np.int64)
         for at in range(0, len(self.docs), 2000):
-            d = self.docs[at : at + 2000]
-            file, row, i, digest = ([x[k] for x in d] for k in range(4))
-            yield _batch(len(d), name, {ROW_KEY[0]: file, ROW_KEY[1]: row, "id": i, "groups_sha256": digest, "width": [kind.itemsize] * len(d), "numbers": [a.astype(kind).tobytes() for a in arrays[at : at + 2000]]})
-        said, freq = list(self.number), count.tolist()
-        used = np.flatnonzero(count).tolist()  # a text that was read whole after all may have left others
-        for at in range(0, len(used), 20_000):
-            part = used[at : at + 20_000]
-            yield _batch(len(part), name, {"number": part, "said": [said[k].decode() for k in part], "freq": [freq[k] for k in part]})
+            file, row, i, digest, numbers = zip(*self.docs[at : at + 2000], strict=True)
+            yield _batch(len(file), name, {ROW_KEY[0]: file, ROW_KEY[1]: row, "id": i, "groups_sha256": digest, "width": [kind.itemsize] * len(file), "numbers": [x.astype(kind).tobytes() for x in numbers]})
+        freq, said = np.zeros(len(self.number), np.int64), list(self.number)
+        for at in range(0, len(self.docs), 2000):
+            freq += np.bincount(np.concatenate([x[4] for x in self.docs[at : at + 2000]]), minlength=len(said))
+        for at in range(0, len(said), 20_000):
+            part = said[at : at + 20_000]
+            yield _batch(len(part), name, {"number": range(at, at + len(part)), "said": part, "freq": freq[at : at + len(part)]})
 
 
 KINDS = {"block": pa.int64(), ROW_KEY[0]: pa.int64(), ROW_KEY[1]: pa.int64(), "id": pa.int64(), "groups_sha256": pa.string(), "width": pa.int32(), "numbers": pa.binary(), "number": pa.int32(), "said": pa.string(), "freq": pa.int64()}
@@ -209,37 +195,20 @@ def interned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vo
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, n_blocks, block = TaskContext.get().partitionId(), 0, Block()
         for batch in batches:
+            of = owned(f"align-{vocab}-{model}", lambda: Aligner(vocab, model))
             for file, row, i, raw in zip(*(c.to_pylist() for c in batch.columns[:3]), batch.column(3), strict=True):
-                of = owned(f"align-{vocab}-{model}", lambda: Aligner(vocab, model))
-                key, text, digest = (file, row, i), (raw.as_py() or b"").decode("utf-8", "replace"), hashlib.sha256()
-                found = _found(of, block, text) if text else []
-                if not found:
-                    block.add(key, "", b"")
-                for k, (memory, parts) in enumerate(found):
-                    said, numbers = block.read(memory, parts) if memory is not None else (parts, [block.numbers(parts)])
-                    digest.update(b";" * (k > 0) + b";".join(said))
-                    block.add(key, digest.hexdigest() if k == len(found) - 1 else None, b"".join(numbers))
+                digest, some = hashlib.sha256(), False
+                for said in of.read((raw.as_py() or b"").decode("utf-8", "replace")):
+                    digest.update(f"{';' * some}{said}".encode())
+                    block.add((file, row, i), None, said.split(";"))
+                    some = True
                     if block.full():
                         yield from block.rows(task << 32 | n_blocks)
                         n_blocks, block = n_blocks + 1, Block()
+                block.add((file, row, i), digest.hexdigest() if some else "", [])
         if block.docs:
             yield from block.rows(task << 32 | n_blocks)
 
-    def _found(of: Aligner, block: Block, text: str) -> list[tuple[Memory | None, list]]:
-        """The text's parts, STEP at a time, with the memory that knows them; groups without one where it is read whole; nothing if its tokens don't join to it."""
-        try:
-            if cut := of.parts(text):
-                memory, parts = cut
-                block.learn(memory, parts)  # raises here, before anything is counted
-                return [(memory, parts[at : at + STEP]) for at in range(0, len(parts), STEP)]
-        except _Apart:
-            pass
-        try:
-            said = of.whole(text)
-        except _Apart:
-            return []
-        return [(None, said[at : at + STEP]) for at in range(0, len(said), STEP)]
-
     bounded_batches(docs.sparkSession)
     rows = with_row_key(docs).select(*ROW_KEY, F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").cast("binary").alias("text"))
     return rows.mapInArrow(read, SCHEMA)
@@ -284,7 +253,7 @@ def aligned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voc
 
     def add_up(parts: pa.Table, known: pa.Table) -> pa.Table:
         at = known.column("number").to_numpy()
-        of = np.zeros((len(at), len(sums)), np.int64)
+        of = np.zeros((at.max(initial=-1) + 1, len(sums)), np.int64)
         for k, c in enumerate(sums):
             of[at, k] = known.column(c).to_numpy()
         said = [np.frombuffer(x.as_py(), f"<u{w}") for x, w in zip(parts.column("numbers"), parts.column("width").to_pylist(), strict=True)]

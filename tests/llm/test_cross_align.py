@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import public_tokenizers
 import pytest
 
 from millrace.llm import cross_align
@@ -12,9 +13,20 @@ from tests.helpers import SF
 KINDS = "doc_id long, text string, block long, said string, n int"
 
 
+class Both(cross_align.Surfaces):
+    """And the library that the vocabulary is a file of."""
+
+    def __init__(self):
+        from tokenizers import Tokenizer
+
+        super().__init__()
+        self.library = Tokenizer.from_file(public_tokenizers.path(cross_align.VOCAB))
+        self.library.encode_special_tokens = True
+
+
 @pytest.fixture(scope="module")
 def both():
-    return cross_align.Surfaces()
+    return Both()
 
 
 def spans(ids, surface):
@@ -75,50 +87,44 @@ def test_all_pairs_of_tokens(spark, both):
     assert aligned(df.repartition(3)) == brute(both, rows)
 
 
-def test_parts_equal_whole_texts(both):
-    """Parts have the groups of the whole text, whatever comes before and after them."""
-    of, n = cross_align.Aligner(), 0
-    for t in [x for x in texts() if x]:
-        try:
-            whole = of.whole(t)
-            if cut := of.parts(t):
-                assert b";".join(map(cut[0].__getitem__, cut[1])) == b";".join(whole), t
-                n += 1
-        except cross_align._Apart:
-            pass
-    assert n > 20
-
-
-def test_texts_over_several_blocks(monkeypatch):
+def test_segments_and_blocks_equal_whole_texts(monkeypatch):
+    """Segments have the groups of the whole text, and blocks their frequencies, however small both are."""
+    of, said = cross_align.Aligner(), [t for t in texts() if t and " x y z " * 3 not in t] + ["some words of a text, that goes on " * 90, "a line\nand\nlines of 漢字\n\n  x  y z " * 30]
+    whole = {t: list(of.read(t)) for t in said}
+    assert all(len(x) < 2 for x in whole.values())
+    monkeypatch.setattr(cross_align, "SEGMENT", 40)
     monkeypatch.setattr(cross_align, "BLOCK_GROUPS", 50)
-    monkeypatch.setattr(cross_align, "BLOCK_DISTINCT", 30)
-    monkeypatch.setattr(cross_align, "STEP", 7)
-    block, of, n = cross_align.Block(), cross_align.Aligner(), 0
-    said = ["some words of a text that goes on " * 9, "other words", "a line\nand\nlines of 漢字\n\n  x "]
+    block, freq, n_blocks = cross_align.Block(), Counter(), 0
     for t in said:
-        memory, parts = of.parts(t)
-        for at in range(0, len(parts), 7):
-            found, numbers = block.read(memory, parts[at : at + 7])
-            block.add((1, 1, 1), None, b"".join(numbers))
-            assert b";".join(found).count(b";") + 1 == len(b"".join(numbers)) // 4
-            if block.full():
-                n += sum(b.column("freq").to_pandas().sum() for b in block.rows(n))
+        parts = list(of.read(t))
+        assert ";".join(parts) == "".join(whole[t])
+        for x in parts:
+            block.add((1, 1, 1), None, x.split(";"))
+            if block.full() or t == said[-1]:
+                n_blocks += 1
+                for b in block.rows(n_blocks):
+                    freq.update({g: n for g, n in zip(*(b.column(c).to_pylist() for c in ("said", "freq")), strict=True) if g})
                 block = cross_align.Block()
-    n += sum(b.column("freq").to_pandas().sum() for b in block.rows(0))
-    assert n == sum(len(of.whole(t)) for t in said)
+    assert n_blocks > 20 and freq == Counter(g for t in said if whole[t] for g in whole[t][0].split(";"))
 
 
-def test_long_text_and_empty_table(spark, both):
-    rows = [(1, "word 漢字 and more, " * 90_000), (2, "word"), (3, "x" * 60_000)]
-    got = aligned(spark.createDataFrame(rows, "doc_id long, text string"))
-    a = both.library.encode(" " + rows[0][1], add_special_tokens=False).ids
-    assert got[0][:2] == (1, len(a)) and got[0][3] == len(both_groups(both, rows[0][1]))
-    assert got[0][7] == hashlib.sha256(b";".join(both_groups(both, rows[0][1]))).hexdigest()
-    assert cross_align.aligned(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+def test_ids_are_those_of_the_vocabulary_file(spark, both):
+    of = cross_align.Aligner()
+    words = {w for r in spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet").select("text").collect() for w in r["text"].split()}
+    every = [chr(x) for k in (range(0xD800), range(0xE000, 0x20000)) for x in k]
+    for t in [*words, *(f"a{c}e 1{c}2 !{c}? {c} {c}{c}  {c}\n" for c in every)]:
+        assert of.library.encode_ordinary(" " + t) == both.library.encode(" " + t, add_special_tokens=False).ids, t
 
 
-def both_groups(both, text):
-    return cross_align.groups(both.library.encode(" " + text, add_special_tokens=False).ids, both.pieces.encode(text), both.a, both.b)
+def test_long_texts_and_empty_table(spark, both):
+    rows = [(1, "word 漢字 and more, " * 90_000), (2, "word"), (3, "x" * 60_000), (4, "long " * 300_000 + "▁")]
+    got = aligned(spark.createDataFrame(rows, "doc_id long, text string"))
+    a, b = both.library.encode(" " + rows[0][1], add_special_tokens=False).ids, both.pieces.encode(rows[0][1])
+    assert got[0][:3] == (1, len(a), len(b)) and got[3] == (4, 0, 0, 0, 0, 0, 0, "")
+    unit = list(cross_align.Aligner().read("word 漢字 and more, " * 2))[0].split(";")
+    n = (len(unit) - 1) // 2  # groups of one round; the last one is the space that ends the text
+    assert got[0][7] == hashlib.sha256(";".join(unit[:n] * 90_000 + unit[-1:]).encode()).hexdigest()
+    assert cross_align.aligned(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
 def test_query_equals_all_pairs(spark, both):
