@@ -100,17 +100,6 @@ def links(pages: DataFrame, id_col: str, html: str) -> DataFrame:
     return pages.select(id_col, F.posexplode(F.regexp_extract_all(html, F.lit('href="([^"]*)"'), F.lit(1))).alias("position", "link"))
 
 
-def inverted_index(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return items.select(id_col, F.explode(T.tokens(F.col(text_col))).alias("term")).groupBy("term", id_col).agg(F.count(F.lit(1)).alias("tf"))
-
-
-def search(index: DataFrame, terms: list[str], id_col: str, k: int) -> DataFrame:
-    """The k items that hold all terms, by summed term frequency, then id."""
-    want = sorted(set(terms))
-    hits = index.filter(F.col("term").isin(*want)).groupBy(id_col).agg(F.sum("tf").alias("score"), F.count(F.lit(1)).alias("n")).filter(F.col("n") == len(want))
-    return hits.select(id_col, "score").orderBy(F.desc("score"), id_col).limit(k)
-
-
 def nearest(vectors: DataFrame, queries: DataFrame, id_col: str, vec: str, k: int, max_bytes: int = 64 << 20) -> DataFrame:
     """For each query vector the k most similar others by cosine. Queries go in blocks of a checked size to all rows."""
     n, width = queries.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size(vec)), F.lit(1))).first()

@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from millrace.functions import text as T
 from millrace.operators import corpus as C
 from millrace.operators import evalstats as E
+from millrace.operators import fulltext as X
 from millrace.operators import records as R
+from millrace.shared import once
 from millrace.sources.results import events_of_lines
 from millrace.streaming.events import first_decisions
 
@@ -252,9 +254,20 @@ def semantic_topk(spark, d):
     return C.nearest(e, e.filter("vec_id % 100 = 0"), "vec_id", "embedding", 10)
 
 
+def text_index(spark, d) -> str:
+    """The index of all documents, written once for a state of the table."""
+    docs = table(spark, d, "documents")
+    return once(docs, "text-index", lambda path: X.write_index(docs, path, "doc_id", "text"))
+
+
 @query(f"WITH t AS (SELECT doc_id, unnest(string_split({NORM.format(c='text')}, ' ')) AS t FROM documents) SELECT doc_id, count(*) AS score FROM t WHERE t IN ('the', 'and', 'with') GROUP BY 1 HAVING count(DISTINCT t) = 3 ORDER BY score DESC, doc_id LIMIT 20")
 def fulltext_search(spark, d):
-    return C.search(C.inverted_index(table(spark, d, "documents"), "doc_id", "text"), ["the", "and", "with"], "doc_id", 20)
+    return X.search(spark, text_index(spark, d), ["the", "and", "with"], 20, "doc_id")
+
+
+@query(f"WITH t AS (SELECT doc_id, unnest(string_split({NORM.format(c='text')}, ' ')) AS term FROM documents) SELECT term, count(DISTINCT doc_id) AS n_items, count(*) AS n_occurrences FROM t WHERE term <> '' AND doc_id IS NOT NULL GROUP BY 1")
+def term_statistics(spark, d):
+    return X.term_statistics(spark, text_index(spark, d))
 
 
 @query("SELECT doc_id, name, value, 'system' AS origin, '1' AS prompt_version, count(*) AS n FROM (" + " UNION ALL ".join(f"SELECT doc_id, '{k}' AS name, unnest(regexp_extract_all(text, '{p}')) AS value FROM documents" for k, p in T.FIELDS.items()) + ") GROUP BY ALL")
