@@ -114,22 +114,6 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str, vec: str, k: in
     return out.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
-def similar(vectors: DataFrame, queries: DataFrame, id_col: str, vec: str, threshold: float, max_bytes: int = 64 << 20) -> DataFrame:
-    """query_id, id, cosine: all other vectors at least so similar to a query vector, flagged for people, never merged.
-
-    Queries go in blocks of a checked size to all rows. Null vectors and those of length 0 are similar to nothing.
-    """
-    n, width = queries.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size(vec)), F.lit(1))).first()
-    n_blocks = max(1, -(-n * width * 8 // max_bytes))
-    out = None
-    for block in range(n_blocks):
-        part = queries.filter(F.pmod(F.xxhash64(id_col), F.lit(n_blocks)) == block) if n_blocks > 1 else queries
-        q = part.select(F.col(id_col).alias("query_id"), F.col(vec).alias("_q"))
-        met = vectors.join(F.broadcast(q), F.col(id_col) != F.col("query_id")).select("query_id", id_col, F.round(T.cosine(F.col(vec), F.col("_q")), 4).alias("cosine")).filter(F.col("cosine") >= threshold)
-        out = met if out is None else out.unionByName(met)
-    return out
-
-
 def listed_terms(items: DataFrame, id_col: str, text_col: str, terms: DataFrame) -> DataFrame:
     """id, name, value, n: terms of a list (name, value; one word each, lower case) that a text holds, never guessed.
 

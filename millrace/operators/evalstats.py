@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.shared import written
+
 
 def stats(c: str, prefix: str | None = None, places: int = 4) -> list[Column]:
     """mean, sample deviation (0 for one value), least and greatest, rounded; 0 where there are no values."""
@@ -56,12 +60,65 @@ def correct_runs(results: DataFrame) -> DataFrame:
     return results.agg(F.coalesce(F.sum(F.when(F.col("should_trigger"), F.col("triggers")).otherwise(F.col("runs") - F.col("triggers"))), F.lit(0)).alias("correct"), F.coalesce(F.sum("runs"), F.lit(0)).alias("total"))
 
 
+#: Rows of one class that are ranked in one task; beyond that their order's leading digits are counted further.
+RANKED, DIGITS = 100_000, 4
+
+
+def _border(rows: DataFrame, wanted: DataFrame | None, holdout: float, length: int) -> tuple[DataFrame, int]:
+    """class, prefix, k, size: of each class the leading digits of its last test row's order, how many with these are test, how many there are.
+
+    rows: class, order (of that length). wanted: class, k; where None, the share holdout of each class, one at least.
+    Digits are counted, not rows moved: a class has 16 ** DIGITS counts at most, however many rows it has.
+    """
+    at, n_digits = wanted, 0
+    while True:
+        n_digits += DIGITS
+        inside = rows
+        if n_digits > DIGITS:
+            inside = rows.join(at.select(F.col("class").alias("c"), "prefix"), F.col("class").eqNullSafe(F.col("c")) & F.startswith("order", "prefix"), "left_semi")
+        counted = written(inside.groupBy("class", F.substring("order", 1, n_digits).alias("digits")).agg(F.count(F.lit(1)).alias("size")), "digits")
+        if at is None:
+            at = counted.groupBy("class").agg(F.greatest(F.lit(1), F.floor(F.sum("size") * holdout)).alias("k"))
+        before = F.coalesce(F.sum("size").over(W.partitionBy("class").orderBy("digits").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+        met = counted.withColumn("before", before).join(at.select(F.col("class").alias("c"), "k"), F.col("class").eqNullSafe(F.col("c")))
+        at = written(met.filter("before < k and k <= before + size").select("class", F.col("digits").alias("prefix"), (F.col("k") - F.col("before")).alias("k"), "size"), "border")
+        most = at.agg(F.max("size")).first()[0] or 0
+        if most <= RANKED or n_digits >= length:
+            return at, most
+
+
+def _sides(rows: DataFrame, at: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that the border's digits decide, with their split; the others, with how many of them are test (k)."""
+    met = rows.join(at.select(F.col("class").alias("c"), "prefix", "k"), F.col("class").eqNullSafe(F.col("c")), "left").drop("c")
+    digits = F.substr("order", F.lit(1), F.length("prefix"))
+    decided = met.withColumn("split", F.when(digits < F.col("prefix"), "test").when((digits > F.col("prefix")) | F.col("prefix").isNull(), "train"))
+    return decided.filter("split is not null").drop("prefix", "k"), decided.filter("split is null").drop("prefix", "split")
+
+
 def stratified_split(items: DataFrame, key: str, stratum: str, holdout: float, seed: int = 42) -> DataFrame:
-    """items and split: per stratum max(1, floor(n * holdout)) rows are test; the order is by a seeded digest of the key."""
-    w = W.partitionBy(stratum)
-    k = F.row_number().over(w.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key))
-    n_test = F.greatest(F.lit(1), F.floor(F.count(F.lit(1)).over(w) * holdout)) if holdout > 0 else F.lit(0)
-    return items.withColumn("split", F.when(k <= n_test, "test").otherwise("train"))
+    """items and split: per stratum max(1, floor(n * holdout)) rows are test, those first by a seeded digest of the key.
+
+    The last test row is found by counting the digest's leading digits per stratum, further digits where those of the border are
+    many; only the border's rows are ranked. Rows with one key have one digest: of such rows at the border, as many are test as
+    are still wanted, by a digest of their place in a table of the border's rows, so that one key with any share of all rows is
+    no task's. A null stratum is a stratum, and a null key's digest is that of an empty one; the split of an empty table is empty.
+    """
+    if holdout <= 0:
+        return items.withColumn("split", F.lit("train"))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    rows = items.select(F.struct(*items.columns).alias("row"), F.col(stratum).alias("class"), digest.alias("order"))
+    at, most = _border(rows.select("class", "order"), None, holdout, 32)
+    parts, left = _sides(rows, at)
+    parts, left = [parts], written(left, "border-rows")
+    own = F.concat("order", F.md5(F.concat_ws(":", F.col("_metadata.file_path"), F.col("_metadata.row_index"))))
+    left = left.select("row", "class", "k", own.alias("order"))
+    if most > RANKED:
+        at, _ = _border(left.select("class", "order"), left.groupBy("class").agg(F.max("k").alias("k")), holdout, 64)
+        more, left = _sides(left.drop("k"), at)
+        parts.append(more)
+    rank = F.row_number().over(W.partitionBy("class").orderBy("order"))
+    parts.append(left.withColumn("split", F.when(rank <= F.col("k"), "test").otherwise("train")))
+    return reduce(DataFrame.unionByName, [p.select("row.*", "split") for p in parts])
 
 
 def best_iteration(history: DataFrame) -> DataFrame:
