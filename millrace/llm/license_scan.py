@@ -4,8 +4,8 @@ Line ends, comment marks and other signs don't count: a text is the sequence of
 holds a stem of the templates' anchor words is laid on each template's words of that stem, and the window
 of as many words as the template has, so aligned, is a candidate. A notice is thus found whether it is wrapped,
 follows other words in its line or stands in a text without line ends. A window's vector has
-tf * ln((N + 1) / (df + 1)) for the templates' terms, df and N over all documents; words outside the
-templates count as of df 0. It matches at a cosine of MIN_COSINE or more. A file's own licence is that of
+tf * (ln((N + 1) / (df + 1)) + 1) for the templates' terms, df and N over all documents, so that a term of every
+document still counts; words outside the templates count as of df 0. It matches at a cosine of MIN_COSINE or more. A file's own licence is that of
 its best window. A licence file is one with such a name, or of whose words the matching windows cover half
 or more; the best licence file of a directory licenses it. A file without a licence inherits from its nearest
 licensed ancestor directory: ancestors are made for distinct directories, not for files, and joined.
@@ -87,8 +87,8 @@ def scan(files: DataFrame, path: Column, text_col: str = "text", templates: list
     n_docs = rows.count()
     present = rows.filter("text is not null").select(F.explode(F.array_intersect(terms(F.col("text")), F.array(*map(F.lit, vocabulary)))).alias("term"))
     df = present.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = saved(tf.select("term").distinct().join(df, "term", "left").select("term", F.log(F.lit(n_docs + 1) / (F.coalesce("df", F.lit(0)) + 1)).alias("idf")), "idf")
-    unknown = F.log(F.lit(float(n_docs + 1)))
+    idf = saved(tf.select("term").distinct().join(df, "term", "left").select("term", (F.log(F.lit(n_docs + 1) / (F.coalesce("df", F.lit(0)) + 1)) + 1).alias("idf")), "idf")
+    unknown = F.log(F.lit(float(n_docs + 1))) + 1
 
     vectors = tf.join(F.broadcast(idf), "term").withColumn("w", F.col("tf") * F.col("idf"))
     vectors = vectors.withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy("template")))).select("template", "license", "term", F.col("w").alias("tw"), F.col("norm").alias("tnorm"))
@@ -147,11 +147,11 @@ WITH t(template, license, notice) AS (VALUES {notices}),
 tf AS (SELECT template, license, term, count(*) AS tf FROM (SELECT template, license, unnest({words("notice")}) AS term FROM t) GROUP BY ALL),
 n AS (SELECT count(*) AS n FROM documents),
 df AS (SELECT term, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest({words("text")}) AS term FROM documents) WHERE term IN (SELECT term FROM tf) GROUP BY term),
-idf AS (SELECT DISTINCT tf.term, ln((n + 1) / (coalesce(df, 0) + 1)) AS idf FROM tf CROSS JOIN n LEFT JOIN df USING (term)),
+idf AS (SELECT DISTINCT tf.term, ln((n + 1) / (coalesce(df, 0) + 1)) + 1 AS idf FROM tf CROSS JOIN n LEFT JOIN df USING (term)),
 v AS (SELECT template, license, term, tf * idf AS tw, sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY template)) AS tnorm FROM tf JOIN idf USING (term)),
 l AS (SELECT doc_id, len({words("text")}) AS n_terms, unnest(range(len(string_split(text, chr(10))))) AS line, unnest(string_split(text, chr(10))) AS said FROM documents WHERE {anchor("text")}),
 w AS (SELECT doc_id, n_terms, line, term, count(*) AS tf FROM (SELECT doc_id, n_terms, line, unnest({words("said")}) AS term FROM l WHERE {anchor("said")}) GROUP BY ALL),
-x AS (SELECT w.*, tf * coalesce(idf, ln(n + 1)) AS w FROM w CROSS JOIN n LEFT JOIN idf USING (term)),
+x AS (SELECT w.*, tf * coalesce(idf, ln(n + 1) + 1) AS w FROM w CROSS JOIN n LEFT JOIN idf USING (term)),
 no AS (SELECT doc_id, line, sqrt(sum(w * w)) AS norm, sum(tf) AS n_line FROM x GROUP BY ALL),
 m AS (SELECT doc_id, n_terms, line, n_line, license, round(dot / (norm * tnorm), 6) AS cosine FROM (SELECT doc_id, n_terms, line, template, license, tnorm, sum(w * tw) AS dot FROM x JOIN v USING (term) GROUP BY ALL) JOIN no USING (doc_id, line)),
 b AS (SELECT *, row_number() OVER (PARTITION BY doc_id, line ORDER BY cosine DESC, license) AS k FROM m WHERE cosine >= {MIN_COSINE}),

@@ -83,3 +83,20 @@ def test_preference_records_join_to_the_rows(spark):
     assert {k: v for k, v in got.items() if v} == joined
     assert {k: v for k, v in told.items() if v} == {k: v for k, v in trained.items() if v}
     assert chat_format.preference_records(c.limit(0), r.limit(0)).count() == 0
+
+
+def test_license_of_few_and_of_equal_files(spark):
+    """One file alone, two alike, a table where all documents hold one notice, plain rows and very long ones: terms of every document still count."""
+    mit, kinds = "Released under the MIT License", "path string, text string, license string, term string, n int"
+
+    def licences(rows):
+        return sorted(((r["path"], r["license"], r["origin"]) for r in license_scan.scan(spark.createDataFrame([(*x, "x", "y", 1) for x in rows], kinds), F.col("path")).collect()), key=repr)
+
+    assert licences([("a/LICENSE", mit)]) == [("a/LICENSE", "MIT", "own")]
+    assert licences([("a/LICENSE", mit), ("a/LICENSE", mit)]) == [("a/LICENSE", "MIT", "own")] * 2
+    same = [(f"d{k}/f.txt", f"{mit}\n" + "words of a file " * 40) for k in range(50)]
+    assert licences(same) == sorted((p, "MIT", "own") for p, _ in same)
+    assert licences([("a", "plain words")]) == [("a", None, "none")]
+    assert licences([("a/b/c.txt", "x"), ("a/LICENSE", mit), (None, None), ("z", "")]) == sorted([("a/b/c.txt", "MIT", "inherited"), ("a/LICENSE", "MIT", "own"), (None, None, "none"), ("z", None, "none")], key=repr)
+    assert licences([("l.txt", "word " * 60_000 + mit + " word" * 60_000)]) == [("l.txt", "MIT", "own")]
+    assert licences([]) == []
