@@ -1,60 +1,123 @@
 """Full-text search over a stored inverted index.
 
-Items are dealt to blocks by a hash of their id, about PER_BLOCK items a block, alike for all terms. The postings of one
-term in one block are one row: ids as gaps, term frequencies, how many there are and the greatest frequency among them.
-So a term that every item has is spread over as many rows as there are blocks, no group grows beyond a block, and a
-conjunction is a matter of equal blocks: a block that lacks a term is skipped without reading its postings.
+Items are taken in blocks of PER_BLOCK as they are read, and a block's postings are made where its texts are: no posting is
+shuffled by item. The postings of one term in one block are one row: the items' places in the block as gaps, term frequencies,
+how many there are and the greatest frequency among them. So a term that every item has is spread over as many rows as there
+are blocks, no group grows beyond a block, and a conjunction is a matter of equal blocks: a block that lacks a term is skipped
+without reading its postings. A block's ids are a row too, which only blocks that have hits are asked for.
 
 Rows lie in folders by a hash of the term, sorted by term and block: a query opens only its terms' folders, and Parquet's
 own statistics leave out what lies between. The first pass over them reads no postings but each block's bound, the sum
 of its terms' greatest frequencies. The blocks with the greatest bounds are scored first; of the others, only those whose
 bound reaches the k-th score found so far.
 
-An item's score is the summed frequency of the terms; ties go to the smaller id. Items without an id can't be found. Null and empty
-texts have no terms; rows with one id are one item. An empty table gives an index without rows. Further items, with other
-ids, may be appended to an index; ids that are there already must not be.
+An item's score is the summed frequency of the terms; ties go to the smaller id. Each row is an item, also where rows share an
+id; items without an id can't be found. Null and empty texts have no terms. An empty table gives an index without rows. Further
+items may be appended to an index.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
 
-PER_BLOCK, BUCKETS = 4096, 64
+#: Items and postings of a block at most (a text's own terms may go beyond the latter), and the least number of folders.
+PER_BLOCK, BLOCK_POSTINGS, BUCKETS = 4096, 2_000_000, 64
 #: Blocks that are scored before a bound is known.
 FIRST = 16
 BUCKET = "pmod(xxhash64(term), {n})"
+#: The folder of the blocks' ids.
+ITEMS = -1
+KINDS = {"term": pa.string(), "block": pa.int64(), "n": pa.int32(), "occurrences": pa.int64(), "greatest": pa.int32(), "gaps": pa.binary(), "tfs": pa.binary()}
+SCHEMA = "term string, block long, n int, occurrences long, greatest int, gaps binary, tfs binary"
 
 
-def write_index(items: DataFrame, path: str, id_col: str, text_col: str, per_block: int = PER_BLOCK, n_buckets: int = BUCKETS, append: bool = False) -> None:
+def _packed(x: list[int]) -> bytes:
+    """Integers in the least width that holds them all; the number of them tells the width again."""
+    most = max(x)
+    return np.array(x, "<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4").tobytes()
+
+
+def _unpacked(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{len(raw) // n}").astype(np.int64)
+
+
+class _Block:
+    """Postings of some items, by term: place, frequency, place, frequency ..."""
+
+    def __init__(self):
+        self.ids, self.held, self.n = [], {}, 0
+
+    def add(self, i: int, words: list[str]) -> None:
+        place, held = len(self.ids), self.held
+        self.ids.append(i)
+        found = Counter(words)
+        for term, tf in found.items():
+            if term in held:
+                held[term] += (place, tf)
+            else:
+                held[term] = [place, tf]
+        self.n += len(found)
+
+    def full(self, per_block: int) -> bool:
+        return len(self.ids) >= per_block or self.n >= BLOCK_POSTINGS
+
+    def rows(self, name: int) -> Iterator[pa.RecordBatch]:
+        yield _batch([(None, name, len(self.ids), 0, 0, np.array(self.ids, "<i8").tobytes(), b"")])
+        rows = []
+        for term, x in self.held.items():
+            places, tfs = x[::2], x[1::2]
+            gaps = places if len(places) == 1 else [places[0], *map(int.__sub__, places[1:], places)]
+            rows.append((term, name, len(tfs), sum(tfs), max(tfs), _packed(gaps), _packed(tfs)))
+            if len(rows) == 20_000:
+                yield _batch(rows)
+                rows = []
+        if rows:
+            yield _batch(rows)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), KINDS.values(), strict=True)], list(KINDS))
+
+
+def write_index(items: DataFrame, path: str, id_col: str, text_col: str, per_block: int = PER_BLOCK, n_buckets: int | None = None, append: bool = False) -> None:
     """Write an index below path, or add to the one that is there."""
-    spark = items.sparkSession
+    spark, run = items.sparkSession, 0
     if append:
-        n_blocks, n_buckets = spark.read.parquet(f"{path}/settings").first()
-    else:
-        n_blocks = max(1, -(-items.count() // per_block))
-        spark.createDataFrame([(n_blocks, n_buckets)], "n_blocks long, n_buckets int").coalesce(1).write.parquet(f"{path}/settings")
-    words = items.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.explode(T.tokens(F.col(text_col))).alias("term"))
-    counted = words.groupBy("id", "term").agg(F.count(F.lit(1)).cast("int").alias("tf"))
-    filed = counted.withColumns({"bucket": F.expr(BUCKET.format(n=n_buckets)).cast("int"), "block": F.pmod(F.xxhash64("id"), F.lit(n_blocks))})
-    keys = ["bucket", "term", "block"]
-    posts = F.array_sort(F.collect_list(F.struct("id", "tf")))
-    one = filed.repartitionByRange(*keys).groupBy(*keys).agg(posts.alias("posts"), F.count(F.lit(1)).alias("n"), F.sum("tf").alias("occurrences"), F.max("tf").alias("greatest"))
-    ids = F.col("posts.id")
-    gaps = F.concat(F.slice(ids, 1, 1), F.zip_with(F.slice(ids, F.lit(2), F.size(ids)), F.slice(ids, F.lit(1), F.size(ids) - 1), lambda b, a: b - a))
-    rows = one.select(*keys, "n", "occurrences", "greatest", gaps.alias("gaps"), F.col("posts.tf").alias("tfs"))
-    rows.sortWithinPartitions(*keys).write.mode("append").partitionBy("bucket").parquet(f"{path}/postings")
+        old = spark.read.parquet(f"{path}/settings").agg(F.max("run").alias("run"), F.max("n_buckets").alias("n_buckets")).first()
+        run, n_buckets = old["run"] + 1, old["n_buckets"]
+    n_buckets = n_buckets or max(BUCKETS, items.count() // 1_000_000)
+    spark.createDataFrame([(run, n_buckets)], "run int, n_buckets int").coalesce(1).write.mode("append").parquet(f"{path}/settings")
+
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, block = run << 48 | TaskContext.get().partitionId() << 24, _Block()
+        for b in batches:
+            for i, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                block.add(i, [t for t in (text.as_py() or "").split(" ") if t])
+                if block.full(per_block):
+                    yield from block.rows(name)
+                    name, block = name + 1, _Block()
+        if block.ids:
+            yield from block.rows(name)
+
+    texts = items.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), T.normalized(F.col(text_col)).alias("text"))
+    rows = texts.mapInArrow(post, SCHEMA)
+    bucket = F.when(F.col("term").isNull(), F.lit(ITEMS)).otherwise(F.expr(BUCKET.format(n=n_buckets)).cast("int"))
+    spread = F.when(F.col("term").isNull(), F.col("block"))  # ids are dealt by block
+    filed = rows.withColumns({"bucket": bucket, "spread": spread}).repartition("bucket", "spread").drop("spread")
+    filed.sortWithinPartitions("bucket", "term", "block").write.mode("append").partitionBy("bucket").parquet(f"{path}/rows")
 
 
 def _rows(spark: SparkSession, path: str) -> DataFrame:
-    kinds = "term string, block long, n long, occurrences long, greatest int, gaps array<long>, tfs array<int>, bucket int"
-    return spark.read.schema(kinds).parquet(f"{path}/postings")
+    return spark.read.schema(f"{SCHEMA}, bucket int").parquet(f"{path}/rows")
 
 
 def postings(spark: SparkSession, path: str, terms: list[str]) -> DataFrame:
@@ -66,42 +129,29 @@ def postings(spark: SparkSession, path: str, terms: list[str]) -> DataFrame:
 
 def term_statistics(spark: SparkSession, path: str) -> DataFrame:
     """term, n_items, n_occurrences: from the rows' sums, without postings."""
-    return _rows(spark, path).groupBy("term").agg(F.sum("n").alias("n_items"), F.sum("occurrences").alias("n_occurrences"))
-
-
-def _sorted(gaps: pa.Array, tfs: pa.Array, at: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and frequencies of one term in one block, from one row or more."""
-    ids = np.concatenate([np.cumsum(gaps[k].values.to_numpy()) for k in at])
-    tf = np.concatenate([tfs[k].values.to_numpy() for k in at])
-    if len(at) > 1:
-        order = np.argsort(ids)
-        ids, tf = ids[order], tf[order]
-    return ids, tf
+    rows = _rows(spark, path).filter(F.col("bucket") != ITEMS)
+    return rows.groupBy("term").agg(F.sum("n").alias("n_items"), F.sum("occurrences").alias("n_occurrences"))
 
 
-def scored(rows: DataFrame, n_terms: int, k: int) -> DataFrame:
-    """id, score: of each block the k best items that hold all terms."""
+def scored(rows: DataFrame, ids: DataFrame, n_terms: int, k: int) -> DataFrame:
+    """id, score: of each block the k best items that hold all terms. rows: of postings(); ids: the blocks' own rows."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lists = b.column(0)
-            for row in range(b.num_rows):
-                held = lists[row].values
-                by_term: dict[str, list[int]] = {}
-                for at, term in enumerate(held.field("term").to_pylist()):
-                    by_term.setdefault(term, []).append(at)
-                if len(by_term) < n_terms:
+            for held, raw in zip(b.column("held").to_pylist(), b.column("ids").to_pylist(), strict=True):
+                if len(held) < n_terms:
                     continue
-                sides = sorted((_sorted(held.field("gaps"), held.field("tfs"), at) for at in by_term.values()), key=lambda s: len(s[0]))
+                sides = [(np.cumsum(_unpacked(x["gaps"], x["n"])), _unpacked(x["tfs"], x["n"])) for x in sorted(held, key=lambda x: x["n"])]
                 both = sides[0][0]
-                for ids, _ in sides[1:]:
-                    both = np.intersect1d(both, ids, assume_unique=True)
-                score = sum((tf[np.searchsorted(ids, both)].astype(np.int64) for ids, tf in sides), np.zeros(len(both), np.int64))
-                best = np.lexsort((both, -score))[:k]
-                yield pa.RecordBatch.from_arrays([pa.array(both[best]), pa.array(score[best])], ["id", "score"])
+                for places, _ in sides[1:]:
+                    both = np.intersect1d(both, places, assume_unique=True)
+                score = sum((tf[np.searchsorted(places, both)] for places, tf in sides), np.zeros(len(both), np.int64))
+                own = np.frombuffer(raw, "<i8")[both]
+                best = np.lexsort((own, -score))[:k]
+                yield pa.RecordBatch.from_arrays([pa.array(own[best]), pa.array(score[best])], ["id", "score"])
 
-    held = rows.groupBy("block").agg(F.collect_list(F.struct("term", "gaps", "tfs")).alias("held"))
-    return held.select("held").mapInArrow(meet, "id long, score long")
+    held = rows.groupBy("block").agg(F.collect_list(F.struct("n", "gaps", "tfs")).alias("held"))
+    return held.join(ids.select("block", F.col("gaps").alias("ids")), "block").select("held", "ids").mapInArrow(meet, "id long, score long")
 
 
 def search(spark: SparkSession, path: str, terms: list[str], k: int, id_col: str = "id") -> DataFrame:
@@ -109,14 +159,15 @@ def search(spark: SparkSession, path: str, terms: list[str], k: int, id_col: str
     want = sorted(set(terms))
     if not want:
         raise ValueError("a search has a term at least")
-    rows = postings(spark, path, want)
-    bound = rows.groupBy("block").agg(F.count_distinct("term").alias("held"), F.sum("greatest").alias("bound")).filter(F.col("held") == len(want))
+    rows, ids = postings(spark, path, want), _rows(spark, path).filter(F.col("bucket") == ITEMS)
+    bound = rows.groupBy("block").agg(F.count(F.lit(1)).alias("held"), F.sum("greatest").alias("bound")).filter(F.col("held") == len(want))
     order = [F.desc("score"), "id"]
     first = [r["block"] for r in bound.orderBy(F.desc("bound"), "block").limit(FIRST).collect()]
-    found = scored(rows.filter(F.col("block").isin(first)), len(want), k).orderBy(*order).limit(k).collect()
+    some = F.col("block").isin(first)
+    found = scored(rows.filter(some), ids.filter(some), len(want), k).orderBy(*order).limit(k).collect()
     hits = spark.createDataFrame(found, "id long, score long")
     if len(first) == FIRST:  # there may be more
         least = found[-1]["score"] if len(found) == k else 0
-        others = bound.filter((F.col("bound") >= least) & ~F.col("block").isin(first)).select("block")
-        hits = hits.unionByName(scored(rows.join(others, "block"), len(want), k))
+        others = bound.filter((F.col("bound") >= least) & ~some).select("block")
+        hits = hits.unionByName(scored(rows.join(others, "block"), ids, len(want), k))
     return hits.orderBy(*order).limit(k).withColumnRenamed("id", id_col)
