@@ -147,10 +147,10 @@ def bucket(score: Column, total: Column) -> Column:
 
 
 def assertion_classes(graded: DataFrame) -> DataFrame:
-    """eval_id, text, class. graded: eval_id, text, with_skill boolean, passed."""
+    """eval_id, text, class. graded: eval_id, text, with_skill boolean, passed. A text that only one side has is in a class of its own."""
     rate = lambda side: F.avg(F.when(F.col("with_skill") == side, F.col("passed").cast("int")))
     x = graded.groupBy("eval_id", "text").agg(rate(True).alias("a"), rate(False).alias("b"))
-    c = F.when((F.col("a") == 1) & (F.col("b") == 1), "always pass").when((F.col("a") == 0) & (F.col("b") == 0), "always fail").when((F.col("a") == 1) & (F.col("b") == 0), "skill only").when((F.col("a") == 0) & (F.col("b") == 1), "baseline only").otherwise("variable")
+    c = F.when(F.col("a").isNull() | F.col("b").isNull(), "one side").when((F.col("a") == 1) & (F.col("b") == 1), "always pass").when((F.col("a") == 0) & (F.col("b") == 0), "always fail").when((F.col("a") == 1) & (F.col("b") == 0), "skill only").when((F.col("a") == 0) & (F.col("b") == 1), "baseline only").otherwise("variable")
     return x.select("eval_id", "text", c.alias("class"))
 
 
@@ -183,12 +183,19 @@ def version_steps(versions: DataFrame) -> DataFrame:
     return versions.join(p, "parent", "left").withColumn("change", F.round(F.col("expectation_pass_rate") - F.col("parent_rate"), 4))
 
 
-def metadata_problem(name: Column, description: Column, keys: Column | None = None, allowed: tuple[str, ...] = ("name", "description", "license", "allowed-tools", "metadata", "compatibility")) -> Column:
-    """The first rule that a document's metadata break, else null."""
+#: The keys that a document's metadata may have.
+KEYS = ("name", "description", "license", "allowed-tools", "metadata", "compatibility")
+
+
+def metadata_problem(name: Column, description: Column, keys: Column | None = None, compatibility: Column | None = None, allowed: tuple[str, ...] = KEYS) -> Column:
+    """The first rule that a document's metadata break, else null. White space round name and description doesn't count; both may be blank, but not missing."""
+    stripped = lambda c: F.regexp_replace(c, r"^\s+|\s+$", "")
+    n, said = stripped(name), stripped(description)
     rules = [] if keys is None else [(F.size(F.array_except(keys, F.array(*map(F.lit, allowed)))) > 0, "unexpected key")]
     rules += [
-        (name.isNull(), "missing name"), (description.isNull(), "missing description"), (~name.rlike("^[a-z0-9-]+$"), "name not hyphen-case"),
-        (name.startswith("-") | name.endswith("-") | name.contains("--"), "misplaced hyphen"), (F.char_length(name) > 64, "name too long"),
-        (description.contains("<") | description.contains(">"), "angle bracket"), (F.char_length(description) > 1024, "description too long"),
+        (name.isNull(), "missing name"), (description.isNull(), "missing description"), ((n != "") & ~n.rlike("^[a-z0-9-]+$"), "name not hyphen-case"),
+        (n.startswith("-") | n.endswith("-") | n.contains("--"), "misplaced hyphen"), (F.char_length(n) > 64, "name too long"),
+        (said.contains("<") | said.contains(">"), "angle bracket"), (F.char_length(said) > 1024, "description too long"),
     ]
-    return F.coalesce(*[F.when(broken, F.lit(said)) for broken, said in rules])
+    rules += [] if compatibility is None else [(F.char_length(compatibility) > 500, "compatibility too long")]
+    return F.coalesce(*[F.when(broken, F.lit(problem)) for broken, problem in rules])

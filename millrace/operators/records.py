@@ -6,6 +6,7 @@ record needs are 0, and ids that are missing sort last.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -51,7 +52,8 @@ def benchmark(runs: DataFrame, name: str = "", path: str = "", timestamp: str =
     summary["delta"] = {m: f"{d:+.{places}f}" for m, d, places in zip(METRICS, change, (2, 1, 0), strict=True)}
     ids = sorted({r["eval_id"] for r in rows if r["eval_id"] is not None})
     meta = {"skill_name": name or "<skill-name>", "skill_path": path or "<path/to/skill>", "executor_model": "<model-name>", "analyzer_model": "<model-name>"}
-    meta |= {"timestamp": timestamp, "evals_run": ids, "runs_per_configuration": 3}  # the record always says 3
+    most = max(Counter((r["configuration"], r["eval_id"]) for r in rows).values(), default=0)
+    meta |= {"timestamp": timestamp, "evals_run": ids, "runs_per_configuration": most}  # of one eval, in the tree as it is
     return {"metadata": meta, "runs": rows, "run_summary": summary, "notes": list(notes)}
 
 

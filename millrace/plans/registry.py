@@ -143,7 +143,7 @@ def iteration_matrix(spark, d):
 
 
 @query("""WITH g AS (SELECT source AS eval_id, lang AS text, avg(toxic) FILTER (doc_id % 2 = 0) AS a, avg(toxic) FILTER (doc_id % 2 = 1) AS b FROM documents JOIN labels USING (doc_id) GROUP BY 1, 2)
-SELECT eval_id, text, CASE WHEN a = 1 AND b = 1 THEN 'always pass' WHEN a = 0 AND b = 0 THEN 'always fail' WHEN a = 1 AND b = 0 THEN 'skill only' WHEN a = 0 AND b = 1 THEN 'baseline only' ELSE 'variable' END AS class FROM g""")
+SELECT eval_id, text, CASE WHEN a IS NULL OR b IS NULL THEN 'one side' WHEN a = 1 AND b = 1 THEN 'always pass' WHEN a = 0 AND b = 0 THEN 'always fail' WHEN a = 1 AND b = 0 THEN 'skill only' WHEN a = 0 AND b = 1 THEN 'baseline only' ELSE 'variable' END AS class FROM g""")
 def assertion_classes(spark, d):
     x = table(spark, d, "documents").select("doc_id", "source", "lang").join(table(spark, d, "labels"), "doc_id")
     return E.assertion_classes(x.select(F.col("source").alias("eval_id"), F.col("lang").alias("text"), (F.col("doc_id") % 2 == 0).alias("with_skill"), (F.col("toxic") == 1).alias("passed")))
@@ -200,9 +200,17 @@ def table_counts(spark, d):
     return reduce(DataFrame.unionByName, map(one, TABLES))
 
 
-@query("SELECT c_custkey, CASE WHEN lower(c_name) IS NULL THEN 'missing name' WHEN NOT regexp_matches(lower(replace(c_name, '#', '-')), '^[a-z0-9-]+$') THEN 'name not hyphen-case' WHEN contains(c_name, '--') THEN 'misplaced hyphen' WHEN length(c_name) > 64 THEN 'name too long' END AS problem FROM customer")
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 'unexpected key' WHEN n IS NULL THEN 'missing name' WHEN c_mktsegment IS NULL THEN 'missing description' WHEN n <> '' AND NOT regexp_full_match(n, '[a-z0-9-]+') THEN 'name not hyphen-case'
+WHEN starts_with(n, '-') OR ends_with(n, '-') OR contains(n, '--') THEN 'misplaced hyphen' WHEN length(n) > 64 THEN 'name too long' WHEN contains(c_mktsegment, '<') OR contains(c_mktsegment, '>') THEN 'angle bracket' WHEN length(c_mktsegment) > 1024 THEN 'description too long'
+WHEN length(repeat(c_mktsegment, (c_custkey % 90)::BIGINT)) > 500 THEN 'compatibility too long' END AS problem
+FROM (SELECT *, CASE c_custkey % 11 WHEN 0 THEN '' WHEN 1 THEN '-' ELSE '' END || CASE WHEN c_custkey % 11 = 0 THEN '' ELSE lower(replace(c_name, '#', '-')) END AS n FROM customer)""")
 def metadata_validation(spark, d):
-    return table(spark, d, "customer").select("c_custkey", E.metadata_problem(F.lower(F.replace("c_name", F.lit("#"), F.lit("-"))), F.col("c_mktsegment")).alias("problem"))
+    """Names with white space round them, blank ones, some with a hyphen first; a key that isn't allowed; long compatibility notes."""
+    k = F.col("c_custkey")
+    name = F.when(k % 11 == 0, "  ").otherwise(F.concat(F.when(k % 11 == 1, " -").otherwise(" "), F.lower(F.replace("c_name", F.lit("#"), F.lit("-"))), F.lit("\t")))
+    keys = F.array(F.lit("name"), F.when(k % 7 == 0, "colour").otherwise("description"))
+    problem = E.metadata_problem(name, F.col("c_mktsegment"), keys, F.repeat("c_mktsegment", (k % 90).cast("int")))
+    return table(spark, d, "customer").select("c_custkey", problem.alias("problem"))
 
 
 SPACES = r"[\s\x{00A0}]+"

@@ -152,16 +152,31 @@ def embedded(path: Column, content: Column) -> list[Column]:
 
 
 def front_matter(text: Column) -> dict[str, Column]:
-    """name and description of a text's front matter; folded and literal blocks become one line."""
-    head = F.regexp_extract(text, r"(?s)\A---\n(.*?)\n---", 1)
+    """name and description of a text's front matter, the last of repeated ones; empty where there is none.
 
-    def field(key: str) -> Column:
-        line = F.trim(F.regexp_extract(head, rf"(?m)^{key}:[ \t]*(.*)$", 1))
-        block = F.regexp_extract(head, rf"(?m)^{key}:[ \t]*[>|]-?[ \t]*\n((?:[ \t]+.*(?:\n|\z))+)", 1)
-        folded = F.trim(F.regexp_replace(block, r"\s*\n\s*", " "))
-        return F.when(line.isin(">", "|", ">-", "|-"), folded).otherwise(F.regexp_replace(line, "^[\"']+|[\"']+$", ""))
-
-    return {"name": field("name"), "description": field("description"), "has_front_matter": text.rlike(r"(?s)\A---\n.*?\n---")}
+    It lies between the first line and the next one that is `---`, white space aside. A folded or literal description is the indented
+    lines after it, joined by spaces, up to the first line that isn't indented; quotes round a value go.
+    """
+    stripped = lambda c: F.regexp_replace(c, r"^\s+|\s+$", "")
+    lines = F.split(text, "\n", -1)
+    rest = F.slice(lines, F.lit(2), F.size(lines))
+    end = F.array_position(F.transform(rest, lambda x: stripped(x) == "---"), True)
+    has = F.coalesce((stripped(F.get(lines, F.lit(0))) == "---") & (end > 0), F.lit(False))
+    head = F.when(has, F.slice(rest, F.lit(1), F.greatest(end - 1, F.lit(0)).cast("int"))).otherwise(F.array().cast("array<string>"))
+
+    def last(key: str) -> tuple[Column, Column]:
+        """Its place from 1, null if there is none, and its value."""
+        place = F.array_max(F.filter(F.transform(head, lambda x, i: F.when(x.startswith(f"{key}:"), i + 1)), lambda i: i.isNotNull()))
+        return place, F.coalesce(stripped(F.substr(F.get(head, place - 1), F.lit(len(key) + 2))), F.lit(""))
+
+    unquoted = lambda c: F.regexp_replace(F.regexp_replace(c, '^"+|"+$', ""), "^'+|'+$", "")
+    _, name = last("name")
+    at, said = last("description")
+    after = F.slice(head, F.coalesce(at, F.lit(0)) + 1, F.size(head) + 1)
+    stop = F.array_position(F.transform(after, lambda x: ~(x.startswith("  ") | x.startswith("\t"))), True)
+    block = F.when(stop > 0, F.slice(after, F.lit(1), (stop - 1).cast("int"))).otherwise(after)
+    folded = F.array_join(F.transform(block, stripped), " ")
+    return {"name": unquoted(name), "description": F.when(said.isin(">", "|", ">-", "|-"), folded).otherwise(unquoted(said)), "has_front_matter": has}
 
 
 def events_of_lines(lines: DataFrame) -> DataFrame:

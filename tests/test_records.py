@@ -23,7 +23,7 @@ def test_benchmark_record_and_files(spark, tmp_path):
     assert [(x["configuration"], x["eval_id"], x["run_number"]) for x in r["runs"]] == [("base_line", 1, 1), ("base_line", 2, 1), ("with_skill", 1, 1), ("with_skill", 1, 2), ("with_skill", 2, 1), ("third", 3, 1)]
     assert r["runs"][1]["result"] == {"pass_rate": 0.0, "passed": 0, "failed": 0, "total": 0, "time_seconds": 0.0, "tokens": 0, "tool_calls": 0, "errors": 0}
     assert r["run_summary"]["delta"] == {"pass_rate": "-0.50", "time_seconds": "-7.5", "tokens": "-110"}
-    assert r["metadata"]["evals_run"] == [1, 2, 3] and r["metadata"]["runs_per_configuration"] == 3
+    assert r["metadata"]["evals_run"] == [1, 2, 3] and r["metadata"]["runs_per_configuration"] == 2
     sinks.benchmark_files(spark, r, str(tmp_path))
     assert json.loads((tmp_path / "benchmark.json").read_text()) == r
     lines = (tmp_path / "benchmark.md").read_text().split("\n")
