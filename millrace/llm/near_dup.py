@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -36,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.common import ROW_FILE, ROW_INDEX, ROW_KEY, documents, dropped, join_small, owned, row_columns, saved, scratch, with_row_key
+from millrace.llm.common import BROADCAST_BYTES, ROW_FILE, ROW_INDEX, ROW_KEY, documents, dropped, join_small, owned, row_columns, saved, scratch, with_row_key
 from millrace.llm.components import components
 
 N_SYMBOLS = 64
@@ -164,11 +165,18 @@ def _keyed(classes: DataFrame, threshold: int) -> DataFrame:
     return classes.select("node", "sig").mapInArrow(file, "key long, node long")
 
 
+def _if_small(rows: DataFrame, n: int, row_bytes: int) -> DataFrame:
+    """rows for the right side of a join: broadcast if n of them are small, else left to Spark, which splits a hot key's rows."""
+    return F.broadcast(rows) if n * row_bytes <= BROADCAST_BYTES else rows
+
+
 def _within(pairs: DataFrame, classes: DataFrame, similarity: tuple[int, int], threshold: int) -> DataFrame:
     """Of pairs a, b those whose sizes allow the similarity and whose signatures are within the threshold."""
     num, den = similarity
     a, b = (classes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sig").alias(f"sig_{x}")) for x in "ab")
-    sized = pairs.join(a, "a").join(b, "b").filter(F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num)
+    n = pairs.count()
+    half = a.join(_if_small(pairs, n, 40), "a")
+    sized = b.join(_if_small(half, n, 400), "b").filter(F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in batches:
@@ -180,9 +188,9 @@ def _within(pairs: DataFrame, classes: DataFrame, similarity: tuple[int, int], t
     return sized.select("a", "b", "sig_a", "sig_b").mapInArrow(near, "a long, b long")
 
 
-def _set_rows(rows: DataFrame, classes: DataFrame, nodes: DataFrame, n_words: int) -> DataFrame:
-    """node, n, set (sorted uint64, packed) of the given nodes, from the text of one row of each."""
-    wanted = saved(classes.join(nodes, "node", "left_semi").select("rep.*", "node"), "wanted")
+def _set_rows(rows: DataFrame, classes: DataFrame, nodes: DataFrame, n_nodes: int, n_words: int) -> DataFrame:
+    """node, n, set (sorted uint64, packed) of the given nodes, n_nodes rows, from the text of one row of each."""
+    wanted = saved(classes.join(_if_small(nodes, n_nodes, 40), "node", "left_semi").select("rep.*", "node"), "wanted")
     texts = join_small(rows, wanted, ROW_KEY, "inner", wanted.count(), 80).select("node", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,7 +203,7 @@ def _set_rows(rows: DataFrame, classes: DataFrame, nodes: DataFrame, n_words: in
     return texts.mapInArrow(sets, "node long, n long, set binary")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+def _confirmed(pairs: DataFrame, n_pairs: int, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     num, den = similarity
     a, b = (sets.select(F.col("node").alias(x), F.col("set").alias(f"set_{x}")) for x in "ab")
 
@@ -209,12 +217,13 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -
             ok = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays([r.column(0).filter(ok), r.column(1).filter(ok)], ["a", "b"])
 
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b").mapInArrow(test, "a long, b long")
+    half = a.join(_if_small(pairs, n_pairs, 40), "a")
+    return half.join(b, "b").select("a", "b", "set_a", "set_b").mapInArrow(test, "a long, b long")
 
 
 def _labelled(rows: DataFrame, labels: DataFrame, node: str, label: str) -> DataFrame:
     known = labels.select(F.col("node").alias(node), F.col("label").alias(label))
-    return rows.join(known, node, "left").withColumn(label, F.coalesce(label, node))
+    return rows.join(_if_small(known, labels.count(), 40), node, "left").withColumn(label, F.coalesce(label, node))
 
 
 def _rest_pairs(sets: DataFrame, labels: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -250,9 +259,9 @@ def _nearest_hub(filed: DataFrame) -> DataFrame:
     return filed.filter("node <> hub").groupBy(F.col("node").alias("a")).agg(F.mode("hub", True).alias("b"))
 
 
-def _open_rows(filed: DataFrame, nodes: DataFrame) -> DataFrame:
+def _open_rows(filed: DataFrame, nodes: DataFrame, n_nodes: int) -> DataFrame:
     """The rows (key, node) of keys whose nodes lie in more than one component, with each node's label, size and short signature."""
-    labelled = filed.select("key", "node").join(nodes, "node")
+    labelled = filed.select("key", "node").join(_if_small(nodes, n_nodes, 100), "node")
     mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
     mixed = saved(mixed, "open-keys")
     return saved(join_small(labelled, mixed, "key", "inner", mixed.count(), 40), "open", keep=True)
@@ -301,6 +310,7 @@ def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, n_words: int,
     signed = saved(_signed(rows, n_words), "signed")
     first = signed.filter("n > 0").groupBy("set_id", "n").agg(F.first("sig").alias("sig"), *[F.first(c).alias(c) for c in SHORT], F.min(F.struct(*ROW_KEY)).alias("rep"))
     classes = saved(first.withColumn("node", F.monotonically_increasing_id()), "classes")
+    n_classes = classes.count()
 
     keyed = _keyed(classes, threshold)
     hubs = saved(keyed.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size")).filter("size > 1").select("key", "hub"), "hubs")
@@ -312,40 +322,45 @@ def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, n_words: int,
     def linked(pairs: DataFrame) -> DataFrame:
         with scratch(spark):
             near = saved(_within(pairs, classes, similarity, threshold), "pairs")
-            nodes = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
-            sets = saved(_set_rows(rows, classes, nodes, n_words), "sets")
-            return saved(_confirmed(near, sets, similarity), "links", keep=True)
+            n = near.count()
+            nodes = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node")))
+            sets = saved(_set_rows(rows, classes, nodes, 2 * n, n_words), "sets")
+            return saved(_confirmed(near, n, sets, similarity), "links", keep=True)
 
-    def named_components(links: DataFrame) -> DataFrame:
+    def named_components(links: DataFrame, before: DataFrame | None = None) -> DataFrame:
+        """Labels of the nodes of links; what is known before is links of nodes with their labels."""
         with scratch(spark):
-            return saved(components(links), "labels", keep=True)
+            known = [] if before is None else [before.filter("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))]
+            return saved(components(reduce(DataFrame.unionByName, known, links)), "labels", keep=True)
 
     tried = saved(_nearest_hub(filed), "tried")
-    links = linked(tried)
-    labels = named_components(links)
+    labels = named_components(linked(tried))
     rest = filed
     for turn in range(HUB_TURNS + 1):
         with scratch(spark):
-            now = _open_rows(rest, _labelled(classes.select("node", "n", *SHORT), labels, "node", "label"))  # a key without different components stays so
+            now = _open_rows(rest, _labelled(classes.select("node", "n", *SHORT), labels, "node", "label"), n_classes)  # a key without different components stays so
         dropped(rest)
         rest = now
         if turn == HUB_TURNS:
             break
         with scratch(spark):
-            others = saved(_nearest_of_hubs(rest, similarity, threshold, turn).join(tried, ["a", "b"], "left_anti"), "tried", keep=True)
+            others = _nearest_of_hubs(rest, similarity, threshold, turn).join(_if_small(tried, tried.count(), 50), ["a", "b"], "left_anti")
+            others = saved(others, "tried", keep=True)
         more = linked(others)
         if more.isEmpty():
             break
-        links, tried = links.unionByName(more), tried.unionByName(others)
-        labels = named_components(links)
+        tried = tried.unionByName(others)
+        labels = named_components(more, labels)
 
     nodes = saved(rest.select("node").distinct(), "rest")
-    if not nodes.isEmpty():
-        sets = saved(_set_rows(rows, classes, nodes, n_words), "sets")
-        found = saved(_confirmed(_rest_pairs(sets, labels, similarity), sets, similarity), "links")
+    n_rest = nodes.count()
+    if n_rest:
+        sets = saved(_set_rows(rows, classes, nodes, n_rest, n_words), "sets")
+        pairs = saved(_rest_pairs(sets, labels, similarity), "rest-pairs")
+        found = saved(_confirmed(pairs, pairs.count(), sets, similarity), "links")
         dropped(sets)
         if not found.isEmpty():
-            labels = named_components(links.unionByName(found))
+            labels = named_components(found, labels)
 
     named = _labelled(classes.select("set_id", "node"), labels, "node", "label").select("set_id", "label")
     placed = saved(signed.select(*ROW_KEY, "id", "n", "set_id").join(saved(named, "named"), "set_id", "left"), "placed", keep=True)
