@@ -1,13 +1,13 @@
 """Preference formatting: pairs of conversations become one prompt and two masked completions.
 
-Chosen and rejected turns of a pair are aligned by place; the first place where they differ in role
-or text (or where one has ended) ends the prompt. The turns before it are rendered once, those from
+The turns of each side are numbered from 0 by their order, whatever numbers they have, and so aligned; `turn` is that
+number in all results. The first place where the sides differ in role or text (or where one has ended) ends the prompt. The turns before it are rendered once, those from
 it on as two completions. Loss falls on the text and end mark of a completion's assistant turns; headers and all
 else are masked.
 
 preference_records() gives one record a pair: prompt, chosen, rejected, and for each completion the spans (in characters,
 end exclusive) that are trained. A record holds PIECE turns at most, and PIECE different rows of one turn, so that a
-conversation of any length is never gathered in one task: a longer one has several records, whose texts joined in order of
+conversation of any length is never gathered in one task: one of more than PIECE turns has several records, whose texts joined in order of
 turns_from and places_from are the whole. preference_rows() gives the same as one row a turn.
 
 Null pair or turn: the row is left out. Null role or text counts as empty. Exactly repeated rows are
@@ -29,11 +29,27 @@ PIECE = 256  # turns of one record at most
 SPANS = "array<struct<start:int,end:int>>"
 
 
+def _in_order(rows: DataFrame) -> DataFrame:
+    """rows with `turn` as the number of its turn in the order of its pair's side, from 0, and `place` among the rows of its turn.
+
+    Turns are ranked within blocks of PIECE turn numbers; a block's first number is the sum of the counts before it, so that
+    only one narrow row a block is ordered over a whole conversation.
+    """
+    rows = rows.withColumn("block", F.col("turn") - F.pmod("turn", F.lit(PIECE)))
+    turns = rows.select("pair_id", "side", "block", "turn").distinct().groupBy("pair_id", "side", "block").agg(F.count(F.lit(1)).alias("n"))
+    earlier = W.partitionBy("pair_id", "side").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    blocks = saved(turns.select("pair_id", "side", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")), "blocks")
+    block = W.partitionBy("pair_id", "side", "block")
+    ranked = rows.distinct().withColumn("rank", F.dense_rank().over(block.orderBy("turn")))
+    ranked = ranked.withColumn("place", F.row_number().over(W.partitionBy("pair_id", "side", "block", "turn").orderBy("role", "text")).cast("long"))
+    found = join_small(ranked, blocks, ["pair_id", "side", "block"], "inner", blocks.count(), 60)
+    return found.select("pair_id", "side", (F.col("before") + F.col("rank") - 1).alias("turn"), "place", "role", "text")
+
+
 def aligned(chosen: DataFrame, rejected: DataFrame, pair: str = "pair_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """pair_id, turn, place, c and r (role and text on either side, null where it has none), in_prompt."""
     side = lambda x, n: x.select(F.col(pair).alias("pair_id"), F.col(turn).cast("long").alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.lit(n).alias("side"))
-    rows = side(chosen, "c").unionByName(side(rejected, "r")).filter("pair_id is not null and turn is not null").distinct()
-    placed = rows.withColumn("place", F.row_number().over(W.partitionBy("pair_id", "turn", "side").orderBy("role", "text")).cast("long"))
+    placed = _in_order(side(chosen, "c").unionByName(side(rejected, "r")).filter("pair_id is not null and turn is not null"))
     said = lambda n: F.max(F.when(F.col("side") == n, F.struct("role", "text"))).alias(n)
     both = saved(placed.groupBy("pair_id", "turn", "place").agg(said("c"), said("r")), "turns")
     first = saved(both.filter(~F.col("c").eqNullSafe(F.col("r"))).groupBy("pair_id").agg(F.min(F.struct("turn", "place")).alias("first")), "first")
@@ -103,8 +119,8 @@ ORACLE = rf"""
 WITH t AS (SELECT conv_id AS pair_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
 l0 AS (SELECT pair_id, turn, text, row_number() OVER (PARTITION BY pair_id ORDER BY turn DESC, text DESC) AS k FROM t WHERE role = 'assistant'),
 l AS (SELECT a.pair_id, a.turn AS last, b.text AS other FROM l0 a JOIN l0 b ON b.pair_id = xor(a.pair_id, 1) AND b.k = 1 WHERE a.k = 1),
-c0 AS (SELECT DISTINCT * FROM t),
-r0 AS (SELECT DISTINCT * FROM (SELECT t.* FROM t JOIN l USING (pair_id) WHERE turn < last UNION ALL SELECT pair_id, last, 'assistant', other FROM l)),
+c0 AS (SELECT DISTINCT pair_id, dense_rank() OVER (PARTITION BY pair_id ORDER BY turn) - 1 AS turn, role, text FROM t),
+r0 AS (SELECT DISTINCT pair_id, dense_rank() OVER (PARTITION BY pair_id ORDER BY turn) - 1 AS turn, role, text FROM (SELECT t.* FROM t JOIN l USING (pair_id) WHERE turn < last UNION ALL SELECT pair_id, last, 'assistant', other FROM l)),
 c AS (SELECT *, row_number() OVER (PARTITION BY pair_id, turn ORDER BY role, text) AS place FROM c0),
 r AS (SELECT *, row_number() OVER (PARTITION BY pair_id, turn ORDER BY role, text) AS place FROM r0),
 b AS (SELECT pair_id, turn, place, c.role AS crole, c.text AS ctext, r.role AS rrole, r.text AS rtext FROM c FULL JOIN r USING (pair_id, turn, place)),

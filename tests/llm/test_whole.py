@@ -37,8 +37,8 @@ def test_chat_format_has_every_turn(spark):
             last[k] = max(((t, text) for t, role, text in x if role == "assistant"), default=None)
 
         def placed(x):
-            seen = Counter()
-            return {(t, seen.update([t]) or seen[t]): (role, text) for t, role, text in sorted(x)}
+            seen, number = Counter(), {t: k for k, t in enumerate(sorted({t for t, _, _ in x}))}
+            return {(number[t], seen.update([t]) or seen[t]): (role, text) for t, role, text in sorted(x)}
 
         for k, x in turns.items():
             mine, theirs = last[k], last.get(k ^ 1)
@@ -55,6 +55,21 @@ def test_chat_format_has_every_turn(spark):
         assert {r["pair_id"] for r in out} == set(turns)
 
 
+def test_preferences_by_order(spark):
+    """Any numbers of the turns, other ones on either side, give the records of turns numbered from 0."""
+    said = "pair_id long, turn long, role string, text string"
+    sides = [[("assistant" if k % 2 else "user", f"t{k}" if k < 300 else f"t{k}{x}") for k in range(n)] for x, n in (("c", 700), ("r", 520))]
+    numbers = [lambda k: k, lambda k: k + 250, lambda k: 3 * k - 800, lambda k: k * k * k * 10**10 - (1 << 63)]
+    rows = [[(p, number(k), *turn) for p, number in enumerate(numbers[x:] + numbers[:x]) for k, turn in enumerate(side)] for x, side in enumerate(sides)]
+    short = [(9, 250 + k, "user", f"s{k}") for k in range(10)]
+    rows = [rows[0] + short, rows[1] + [(9, k, *x[2:]) for k, x in enumerate(short[:9])] + [(9, 9, "assistant", "other")]]
+    found = [r.asDict() for r in chat_format.preference_records(*(spark.createDataFrame(x, said) for x in rows)).collect()]
+    got = {p: sorted(([v for k, v in r.items() if k != "pair_id"] for r in found if r["pair_id"] == p), key=lambda x: x[:2]) for p in (0, 1, 2, 3, 9)}
+    assert got[0] == got[1] == got[2] == got[3] and [x[:2] for x in got[0]] == [[0, 1], [256, 1], [512, 1]]
+    turn = lambda role, text: f"<|{role}|>\n{text}<|end|>\n"
+    assert [x[:5] for x in got[9]] == [[0, 1, "".join(turn("user", f"s{k}") for k in range(9)), turn("user", "s9"), turn("assistant", "other")]]
+
+
 def test_decontamination_equals_sql(spark):
     """test_registered_oracles, which stops at op8_chat_format, doesn't come to it."""
     same_as_sql(decontaminate.op9_benchmark_decontamination(spark, SF), decontaminate.ORACLE)
@@ -73,7 +88,7 @@ def test_preference_records_join_to_the_rows(spark):
         joined[x["pair_id"], x["part"]] += x["rendered"]
         trained[x["pair_id"], x["part"]] += x["rendered"][x["n_masked"] :]
     records = sorted(chat_format.preference_records(c, r).collect(), key=lambda x: (x["pair_id"], x["turns_from"], x["places_from"]))
-    assert [(x["pair_id"], x["turns_from"], x["places_from"]) for x in records] == [(1, 0, 1), (1, 256, 1), (1, 512, 1), (2, 0, 1), (3, 0, 1), (4, -256, 1), (4, 0, 1), (5, 0, 1), (6, 0, 1), (6, 0, 257), (7, 0, 1)]
+    assert [(x["pair_id"], x["turns_from"], x["places_from"]) for x in records] == [(1, 0, 1), (1, 256, 1), (1, 512, 1), (2, 0, 1), (3, 0, 1), (4, 0, 1), (5, 0, 1), (6, 0, 1), (6, 0, 257), (7, 0, 1)]
     got, told = defaultdict(str), defaultdict(str)
     for x in records:
         for part in ("prompt", "chosen", "rejected"):
