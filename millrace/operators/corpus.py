@@ -123,6 +123,26 @@ def listed_terms(items: DataFrame, id_col: str, text_col: str, terms: DataFrame)
     return held.join(terms.select("name", "value").distinct(), "value").select(id_col, "name", "value", "n")
 
 
+def listed_phrases(items: DataFrame, id_col: str, text_col: str, terms: DataFrame) -> DataFrame:
+    """id, name, value, place (of its first token, from 0), n_words: terms of one or several words (name, value) that a text holds.
+
+    Of terms that begin at one token the longest counts, and one that lies inside another that was found doesn't; terms that
+    only overlap both count, and so do equal terms of several names. A term meets the tokens that are its first word, each of which carries as many
+    following ones as the longest term has; both are compared as normalised tokens. Null texts and blank terms give nothing; ids are unique.
+    """
+    words = terms.select("name", T.tokens(F.col("value")).alias("words")).filter(F.size("words") > 0).distinct()
+    width = words.agg(F.coalesce(F.max(F.size("words")), F.lit(1))).first()[0]
+    held = items.select(F.col(id_col).alias("id"), T.tokens(F.col(text_col)).alias("t"))
+    near = held.select("id", F.explode(F.transform("t", lambda x, i: F.struct(i.alias("place"), F.slice("t", i + 1, F.lit(width)).alias("after")))).alias("p")).select("id", "p.*")
+    met = near.join(words.withColumn("first", F.get("words", F.lit(0))), F.get("after", F.lit(0)) == F.col("first")).filter(F.slice("after", F.lit(1), F.size("words")) == F.col("words"))
+    found = met.select("id", "name", F.array_join("words", " ").alias("value"), "place", F.size("words").alias("n_words"))
+    end = F.col("place") + F.col("n_words")
+    before = F.max(end).over(W.partitionBy("id").orderBy("place").rangeBetween(W.unboundedPreceding, -1))
+    here = F.max(end).over(W.partitionBy("id").orderBy("place").rangeBetween(0, 0))
+    kept = found.withColumns({"_before": before, "_here": here}).filter((end == F.col("_here")) & F.coalesce(F.col("_before") < end, F.lit(True)))
+    return kept.select(F.col("id").alias(id_col), "name", "value", "place", "n_words")
+
+
 def unsure(found: DataFrame, least: float = 0.8) -> DataFrame:
     """Fields that a person or a better model must see: confidence below the least, or unknown."""
     return found.filter(F.coalesce(F.col("confidence"), F.lit(0.0)) < least)

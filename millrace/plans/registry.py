@@ -13,13 +13,17 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
+from millrace.operators import cleaning as K
 from millrace.operators import corpus as C
 from millrace.operators import evalstats as E
+from millrace.operators import extras as Y
 from millrace.operators import fulltext as X
 from millrace.operators import records as R
 from millrace.operators import vectors as V
-from millrace.shared import once
-from millrace.sources.results import events_of_lines
+from millrace.shared import new_path, once
+from millrace.sources.results import events_of_lines, lines_of_chunks
+from millrace.sources.store import Store
+from millrace.sources.store import item_view as stored_view
 from millrace.streaming.events import first_decisions
 
 QUERIES: dict = {}
@@ -465,3 +469,91 @@ def event_decisions(spark, d):
     line = F.replace(F.element_at(F.create_map(*[F.lit(x) for kv in LINES.items() for x in kv]), kind), F.lit("%d"), n.cast("string"))
     lines = table(spark, d, "events").select(F.concat_ws("-", "user_id", F.dayofmonth("ts")).alias("key"), F.col("event_id").alias("seq"), line.alias("value"))
     return first_decisions(events_of_lines(lines), "k1")
+
+
+@query("""WITH e AS (SELECT user_id || '-' || extract(day FROM ts) AS key, event_id, event_type, count(*) FILTER (event_type = 'view') OVER (PARTITION BY user_id, extract(day FROM ts) ORDER BY event_id) AS block FROM events),
+j AS (SELECT key, event_id, CASE WHEN event_type = 'click' AND block > 0 AND event_id % 3 = 1 THEN true WHEN event_type = 'signup' THEN event_id % 2 = 1 WHEN event_type = 'purchase' THEN false END AS v FROM e)
+SELECT key, coalesce(arg_min(v, event_id) FILTER (v IS NOT NULL), false) AS triggered FROM j GROUP BY 1""")
+def chunked_decisions(spark, d):
+    """event_decisions on byte chunks: a key's lines one after another, cut at 16 places that fall within lines."""
+    kind, n = F.col("event_type"), F.when(F.col("event_type") == "click", F.col("event_id") % 3).otherwise(F.col("event_id") % 2)
+    line = F.replace(F.element_at(F.create_map(*[F.lit(x) for kv in LINES.items() for x in kv]), kind), F.lit("%d"), n.cast("string"))
+    lines = table(spark, d, "events").select(F.concat_ws("-", "user_id", F.dayofmonth("ts")).alias("key"), F.struct("event_id", line.alias("line")).alias("x"))
+    whole = lines.groupBy("key").agg(F.encode(F.concat(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["line"]), "\n"), F.lit("\n")), "UTF-8").alias("b"))
+    width = F.ceil(F.octet_length("b") / 16).cast("int")
+    chunks = whole.select("key", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("chunk"), "b").select("key", "chunk", F.substring("b", F.col("chunk") * width + 1, width).alias("bytes"))
+    return first_decisions(events_of_lines(lines_of_chunks(chunks)), "k1")
+
+
+@query("""WITH f AS (SELECT doc_id, string_agg(n || '=' || v, ',' ORDER BY n) AS fields FROM (SELECT doc_id, 'quality' AS n, quality AS v FROM labels UNION ALL SELECT doc_id, 'toxic', toxic FROM labels) WHERE v IS NOT NULL GROUP BY 1)
+SELECT doc_id AS id, coalesce(source, 'unknown') AS source_handle, md5(coalesce(text, '')) AS raw_md5, coalesce(fields, '') AS fields FROM documents LEFT JOIN f USING (doc_id)""")
+def stored_items(spark, d):
+    """Documents as items and labels as their fields, committed together to a store and read from it."""
+    docs, handle = table(spark, d, "documents"), F.coalesce("source", F.lit("unknown"))
+    said, source_id = table(spark, d, "labels").join(docs.select("doc_id"), "doc_id", "left_semi"), F.xxhash64("source_handle")
+    when, none = F.lit("2026-01-01 00:00:00").cast("timestamp"), lambda t: F.lit(None).cast(t)
+    raw = F.coalesce("text", F.lit(""))
+    field = lambda k, n: said.filter(F.col(n).isNotNull()).select((F.col("doc_id") * 2 + k).alias("id"), F.col("doc_id").alias("research_item_id"), F.lit(n).alias("name"), F.col(n).cast("string").alias("value"), F.lit("human").alias("origin"), none("string").alias("model"), none("string").alias("prompt_version"), F.lit(1.0).alias("confidence"))
+    store = Store(spark, new_path(spark, "store"))
+    store.commit(
+        "all",
+        {
+            "source": docs.select(handle.alias("source_handle")).distinct().select(source_id.alias("id"), F.lit("feed").alias("type"), F.col("source_handle").alias("handle"), none("string").alias("platform_id"), when.alias("first_tracked_at")),
+            "research_item": docs.withColumn("source_handle", handle).select(F.col("doc_id").alias("id"), source_id.alias("source_id"), F.concat(F.lit("doc/"), "doc_id").alias("original_url"), when.alias("ingested_at"), raw.alias("raw_text"), none("string").alias("cleaned_text"), F.sha2(F.concat(T.normalized(raw), "source_handle"), 256).alias("content_hash"), none("long").alias("simhash"), none("map<string,string>").alias("extras")),
+            "structured_field": field(0, "quality").unionByName(field(1, "toxic")),
+        },
+    )
+    seen = stored_view(*map(store.read, ("research_item", "source", "media_asset", "structured_field", "note")))
+    listed = F.array_join(F.array_sort(F.transform("fields", lambda f: F.concat(f["name"], F.lit("="), f["value"]))), ",")
+    return seen.select("id", "source_handle", F.md5("raw_text").alias("raw_md5"), listed.alias("fields"))
+
+
+@query(f"""WITH b AS (SELECT string_split({NORM.format(c='text')}, ' ') AS w FROM benchmark), p AS (SELECT DISTINCT name, w[1:k] AS w FROM b, (VALUES ('pair', 2), ('opening', 5)) v(name, k) WHERE len(w) >= k UNION SELECT 'geo', string_split(lower(n_name), ' ') FROM nation),
+t AS (SELECT doc_id, string_split({NORM.format(c='text')}, ' ') AS w FROM documents), x AS (SELECT doc_id, w, generate_subscripts(w, 1) AS i FROM t), y AS (SELECT doc_id, w[i:i + 4] AS a, i - 1 AS i FROM x),
+m AS (SELECT doc_id, name, array_to_string(p.w, ' ') AS value, i AS place, len(p.w) AS n_words FROM y JOIN p ON y.a[1] = p.w[1] AND y.a[1:len(p.w)] = p.w)
+SELECT * FROM m WHERE NOT EXISTS (SELECT 1 FROM m o WHERE o.doc_id = m.doc_id AND o.place <= m.place AND o.place + o.n_words >= m.place + m.n_words AND o.n_words > m.n_words)""")
+def listed_phrases(spark, d):
+    """Countries, and the first two and five words of each benchmark item, in the documents; the longest counts."""
+    words = T.tokens(F.col("text"))
+    start = lambda name, k: table(spark, d, "benchmark").filter(F.size(words) >= k).select(F.lit(name).alias("name"), F.array_join(F.slice(words, 1, k), " ").alias("value"))
+    terms = start("pair", 2).unionByName(start("opening", 5)).unionByName(table(spark, d, "nation").select(F.lit("geo").alias("name"), F.col("n_name").alias("value")))
+    return C.listed_phrases(table(spark, d, "documents"), "doc_id", "text", terms)
+
+
+FOOTERS = """l AS (SELECT DISTINCT doc_id, source, trim(unnest(string_split(text, chr(10)))) AS line FROM documents), f AS (SELECT source, line, count(*) AS n_docs FROM l WHERE line <> '' GROUP BY 1, 2
+HAVING count(*) >= 3 AND count(*) >= 0.1 * (SELECT count(*) FROM documents d WHERE d.source = l.source))"""
+
+
+@query(f"WITH {FOOTERS} SELECT source, line, n_docs FROM f")
+def source_footers(spark, d):
+    return K.footers(table(spark, d, "documents"), "doc_id", "source", "text")
+
+
+@query(f"""WITH {FOOTERS}, x AS (SELECT doc_id, source, line, i FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)),
+k AS (SELECT doc_id, string_agg(x.line, chr(10) ORDER BY i) FILTER (f.line IS NULL) AS kept, count(f.line) AS n_removed FROM x LEFT JOIN f ON x.source = f.source AND trim(x.line) = f.line GROUP BY 1)
+SELECT doc_id, md5(CASE WHEN text IS NULL THEN NULL ELSE coalesce(kept, '') END) AS cleaned_md5, coalesce(n_removed, 0) AS n_removed FROM documents LEFT JOIN k USING (doc_id)""")
+def without_footers(spark, d):
+    docs = table(spark, d, "documents")
+    out = K.without_lines(docs, K.footers(docs, "doc_id", "source", "text"), "doc_id", "source", "text")
+    return out.select("doc_id", F.md5("cleaned_text").alias("cleaned_md5"), F.size("removed_lines").cast("long").alias("n_removed"))
+
+
+@query(f"SELECT doc_id, md5({CLEAN.format(c='nfc_normalize(text)')}) AS cleaned_md5, md5(text) AS rebuilt_md5 FROM documents")
+def clean_spans(spark, d):
+    """All rules with the places of what they took; the raw text is made again from the cleaned one and those. The SQL has no rule for urls and pictographs: the texts hold none."""
+    done = table(spark, d, "documents").select("doc_id", K.cleaned(F.col("text")).alias("c"))
+    return done.select("doc_id", F.md5("c.cleaned").alias("cleaned_md5"), F.md5(K.rebuilt(F.col("c.cleaned"), F.col("c.spans"))).alias("rebuilt_md5"))
+
+
+#: A JSON document of each kind of event, with other types under the same names; the last is cut off.
+EXTRAS = {"view": '{"v":%d,"tag":"a"}', "click": '{"v":"x%d","tag":null}', "signup": '{"v":[1,%d],"tag":{"k":true}}', "purchase": '{"v":true}', "error": '{"v":%d'}
+
+
+@query("""SELECT event_id, name, kind, value FROM (SELECT event_id, event_type AS t, unnest(['v', 'tag']) AS name, event_id::VARCHAR AS e FROM events), LATERAL (SELECT CASE t WHEN 'view' THEN CASE name WHEN 'v' THEN 'BIGINT' ELSE 'STRING' END WHEN 'click' THEN CASE name WHEN 'v' THEN 'STRING' ELSE 'VOID' END WHEN 'signup' THEN CASE name WHEN 'v' THEN 'ARRAY' ELSE 'OBJECT' END WHEN 'purchase' THEN CASE name WHEN 'v' THEN 'BOOLEAN' END END AS kind,
+CASE t WHEN 'view' THEN CASE name WHEN 'v' THEN e ELSE 'a' END WHEN 'click' THEN CASE name WHEN 'v' THEN 'x' || e END WHEN 'signup' THEN CASE name WHEN 'v' THEN '[1,' || e || ']' ELSE '{"k":true}' END WHEN 'purchase' THEN 'true' END AS value) WHERE kind IS NOT NULL
+UNION ALL SELECT event_id, NULL, 'bad', '{"v":' || event_id FROM events WHERE event_type = 'error'""")
+def extra_fields(spark, d):
+    """The fields of JSON documents of mixed types, one row each, and the documents that can't be read."""
+    said = F.replace(F.element_at(F.create_map(*[F.lit(x) for kv in EXTRAS.items() for x in kv]), F.col("event_type")), F.lit("%d"), F.col("event_id").cast("string"))
+    good, bad = Y.parsed(table(spark, d, "events").select("event_id", said.alias("extras")), "extras")
+    return Y.entries(good, "event_id", "extras").unionByName(bad.select("event_id", F.lit(None).cast("string").alias("name"), F.lit("bad").alias("kind"), F.col("extras").alias("value")))
