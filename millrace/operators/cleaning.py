@@ -129,26 +129,25 @@ def rebuilt(cleaned: Column, spans: Column) -> Column:
     return F.aggregate(spans, zero, add, lambda s: F.concat(F.array_join(s["parts"], ""), F.substr(cleaned, s["at"], F.char_length(cleaned) + 1)))
 
 
-def _line_keys(items: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
-    """id, source, line, h: a text's different lines, white space at both ends and blank lines aside."""
+def _held_lines(items: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
+    """id, source, line: a text's different lines, white space at both ends and blank lines aside."""
     held = F.array_distinct(F.filter(F.transform(F.split(text_col, "\n"), lambda x: F.trim(x)), lambda x: x != ""))
-    return items.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.explode(held).alias("line")).withColumn("h", F.sha2("line", 256))
+    return items.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.explode(held).alias("line"))
+
+
+def _digest(line: Column) -> Column:
+    return F.unhex(F.sha2(line, 256))
 
 
 def footers(items: DataFrame, id_col: str, source_col: str, text_col: str, least_docs: int = 3, least_share: float = 0.1) -> DataFrame:
     """source, line, n_docs: lines that at least least_docs texts of a source have, and that share of its texts: proposed rules.
 
-    Counted over all texts and exactly: counts are made before rows are shuffled, so a line of a hot source arrives once a task, and
-    digests are shuffled first, lines only for those that are counted as footers. A null source is a source; null texts count as texts.
+    Counted over all texts and exactly, in one shuffle: counts are made before rows are shuffled, so a line of a hot source arrives
+    once a task, and no line more than once a task. A null source is a source; null texts count as texts.
     """
-    sizes = items.groupBy(F.col(source_col).alias("source")).agg(F.count(F.lit(1)).alias("n_texts"))
-    keyed = _line_keys(items, id_col, source_col, text_col)
-    counted = keyed.groupBy("source", "h").agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") >= least_docs)
-    near = lambda a, b: a["source"].eqNullSafe(b["source"])
-    often = counted.join(sizes, near(counted, sizes)).filter(F.col("n_docs") >= F.col("n_texts") * least_share).select(counted["source"], "h", "n_docs")
-    o = often.select(F.col("source").alias("s"), F.col("h").alias("o_h"), "n_docs")
-    met = keyed.join(o, F.col("source").eqNullSafe(F.col("s")) & (F.col("h") == F.col("o_h")))
-    return met.groupBy("source", "h").agg(F.min("line").alias("line"), F.min("n_docs").alias("n_docs")).select("source", "line", "n_docs")
+    sizes = items.groupBy(F.col(source_col).alias("s")).agg(F.count(F.lit(1)).alias("n_texts"))
+    counted = _held_lines(items, id_col, source_col, text_col).groupBy("source", "line").agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") >= least_docs)
+    return counted.join(sizes, F.col("source").eqNullSafe(F.col("s"))).filter(F.col("n_docs") >= F.col("n_texts") * least_share).select("source", "line", "n_docs")
 
 
 def without_lines(items: DataFrame, rules: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
@@ -157,11 +156,11 @@ def without_lines(items: DataFrame, rules: DataFrame, id_col: str, source_col: s
     Rules are joined by the line's digest, so there may be any number of them; a text meets only its own. ids are unique. Lines are
     compared without white space at their ends. A text without such lines, and a null one, is as it was.
     """
-    r = rules.select(F.col("source").alias("r_source"), F.sha2(F.trim("line"), 256).alias("h")).distinct()
-    keyed = _line_keys(items, id_col, source_col, text_col)
-    hit = keyed.join(r, "h").filter("r_source is null or r_source = source").groupBy("id").agg(F.collect_set("line").alias("_bad"))
+    r = rules.select(F.col("source").alias("r_source"), _digest(F.trim("line")).alias("h")).distinct()
+    keyed = _held_lines(items, id_col, source_col, text_col).select("id", "source", _digest(F.col("line")).alias("h"))
+    hit = keyed.join(r, "h").filter("r_source is null or r_source = source").groupBy("id").agg(F.collect_set("h").alias("_bad"))
     split = F.split(text_col, "\n")
-    bad = lambda x: F.array_contains("_bad", F.trim(x))
+    bad = lambda x: F.array_contains("_bad", _digest(F.trim(x)))
     out = items.join(hit, F.col(id_col) == F.col("id"), "left").drop("id") if id_col != "id" else items.join(hit, "id", "left")
     return out.withColumns(
         {
