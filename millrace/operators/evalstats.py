@@ -11,10 +11,20 @@ from pyspark.sql import functions as F
 from millrace.shared import written
 
 
+def rounded(c: Column, places: int) -> Column:
+    """A double rounded as SQL does: shifted by the places first, then to the nearest whole number, halves away from zero.
+
+    F.round() reads a double's shortest decimals instead, so that a mean of 63.949999999999996, which is 63.95 but for
+    the last digit of its sum, would go down to 63.9. What is too large to be shifted has no places.
+    """
+    shifted = c * F.lit(10.0**places)
+    return F.when(F.abs(shifted) == float("inf"), c).otherwise(F.round(shifted) / F.lit(10.0**places))
+
+
 def stats(c: str, prefix: str | None = None, places: int = 4) -> list[Column]:
     """mean, sample deviation (0 for one value), least and greatest, rounded; 0 where there are no values."""
     p = prefix or c
-    kept = lambda x: F.round(F.coalesce(x, F.lit(0.0)), places)
+    kept = lambda x: rounded(F.coalesce(x, F.lit(0.0)), places)
     return [kept(F.avg(c)).alias(f"{p}_mean"), kept(F.stddev_samp(c)).alias(f"{p}_stddev"), kept(F.min(c)).alias(f"{p}_min"), kept(F.max(c)).alias(f"{p}_max")]
 
 
@@ -30,7 +40,7 @@ def ranked_configurations(runs: DataFrame, order: str, by: str = "configuration"
 
 def delta(runs: DataFrame, metric: str, order: str, by: str = "configuration", baseline: str | None = None) -> DataFrame:
     """Rounded mean of the first configuration less that of the second (0 if there is none; or of the named baseline)."""
-    means = runs.groupBy(by).agg(F.round(F.avg(metric), 4).alias("mean")).join(ranked_configurations(runs, order, by), by)
+    means = runs.groupBy(by).agg(rounded(F.avg(metric), 4).alias("mean")).join(ranked_configurations(runs, order, by), by)
     second = F.col(by) == baseline if baseline else F.col("rank") == 2
     first = (F.col("rank") == 1) if not baseline else (F.col("rank") == 1) & (F.col(by) != baseline)
     return means.agg(F.round(F.max(F.when(first, F.col("mean"))) - F.coalesce(F.max(F.when(second, F.col("mean"))), F.lit(0.0)), 4).alias("delta"))

@@ -30,7 +30,7 @@ def nested_runs(runs: DataFrame) -> DataFrame:
 
 def deltas(runs: DataFrame, metrics: Sequence[str] = METRICS, order: str = "eval_id") -> DataFrame:
     """One row: for each metric the rounded mean of the first configuration less that of the second."""
-    means = runs.groupBy("configuration").agg(*[F.round(F.coalesce(F.avg(m), F.lit(0.0)), 4).alias(m) for m in metrics], F.min(F.struct(order, "configuration")).alias("_first"))
+    means = runs.groupBy("configuration").agg(*[E.rounded(F.coalesce(F.avg(m), F.lit(0.0)), 4).alias(m) for m in metrics], F.min(F.struct(order, "configuration")).alias("_first"))
     two = means.orderBy("_first").limit(2).agg(F.array_sort(F.collect_list(F.struct("_first", *metrics))).alias("t"))
     at = lambda k, m: F.coalesce(F.get("t", F.lit(k))[m], F.lit(0.0))
     return two.select(*[F.round(at(0, m) - at(1, m), 4).alias(f"delta_{m}") for m in metrics])
@@ -113,7 +113,7 @@ def paired(runs: DataFrame, metric: str) -> DataFrame:
     rank = E.ranked_configurations(runs, "eval_id").filter("rank <= 2")
     x = runs.join(F.broadcast(rank), "configuration").groupBy("eval_id")  # two rows
     x = x.agg(*[F.avg(F.when(F.col("rank") == k, F.col(metric))).alias(n) for k, n in ((1, "a"), (2, "b"))])
-    return x.select("eval_id", F.round("a", 4).alias("first"), F.round("b", 4).alias("second"), F.round(F.col("a") - F.col("b"), 4).alias("change"))
+    return x.select("eval_id", E.rounded(F.col("a"), 4).alias("first"), E.rounded(F.col("b"), 4).alias("second"), E.rounded(F.col("a") - F.col("b"), 4).alias("change"))
 
 
 def blind_pairs(outputs: DataFrame, seed: int = 42) -> DataFrame:
@@ -129,7 +129,7 @@ def score_text(passed: Column, total: Column) -> Column:
 
 def hardness(runs: DataFrame, metric: str) -> DataFrame:
     """eval_id, mean, stddev, kind: hard (below a half), easy (0.8 and more) or between, of a metric from 0 to 1."""
-    x = runs.groupBy("eval_id").agg(F.round(F.avg(metric), 4).alias("mean"), F.round(F.coalesce(F.stddev_samp(metric), F.lit(0.0)), 4).alias("stddev"))
+    x = runs.groupBy("eval_id").agg(E.rounded(F.avg(metric), 4).alias("mean"), E.rounded(F.coalesce(F.stddev_samp(metric), F.lit(0.0)), 4).alias("stddev"))
     return x.withColumn("kind", F.when(F.col("mean") < 0.5, "hard").when(F.col("mean") >= 0.8, "easy").otherwise("between"))
 
 

@@ -1,5 +1,6 @@
 """Front matter, metadata and assertion classes, case by case."""
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,3 +53,15 @@ def test_queries_equal_sql(spark, name):
     same_as_sql(registry.QUERIES[name](spark, d), registry.ORACLES[name], d)
     if name == "metadata_validation":
         assert registry.QUERIES[name](spark, d).select("problem").distinct().count() >= 4
+
+
+def test_a_mean_is_rounded_as_sql_rounds_it(spark):
+    cases = [63.949999999999996, -63.949999999999996, 63.94999999999998, 0.25, 0.45, -0.05, 1e308, 0.0]
+    got = spark.createDataFrame([(x,) for x in cases], "x double").select(evalstats.rounded(F.col("x"), 1).alias("r")).collect()
+    want = [duckdb.execute("SELECT round(?::DOUBLE, 1)", [x]).fetchone()[0] for x in cases]
+    assert [r["r"] for r in got] == want and want[:3] == [64.0, -64.0, 63.9]
+
+
+def test_eval_variance_equals_sql(spark):
+    d = SF.replace("0.001", "0.1")
+    same_as_sql(registry.QUERIES["eval_variance"](spark, d), registry.ORACLES["eval_variance"], d)
