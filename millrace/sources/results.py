@@ -188,23 +188,23 @@ def events_of_lines(lines: DataFrame) -> DataFrame:
 def lines_of_chunks(chunks: DataFrame, block: int = 1024) -> DataFrame:
     """key, seq, value: the lines of byte streams that were cut anywhere. chunks: key, chunk (its number from 0, without gaps), bytes.
 
-    A line's number is that of the line ends before it, which are summed in blocks of chunks, so that the windows hold numbers only, and one
-    row a block for the whole key. Whole lines stay where they are; only what lies at a chunk's borders is put together by number. What
-    follows the last line end isn't a line yet. Blank lines are left out but keep their number, bytes that aren't UTF-8 are replaced, white space at the ends goes.
+    A line's number is that of the line ends before it. Chunks go in blocks of `block` following ones: a line's pieces are put together
+    within their block, and what is shuffled from there on are lines, by block and by number, not chunks. The line ends before a block are summed
+    over one row a block, the only window over a whole key. What follows the last line end isn't a line yet. Blank lines are
+    left out but keep their number, bytes that aren't UTF-8 are replaced, white space at the ends goes.
     Null bytes count as none; a key with several rows of one chunk number has no defined result.
     """
     # ISO-8859-1 has one character a byte, so that a character that was cut in two is whole again when its line is
     text = F.coalesce(F.decode("bytes", "ISO-8859-1"), F.lit(""))
-    cut = chunks.select("key", "chunk", F.split(text, "\n", -1).alias("parts"))
-    sizes = cut.select("key", "chunk", F.floor(F.col("chunk") / block).alias("block"), (F.size("parts") - 1).cast("long").alias("n"))
-    in_block = F.sum("n").over(W.partitionBy("key", "block").orderBy("chunk")) - F.col("n")
-    blocks = sizes.groupBy("key", "block").agg(F.sum("n").alias("b")).withColumn("base", F.sum("b").over(W.partitionBy("key").orderBy("block")) - F.col("b"))
-    total = F.sum("b").over(W.partitionBy("key"))
-    first = sizes.withColumn("within", in_block).join(blocks.withColumn("total", total).drop("b"), ["key", "block"]).select("key", "chunk", (F.col("base") + F.col("within")).alias("first"), "total")
-    placed = cut.join(first, ["key", "chunk"])
-    piece = F.struct((F.col("first") + F.col("i")).alias("seq"), F.col("part"), ((F.col("i") == 0) | (F.col("i") == F.size("parts") - 1)).alias("open"))
-    pieces = placed.select("key", "chunk", "total", "parts", "first", F.posexplode("parts").alias("i", "part")).select("key", "chunk", "total", piece.alias("p")).select("key", "chunk", "total", "p.*").filter("seq < total")
-    sewn = pieces.filter("open and part <> ''").groupBy("key", "seq").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "part"))), lambda x: x["part"]), "").alias("part"))
-    whole = pieces.filter("not open").select("key", "seq", "part").unionByName(sewn)
+    cut = chunks.select("key", F.floor(F.col("chunk") / block).alias("block"), "chunk", F.split(text, "\n", -1).alias("parts"))
+    n = (F.size("parts") - 1).cast("long")
+    before = F.sum(n).over(W.partitionBy("key", "block").orderBy("chunk")) - n
+    pieces = cut.withColumn("first", before).select("key", "block", "chunk", "first", F.posexplode("parts").alias("i", "part"))
+    sewn = lambda by: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(by, "part"))), lambda x: x["part"]), "").alias("part")
+    lines = pieces.groupBy("key", "block", (F.col("first") + F.col("i")).alias("line")).agg(sewn("chunk"))
+    of_key = W.partitionBy("key")
+    blocks = cut.groupBy("key", "block").agg(F.sum(n).alias("n")).withColumns({"base": F.sum("n").over(of_key.orderBy("block")) - F.col("n"), "total": F.sum("n").over(of_key)})
+    placed = lines.join(blocks.hint("merge").drop("n"), ["key", "block"]).withColumn("seq", F.col("base") + F.col("line")).filter("seq < total")
+    whole = placed.groupBy("key", "seq").agg(sewn("block"))
     value = F.regexp_replace(F.make_valid_utf8(F.encode("part", "ISO-8859-1").cast("string")), r"^\s+|\s+$", "")
     return whole.select("key", "seq", value.alias("value")).filter("value <> ''")
