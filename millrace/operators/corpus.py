@@ -6,7 +6,10 @@ import unicodedata
 from collections.abc import Callable, Iterator
 from itertools import combinations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -16,6 +19,8 @@ from millrace.functions import text as T
 
 CleaningStep = Callable[[DataFrame], DataFrame]
 N_BITS, KEPT = 60, 3
+#: Exact search: rows and queries of one group at most or so, places of a cosine, and what stands for one that is undefined.
+PART_ROWS, BLOCK_QUERIES, PLACES, UNDEFINED = 10_000, 8192, 4, 40_000
 
 
 @F.pandas_udf(StringType())
@@ -100,18 +105,68 @@ def links(pages: DataFrame, id_col: str, html: str) -> DataFrame:
     return pages.select(id_col, F.posexplode(F.regexp_extract_all(html, F.lit('href="([^"]*)"'), F.lit(1))).alias("position", "link"))
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, id_col: str, vec: str, k: int, max_bytes: int = 64 << 20) -> DataFrame:
-    """For each query vector the k most similar others by cosine. Queries go in blocks of a checked size to all rows."""
-    n, width = queries.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size(vec)), F.lit(1))).first()
-    n_blocks = max(1, -(-n * width * 8 // max_bytes))
-    out = None
-    for block in range(n_blocks):
-        part = queries.filter(F.pmod(F.xxhash64(id_col), F.lit(n_blocks)) == block) if n_blocks > 1 else queries
-        q = part.select(F.col(id_col).alias("query_id"), F.col(vec).alias("_q"))
-        met = vectors.join(F.broadcast(q), F.col(id_col) != F.col("query_id")).select("query_id", id_col, F.round(T.cosine(F.col(vec), F.col("_q")), 4).alias("cosine"))
-        out = met if out is None else out.unionByName(met)
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("cosine"), id_col))
-    return out.withColumn("rank", rank).filter(F.col("rank") <= k)
+def _vectors(col: pa.Array, d: int) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of d numbers with their lengths; which rows have one."""
+    fit = np.flatnonzero(np.asarray(pc.fill_null(pc.list_value_length(col), -1)) == d)
+    flat = col.take(pa.array(fit)).flatten()
+    ok = np.asarray(flat.is_valid()).reshape(-1, d).all(axis=1)
+    return flat.to_numpy(zero_copy_only=False).astype(float).reshape(-1, d)[ok], fit[ok]
+
+
+def _ranked(x: pa.Array, q: pa.Array, own: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Of each query and row a whole number that sorts as their cosine does, rounded to PLACES: 0 where there is none, UNDEFINED for NaN, -1 for a row with the query's id."""
+    out = np.zeros((len(q), len(x)), np.int64)
+    sizes = lambda c: {n for n in pc.unique(pc.list_value_length(c)).to_pylist() if n}
+    for d in sizes(x) & sizes(q):
+        (a, at), (b, to) = _vectors(q, d), _vectors(x, d)
+        with np.errstate(all="ignore"):
+            length = np.sqrt((a * a).sum(axis=1))[:, None] * np.sqrt((b * b).sum(axis=1))
+            cosine = a @ b.T / length
+            rank = np.where(np.isnan(cosine), UNDEFINED, np.sign(cosine) * np.floor(np.abs(cosine) * 10**PLACES + 0.5) + 10**PLACES + 1)
+        rank[length == 0] = 0
+        out[np.ix_(at, to)] = rank.astype(np.int64)
+    out[asked[:, None] == own] = -1
+    return out
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, id_col: str, vec: str, k: int) -> DataFrame:
+    """For each query vector the k most similar others by cosine, rounded to four places, then id: all are compared, by products of matrices.
+
+    Rows are dealt to parts and queries to blocks by a hash of the id; a part meets a block in one group of bounded size, which
+    keeps k rows of each query. Null vectors, those of length 0, with a null number or of another length than the query's
+    have no cosine and come last; rows without an id aren't compared.
+    """
+    rows, asked = (x.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias(n), F.col(vec).alias(v)) for x, n, v in ((vectors, "id", "vec"), (queries, "query_id", "query_vec")))
+    n_parts, n_blocks = max(1, -(-rows.count() // PART_ROWS)), max(1, -(-asked.count() // BLOCK_QUERIES))
+    dealt = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    held = rows.select("id", "vec", dealt("id", n_parts).alias("part"), each(n_blocks).alias("block"))
+    asked = asked.select("query_id", "query_vec", dealt("query_id", n_blocks).alias("block"), each(n_parts).alias("part"))
+
+    keys, n_tasks = ["part", "block"], min(n_parts * n_blocks, 4096)  # a group is much work for its bytes: groups aren't put together by these
+    held, asked = (x.repartition(n_tasks, *keys) for x in (held, asked))
+
+    def meet(rows: pa.Table, asked: pa.Table) -> pa.Table:
+        rows = rows.sort_by("id").combine_chunks()  # a place in the part sorts as the id does
+        own, ids, low = rows.column("id").to_numpy(), asked.column("query_id").to_numpy(), (1 << 32) - 1
+        found: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(3)]
+        x, q = (c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in (rows.column("vec"), asked.column("query_vec")))
+        for at in range(0, len(ids), 1024):
+            some, best = q.slice(at, 1024), np.full((len(ids[at : at + 1024]), k), -1, np.int64)
+            for to in range(0, len(own), 2048):
+                rank = _ranked(x.slice(to, 2048), some, own[to : to + 2048], ids[at : at + 1024])
+                key = np.where(rank < 0, -1, rank << 32 | low - np.arange(to, to + rank.shape[1]))
+                best = -np.partition(-np.concatenate([best, key], axis=1), k - 1, axis=1)[:, :k]
+            i, j = np.nonzero(best >= 0)
+            for out, got in zip(found, (ids[at : at + 1024][i], own[low - (best[i, j] & low)], best[i, j] >> 32), strict=True):
+                out.append(got)
+        a, b, rank = (np.concatenate(x) for x in found)
+        cosine = np.where(rank == UNDEFINED, np.nan, (rank - 10**PLACES - 1) / 10**PLACES)
+        return pa.table([pa.array(a), pa.array(b), pa.array(cosine, mask=rank == 0)], ["query_id", "id", "cosine"])
+
+    met = held.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(meet, "query_id long, id long, cosine double")
+    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("cosine"), "id"))
+    return met.withColumn("rank", rank).filter(F.col("rank") <= k).withColumnRenamed("id", id_col)
 
 
 def listed_terms(items: DataFrame, id_col: str, text_col: str, terms: DataFrame) -> DataFrame:

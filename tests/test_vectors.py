@@ -1,9 +1,13 @@
 """The index of vectors, held against all pairs."""
 
+import random
+
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from millrace.functions import text
 from millrace.operators import corpus, vectors
 from millrace.plans import registry
 from millrace.shared import new_path
@@ -93,3 +97,22 @@ def test_empty_and_odd_tables(spark):
 
 def test_semantic_dups_equal_sql(spark):
     same_as_sql(registry.QUERIES["semantic_dups"](spark, MID), registry.ORACLES["semantic_dups"], MID)
+
+
+def test_exact_search_makes_no_row_of_each_pair(spark, monkeypatch):
+    """Odd vectors, repeated ones and small parts and blocks give what joining all pairs gives."""
+    monkeypatch.setattr(corpus, "PART_ROWS", 40)
+    monkeypatch.setattr(corpus, "BLOCK_QUERIES", 7)
+    rng = random.Random(3)
+    rows = [(k, [rng.gauss(0, 1) for _ in range(4)]) for k in range(150)] + [(200 + k, [1.0, 2.0, 3.0, 4.0]) for k in range(60)]
+    rows += [(300, None), (301, []), (302, [0.0] * 4), (303, [1.0, None, 2.0, 3.0]), (304, [1.0, 2.0]), (305, [2.0, 1.0]), (306, [float("nan"), 1.0, 1.0, 1.0]), (None, [1.0] * 4), (307, [-1.0, -2.0, -3.0, -4.0])]
+    table = spark.createDataFrame(rows, "i long, v array<double>")
+    asked = table.filter("i % 10 = 0 or i >= 300 or i is null")
+    found = corpus.nearest(table, asked, "i", "v", 5)
+    assert "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
+    q = asked.select(F.col("i").alias("query_id"), F.col("v").alias("q"))
+    pairs = table.join(q, F.col("i") != F.col("query_id")).select("query_id", "i", F.round(text.cosine(F.col("v"), F.col("q")), 4).alias("cosine"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("cosine"), "i"))
+    plain = lambda df: sorted(repr(tuple(r)) for r in df.select("query_id", "i", "cosine", "rank").collect())
+    assert plain(found) == plain(pairs.withColumn("rank", rank).filter("rank <= 5"))
+    assert corpus.nearest(table.limit(0), asked, "i", "v", 5).count() == 0
