@@ -18,19 +18,19 @@ items may be appended to an index.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
 
-#: Items and postings of a block at most (a text's own terms may go beyond the latter), and the least number of folders.
-PER_BLOCK, BLOCK_POSTINGS, BUCKETS = 4096, 2_000_000, 64
+#: Items and words of a block at most (a text's own words may go beyond the latter), and the least number of folders.
+PER_BLOCK, BLOCK_POSTINGS, BUCKETS = 4096, 4_000_000, 64
 #: Blocks that are scored before a bound is known.
 FIRST = 16
 BUCKET = "pmod(xxhash64(term), {n})"
@@ -40,52 +40,45 @@ KINDS = {"term": pa.string(), "block": pa.int64(), "n": pa.int32(), "occurrences
 SCHEMA = "term string, block long, n int, occurrences long, greatest int, gaps binary, tfs binary"
 
 
-def _packed(x: list[int]) -> bytes:
-    """Integers in the least width that holds them all; the number of them tells the width again."""
-    most = max(x)
-    return np.array(x, "<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4").tobytes()
-
-
 def _unpacked(raw: bytes, n: int) -> np.ndarray:
     return np.frombuffer(raw, f"<u{len(raw) // n}").astype(np.int64)
 
 
-class _Block:
-    """Postings of some items, by term: place, frequency, place, frequency ..."""
-
-    def __init__(self):
-        self.ids, self.held, self.n = [], {}, 0
-
-    def add(self, i: int, words: list[str]) -> None:
-        place, held = len(self.ids), self.held
-        self.ids.append(i)
-        found = Counter(words)
-        for term, tf in found.items():
-            if term in held:
-                held[term] += (place, tf)
-            else:
-                held[term] = [place, tf]
-        self.n += len(found)
-
-    def full(self, per_block: int) -> bool:
-        return len(self.ids) >= per_block or self.n >= BLOCK_POSTINGS
-
-    def rows(self, name: int) -> Iterator[pa.RecordBatch]:
-        yield _batch([(None, name, len(self.ids), 0, 0, np.array(self.ids, "<i8").tobytes(), b"")])
-        rows = []
-        for term, x in self.held.items():
-            places, tfs = x[::2], x[1::2]
-            gaps = places if len(places) == 1 else [places[0], *map(int.__sub__, places[1:], places)]
-            rows.append((term, name, len(tfs), sum(tfs), max(tfs), _packed(gaps), _packed(tfs)))
-            if len(rows) == 20_000:
-                yield _batch(rows)
-                rows = []
-        if rows:
-            yield _batch(rows)
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), KINDS.values(), strict=True)], list(KINDS))
+def _packed(values: np.ndarray, starts: np.ndarray, n: np.ndarray, width: int) -> pa.Array:
+    """Of each run of values its bytes, width of them a value; the number of values tells the width again."""
+    sizes = np.repeat(n, n)
+    own = values[np.repeat(starts, n) + np.arange(len(sizes)) - np.repeat(np.cumsum(n) - n, n)].astype(f"<u{width}")
+    offsets = np.concatenate([[0], np.cumsum(n * width)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(own.tobytes())])
+
+
+def _width(most: np.ndarray) -> np.ndarray:
+    """The least number of bytes that holds each number."""
+    return np.where(most < 1 << 8, 1, np.where(most < 1 << 16, 2, 4))
+
+
+def _posted(ids: list[pa.Array], words: list[pa.Array], name: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a block: its ids, and of each term its postings. words: of each item its terms, empty ones among them."""
+    own = pa.concat_arrays(ids)
+    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip([[None], [name], [len(own)], [0], [0], [own.to_numpy().astype("<i8").tobytes()], [b""]], KINDS.values(), strict=True)], list(KINDS))
+    flat = pa.concat_arrays([w.flatten() for w in words])
+    place = np.repeat(np.arange(len(own)), np.concatenate([pc.list_value_length(w).to_numpy() for w in words]))
+    said = np.asarray(pc.not_equal(flat, ""))
+    coded = flat.filter(pa.array(said)).dictionary_encode()
+    if not len(coded):
+        return
+    key, tf = np.unique(coded.indices.to_numpy().astype(np.int64) * len(own) + place[said], return_counts=True)
+    code, place = key // len(own), key % len(own)
+    starts = np.flatnonzero(np.diff(code, prepend=-1))
+    n, gaps = np.diff(np.append(starts, len(key))), np.diff(place, prepend=0)
+    gaps[starts] = place[starts]
+    greatest, occurrences = np.maximum.reduceat(tf, starts), np.add.reduceat(tf, starts)
+    kind = _width(np.maximum.reduceat(gaps, starts)) * 8 + _width(greatest)
+    for k in np.unique(kind):
+        for some in np.array_split(np.flatnonzero(kind == k), max(1, np.count_nonzero(kind == k) // 50_000)):
+            packed = [_packed(x, starts[some], n[some], int(w)) for x, w in ((gaps, k // 8), (tf, k % 8))]
+            cols = [coded.dictionary.take(pa.array(code[starts[some]])), *[pa.array(x, t) for x, t in ((np.full(len(some), name), pa.int64()), (n[some], pa.int32()), (occurrences[some], pa.int64()), (greatest[some], pa.int32()))], *packed]
+            yield pa.RecordBatch.from_arrays(cols, list(KINDS))
 
 
 def write_index(items: DataFrame, path: str, id_col: str, text_col: str, per_block: int = PER_BLOCK, n_buckets: int | None = None, append: bool = False) -> None:
@@ -98,15 +91,21 @@ def write_index(items: DataFrame, path: str, id_col: str, text_col: str, per_blo
     spark.createDataFrame([(run, n_buckets)], "run int, n_buckets int").coalesce(1).write.mode("append").parquet(f"{path}/settings")
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, block = run << 48 | TaskContext.get().partitionId() << 24, _Block()
+        name, ids, words, n, n_words = run << 48 | TaskContext.get().partitionId() << 24, [], [], 0, 0
         for b in batches:
-            for i, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                block.add(i, [t for t in (text.as_py() or "").split(" ") if t])
-                if block.full(per_block):
-                    yield from block.rows(name)
-                    name, block = name + 1, _Block()
-        if block.ids:
-            yield from block.rows(name)
+            at = 0
+            while at < b.num_rows:
+                some = pc.split_pattern(pc.fill_null(b.column(1)[at : at + min(512, per_block - n)], ""), " ")
+                upto = n_words + np.cumsum(pc.list_value_length(some).to_numpy())
+                fit = min(len(some), int(np.searchsorted(upto, BLOCK_POSTINGS)) + 1)
+                ids.append(b.column(0)[at : at + fit])
+                words.append(some[:fit])
+                at, n, n_words = at + fit, n + fit, int(upto[fit - 1])
+                if n >= per_block or n_words >= BLOCK_POSTINGS:
+                    yield from _posted(ids, words, name)
+                    name, ids, words, n, n_words = name + 1, [], [], 0, 0
+        if n:
+            yield from _posted(ids, words, name)
 
     texts = items.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), T.normalized(F.col(text_col)).alias("text"))
     rows = texts.mapInArrow(post, SCHEMA)
@@ -133,6 +132,18 @@ def term_statistics(spark: SparkSession, path: str) -> DataFrame:
     return rows.groupBy("term").agg(F.sum("n").alias("n_items"), F.sum("occurrences").alias("n_occurrences"))
 
 
+def term_counts(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """What term_statistics() reads from an index of items, counted from the texts, so that no postings are made for numbers alone.
+
+    An item gives each of its words once for the occurrences and each different one once more for the items; both are summed by
+    term before anything is shuffled.
+    """
+    words = items.filter(F.col(id_col).isNotNull()).select(F.split(T.normalized(F.col(text_col)), " ").alias("words"))
+    both = words.select(F.posexplode(F.array("words", F.array_distinct("words"))).alias("item", "words"))  # 0: all words; 1: the different ones
+    each = both.select("item", F.explode("words").alias("term")).filter("term <> ''")
+    return each.groupBy("term").agg(F.sum("item").alias("n_items"), F.sum(1 - F.col("item")).alias("n_occurrences"))
+
+
 def scored(rows: DataFrame, ids: DataFrame, n_terms: int, k: int) -> DataFrame:
     """id, score: of each block the k best items that hold all terms. rows: of postings(); ids: the blocks' own rows."""
 

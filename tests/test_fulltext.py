@@ -69,3 +69,14 @@ def test_index_is_written_once(spark):
     for d in (SF, SF.replace("0.001", "0.01")):
         for name in ("fulltext_search", "term_statistics"):
             same_as_sql(registry.QUERIES[name](spark, d), registry.ORACLES[name], d)
+
+
+def test_terms_are_counted_without_an_index_as_with_one(spark):
+    rows = [(1, "a b a"), (2, None), (3, ""), (4, "  B\tc "), (4, "b b"), (None, "a lost")]
+    items, path = spark.createDataFrame(rows, "id long, text string"), new_path(spark, "terms")
+    fulltext.write_index(items, path, "id", "text")
+    plain = lambda df: sorted(tuple(r) for r in df.select("term", "n_items", "n_occurrences").collect())
+    got = plain(fulltext.term_counts(items, "id", "text"))
+    assert got == plain(fulltext.term_statistics(spark, path)) == [("a", 1, 2), ("b", 3, 4), ("c", 1, 1)]
+    assert "MapInArrow" not in registry.QUERIES["term_statistics"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    same_as_sql(registry.QUERIES["term_statistics"](spark, SF), registry.ORACLES["term_statistics"])
