@@ -1,12 +1,12 @@
 """Token-id output: documents keyed by identifier in sorted-string-table shards, and lookup in them.
 
-Documents are encoded, their ids dealt by ranges of the identifier, sorted, and each range written as one
+Documents are dealt by ranges of the identifier, sorted, encoded, and each range written as one
 table (sstable.py) below the shared folder. A manifest, one row a shard, lists path, key range and
 totals; a shard that no manifest row names (of a task that was run again) is never read. Files are
 opened with pyarrow.fs, so the folder may be on any store that it knows.
 
 Null text is encoded as empty; each document has the end id last, so an empty one has that alone.
-Null identifiers come first; rows with one identifier follow one another in the order of a hash of their ids, in
+Null identifiers come first; rows with one identifier follow one another in the order of a hash of their texts, in
 one shard or several, and get() returns them all. An empty table gives an empty manifest. Other columns aren't read.
 """
 
@@ -25,42 +25,29 @@ from pyspark.sql import functions as F
 
 from millrace.llm import sstable
 from millrace.llm.byte_bpe import VOCAB, encoder
-from millrace.llm.common import bounded_batches, documents, dropped, saved, shared_path
+from millrace.llm.common import bounded_batches, documents, saved, shared_path
 
 MANIFEST = "path string, first_key binary, last_key binary, n_docs long, n_ids long, n_bytes long, shard int"
-#: A shard is about as large as this at most, so that its writer's keys and its task stay small.
+#: A shard has about so many bytes of text at most, so that its writer's keys and its task stay small.
 SHARD_BYTES, SHARD_DOCS = 128 << 20, 1_000_000
 
 
-def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab: str = VOCAB, end_id: int = 0) -> DataFrame:
-    """id, ids (packed, with the end id), tie (a hash of the ids)."""
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids, end = encoder(vocab).ids, np.array([end_id], encoder(vocab).dtype).tobytes()
-            for at in range(0, b.num_rows, 500):
-                said = [ids(t.as_py() or "") + end for t in b.column(1)[at : at + 500]]
-                yield pa.RecordBatch.from_arrays([b.column(0)[at : at + 500], pa.array(said, pa.binary())], ["id", "ids"])
-
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(encode, "id long, ids binary").withColumn("tie", F.xxhash64("ids"))
-
-
 def write_shards(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", vocab: str = VOCAB, end_id: int = 0) -> DataFrame:
-    """Write docs as shards below folder; the manifest, in key order. Ids are dealt and sorted, not texts."""
-    width = encoder(vocab).dtype.itemsize
+    """Write docs as shards below folder; the manifest, in key order. Texts are dealt and sorted, and encoded where they are written, so that ids lie in the shards only."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(folder)
         out = path = table = None
         for b in batches:
-            for doc, ids in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            ids, dtype = encoder(vocab).ids, encoder(vocab).dtype
+            end = np.array([end_id], dtype).tobytes()
+            for doc, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 if table is None:
                     store.create_dir(root, recursive=True)
                     path = f"{root}/{uuid.uuid4().hex}.sst"
                     out = store.open_output_stream(path)
-                    table = sstable.Writer(out, width)
-                table.add(sstable.key_of(doc), ids.as_py())
+                    table = sstable.Writer(out, dtype.itemsize)
+                table.add(sstable.key_of(doc), ids(text.as_py() or "") + end)
         if table is not None:
             table.close()
             out.close()
@@ -69,13 +56,12 @@ def write_shards(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], ["path", "first_key", "last_key", "n_docs", "n_ids", "n_bytes", "shard"])
 
     bounded_batches(docs.sparkSession)
-    rows = saved(encoded(docs, id_col, text_col, vocab, end_id), "ids")
-    n, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("ids")), F.lit(0))).first()
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    n, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     n_shards = max(docs.sparkSession.sparkContext.defaultParallelism, -(-n // SHARD_DOCS), -(-size // SHARD_BYTES))
     order = [F.col("id").asc_nulls_first(), F.col("tie").asc()]  # rows of one identifier may go to several shards
-    manifest = saved(rows.repartitionByRange(n_shards, *order).sortWithinPartitions(*order).select("id", "ids").mapInArrow(write, MANIFEST), "manifest")
-    dropped(rows)
-    return manifest.orderBy("shard")
+    dealt = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(n_shards, *order).sortWithinPartitions(*order)
+    return saved(dealt.select("id", "text").mapInArrow(write, MANIFEST), "manifest").orderBy("shard")
 
 
 def read_shards(manifest: DataFrame, folder: str) -> DataFrame:

@@ -312,3 +312,11 @@ def test_pipeline(spark):
     rows = [(i, t) for i, t in rows if not any(5 * len(g & grams(words(t))) >= 4 * len(g) for g in items)]
     assert sorted(r["doc_id"] for r in out) == [i for i, _ in rows]
     assert out[0].__fields__ == [*docs.columns, "piece_ids"]
+
+
+def test_token_ids_are_written_to_their_shards_only(spark, monkeypatch):
+    tags, saved = [], token_shards.saved
+    monkeypatch.setattr(token_shards, "saved", lambda df, tag, **more: (tags.append(tag), saved(df, tag, **more))[1])
+    folder = common.shared_path(spark, "shards")
+    manifest = token_shards.write_shards(edge(spark), folder)
+    assert tags == ["manifest"] and token_shards.read_shards(manifest, folder).count() == edge(spark).count()
