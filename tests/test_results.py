@@ -198,7 +198,7 @@ def test_trees_of_the_probes(spark, tmp_path):
 
 
 def test_chunks_and_events_are_read_once_for_lines_and_once_for_line_ends(spark):
-    """Joining the events with themselves made eight scans, each of which became lines and chunks anew."""
+    """Joining the events with themselves made twelve scans, each of which became lines and chunks anew."""
     plan = registry.QUERIES["chunked_decisions"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") <= 2
 
