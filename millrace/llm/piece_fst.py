@@ -14,8 +14,10 @@ tropical semiring (sums along a path, the least of paths). For a Unigram model t
 model's result is the least fixed point of merges by rank, not the path of least sum; but a path is that result
 exactly if each two adjacent pieces are what the merges make of their joint text. So there one piece after another
 weighs 0 if they are, else infinity, and one path has a finite weight. Whether two pieces may be adjacent is found by
-undoing their merges at their border, or by merging anew where a piece ranks before one it is made of; of equal
-merges the leftmost goes first.
+undoing their merges at their border, or by merging anew where a piece ranks before one it is made of or has
+another's score; of equal merges the leftmost goes first. With such weights at most one path of finite weight leads to
+a place, so the path is searched depth first, longer pieces before shorter ones: it meets few states of the lattice,
+each once at most.
 
 Where no piece goes on from a non-space into a space, the lattice has one state at that place and is cut; cut parts are
 remembered in a worker while its bytes last.
@@ -34,6 +36,7 @@ import struct
 import sys
 import zlib
 from array import array
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -132,16 +135,19 @@ class Transducer:
     is_bpe: bool
     arcs: list[dict[str, int]] = field(default_factory=lambda: [{}])
     final: list[int] = field(default_factory=lambda: [-1])
+    longest: list[int] = field(default_factory=list)  # by state: the longest piece on the way to it; without one, the unknown id
+    shorter: list[int] = field(default_factory=list)  # by id: the next shorter piece on the way to it; the unknown id if a piece's first character is none; -1
     rank: dict[str, int] = field(default_factory=dict)  # BPE: order of merges, by piece
     halves: dict[str, tuple[str, str]] = field(default_factory=dict)  # the two pieces last merged into one
-    uneven: set[str] = field(default_factory=set)  # pieces that rank before a piece they are made of
+    uneven: set[str] = field(default_factory=set)  # pieces that rank before a piece they are made of or have another's score, and pieces made of them
     score: dict[str, float] = field(default_factory=dict)
     surface: list[bytes] = field(default_factory=list)
+    most: int = 1  # characters of the longest piece
     cut_at_spaces: bool = False
     cut_at_line_ends: bool = False
 
     def add(self, piece: str, i: int) -> None:
-        state = 0
+        state, self.most = 0, max(self.most, len(piece))
         for c in piece:
             if c not in self.arcs[state]:
                 self.arcs[state][c] = len(self.arcs)
@@ -150,6 +156,16 @@ class Transducer:
             state = self.arcs[state][c]
         self.final[state] = i
 
+    def link(self) -> None:
+        """Once all pieces are added: longest and shorter. A state comes after the one before it."""
+        self.longest, self.shorter = [self.unknown] * len(self.arcs), [-1] * len(self.pieces)
+        for state, arcs in enumerate(self.arcs):
+            for after in arcs.values():
+                i, before = self.final[after], self.longest[state]
+                self.longest[after] = i if i >= 0 else before
+                if i >= 0 and (state or before != self.unknown):
+                    self.shorter[i] = before
+
 
 def _merged(text: str, score: dict[str, float]) -> list[tuple[str, tuple[str, str] | None]]:
     """What merging by score gives, best first, leftmost of equals; each piece with the two it was made of."""
@@ -210,11 +226,13 @@ def compile_proto(raw: bytes) -> Transducer:
             elif len(m := _merged(p, score)) == 1:  # a piece that merging doesn't reach is on no path
                 t.rank[p], t.halves[p] = k, m[0][1]
         t.score = score
+        alike = Counter(x for p, x in score.items() if len(p) > 1)
         for p, made in t.halves.items():
-            if t.rank[p] < max(t.rank.get(x, -1) for x in made) or not t.uneven.isdisjoint(made):
+            if alike[score[p]] > 1 or t.rank[p] < max(t.rank.get(x, -1) for x in made) or not t.uneven.isdisjoint(made):
                 t.uneven.add(p)
     for p in t.rank if t.is_bpe else normal:
         t.add(p, normal[p])
+    t.link()
     t.cut_at_spaces = not any(SPACE in p.lstrip(SPACE) for p in normal)
     t.cut_at_line_ends = not any("\n" in p for p in normal)
     for p, _, kind in listed:
@@ -260,14 +278,59 @@ class Codec:
 
     def path(self, text: str) -> bytes:
         """Ids along the shortest path of a normalised text."""
+        t, (found, pieces) = self.t, self._finite(text) if self.t.is_bpe else self._shortest(text)
+        if t.unknown not in found:
+            return self._pack(found)
+        ids: list[int] = []
+        for i, said in zip(found, pieces, strict=True):
+            if i != t.unknown:
+                ids.append(i)
+            elif t.byte_ids:
+                ids += [t.byte_ids[x] for x in said.encode("utf-8", "replace")]
+            elif not ids or ids[-1] != i:  # unknown characters that follow one another have one id
+                ids.append(i)
+        return self._pack(ids)
+
+    def _finite(self, text: str) -> tuple[list[int], list[str]]:
+        """Ids and pieces along the one path of finite weight (BPE)."""
+        t, n, pairs = self.t, len(text), self.pairs
+        arcs, longest, shorter, pieces, unknown, most = t.arcs, t.longest, t.shorter, t.pieces, t.unknown, t.most
+        ids: list[int] = []
+        said: list[str] = []
+        at, before, left = 0, "", set()  # left: places from which no path goes on
+        while at < n:
+            state = 0
+            for c in text[at : at + most]:
+                if (after := arcs[state].get(c)) is None:
+                    break
+                state = after
+            i = longest[state]
+            while True:
+                piece = pieces[i] if i != unknown else text[at]  # a character that is no piece
+                if (not before or pairs[before, piece]) and (not left or at + len(piece) not in left):
+                    break
+                while (i := shorter[i]) < 0:
+                    if not ids:
+                        raise ValueError(f"no path through {text[:80]!r}")
+                    left.add(at)
+                    i = ids.pop()
+                    at -= len(said.pop())
+                    before = said[-1] if said else ""
+            ids.append(i)
+            said.append(piece)
+            at, before = at + len(piece), piece
+        return ids, said
+
+    def _shortest(self, text: str) -> tuple[list[int], list[str]]:
+        """Ids and pieces along the path of the least sum (Unigram)."""
         t, n = self.t, len(text)
-        arcs, final, weight, pieces, bpe, pairs = t.arcs, t.final, t.weight, t.pieces, t.is_bpe, self.pairs
+        arcs, final, weight, pieces = t.arcs, t.final, t.weight, t.pieces
         far = float("inf")
         cost, last, by = [0.0] + [far] * n, [""] * (n + 1), [-1] * (n + 1)
         for start in range(n):
             if (here := cost[start]) == far:
                 continue
-            before, state, single = last[start], 0, False
+            state, single = 0, False
             for end in range(start, n):
                 state = arcs[state].get(text[end])
                 if state is None:
@@ -277,25 +340,18 @@ class Codec:
                     continue
                 if end == start:
                     single = True
-                if here + weight[i] < cost[end + 1] and (not bpe or not before or pairs[before, pieces[i]]):
+                if here + weight[i] < cost[end + 1]:
                     cost[end + 1], last[end + 1], by[end + 1] = here + weight[i], pieces[i], i
-            if not single and here + weight[t.unknown] < cost[start + 1] and (not bpe or not before or pairs[before, text[start]]):  # a character that is no piece
+            if not single and here + weight[t.unknown] < cost[start + 1]:  # a character that is no piece
                 cost[start + 1], last[start + 1], by[start + 1] = here + weight[t.unknown], text[start], t.unknown
         if cost[n] == far:
             raise ValueError(f"no path through {text[:80]!r}")
-        found, end = [], n
+        ids, said, end = [], [], n
         while end:
-            found.append((by[end], last[end]))
+            ids.append(by[end])
+            said.append(last[end])
             end -= len(last[end])
-        ids: list[int] = []
-        for i, said in reversed(found):
-            if i != t.unknown:
-                ids.append(i)
-            elif t.byte_ids:
-                ids += [t.byte_ids[x] for x in said.encode("utf-8", "replace")]
-            elif not ids or ids[-1] != i:  # unknown characters that follow one another have one id
-                ids.append(i)
-        return self._pack(ids)
+        return ids[::-1], said[::-1]
 
     def _after_space(self, part: str) -> tuple[bytes, bool]:
         """Ids of a part and the space before it (of one that starts with a line end, without a space; see encode())."""

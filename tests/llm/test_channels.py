@@ -6,10 +6,12 @@ import time
 from itertools import product
 
 import numpy as np
+import public_tokenizers
 import pytest
 import sentencepiece
 
 from millrace.llm import piece_fst, toxicity
+from tests.helpers import SF
 from tests.llm.test_llm import EDGE
 
 PLAIN = "you asshole shit idiot stupid loser worthless moron the words of a plain text are here " * 50
@@ -136,3 +138,49 @@ def test_shortest_path_is_the_least_of_all():
 def test_model_kinds_that_are_not_compiled():
     with pytest.raises(ValueError):
         piece_fst.compile_proto(written(3, WORDS, True))
+
+
+MERGES = [["a", "b", "ab", "ba", "aa", "aab", "baba", "▁a"], ["b", "ab", "abab", "bb", "ba", "▁▁"], ["a", "aa", "aaa", "aaaa", "b", "aab"]]
+
+
+@pytest.mark.parametrize("fallback", [True, False])
+@pytest.mark.parametrize("ties", [1, 2, 9])
+@pytest.mark.parametrize("pieces", MERGES)
+def test_bpe_models_equal_the_library(pieces, ties, fallback):
+    """Pieces of other orders, of one score, and of characters that are none."""
+    rng = random.Random(8)
+    for _ in range(6):
+        raw = written(2, {p: -1.0 - k // ties for k, p in enumerate(pieces)}, fallback)
+        library, own = sentencepiece.SentencePieceProcessor(model_proto=raw), piece_fst.Codec(piece_fst.compile_proto(raw))
+        for _ in range(100):
+            text = "".join(rng.choice("aaabbb c") for _ in range(rng.randint(0, 25)))
+            assert np.frombuffer(own.encode(text), own.dtype).tolist() == library.encode(text), (text, pieces)
+        rng.shuffle(pieces := list(pieces))
+
+
+class Asked(dict):
+    n = 0
+
+    def __missing__(self, key):
+        self.n += 1
+        return self.of._adjacent(*key)
+
+
+def test_few_states_of_the_lattice_are_met(spark):
+    """CPU is spent by piece of the result, not by arc of the lattice."""
+    own = piece_fst.Codec(piece_fst.compile_model(public_tokenizers.path(piece_fst.MODEL)))
+    own.pairs = Asked()  # remembers nothing
+    own.pairs.of = own
+    words = {w for r in spark.read.parquet(f"{SF}/documents.parquet").collect() for w in (r["text"] or "").split()}
+    n = sum(len(own.path("▁" + w)) // own.dtype.itemsize for w in sorted(words))
+    assert n > 5000 and own.pairs.n < 1.5 * n
+
+
+@pytest.mark.parametrize("unit", ["a", "ab", "the", "thein", "漢", "é1", "\u0378"])
+def test_long_words_take_linear_time(unit):
+    own, took = piece_fst.Codec(piece_fst.compile_model(public_tokenizers.path(piece_fst.MODEL))), []
+    for n in (50_000, 200_000):
+        began = time.process_time()
+        assert own.decode(own.encode(unit * n)) == unit * n
+        took.append(time.process_time() - began)
+    assert took[1] < 8 * max(took[0], 0.05)
